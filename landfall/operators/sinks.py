@@ -5,7 +5,7 @@
 * ODS by load date (SNK-4): the same static overwrite of the run's date.
 * ODS full (SNK-5): overwrite the whole unpartitioned table.
 * ODS by load key (SNK-6): dynamic partition overwrite on the load-key columns
-  (requested per write, not via the session setting).
+  (the session runs with dynamic partition overwrite, see ``session``).
 
 All writes go through Spark's commit protocol, so a lost executor only
 re-runs its tasks.
@@ -51,8 +51,16 @@ def overwrite_full(df: DataFrame, table: str) -> None:
 
 
 def overwrite_dynamic(df: DataFrame, table: str) -> None:
-    """SNK-4 / SNK-6: replace only the partitions present in ``df``."""
-    df.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    """SNK-4 / SNK-6: replace only the partitions present in ``df``.
+
+    ``insertInto`` ignores a per-write overwrite mode, so the session must run
+    with ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by
+    ``session.apply_runtime_conf``); refuse rather than wipe other partitions.
+    """
+    mode = df.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    if mode.lower() != "dynamic":
+        raise RuntimeError("dynamic partition overwrite needs spark.sql.sources.partitionOverwriteMode=dynamic")
+    df.write.insertInto(table, overwrite=True)
 
 
 def write_ods(spark: SparkSession, ods: DataFrame, spec: S.FileSpec, load_dt: str,

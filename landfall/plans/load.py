@@ -33,6 +33,7 @@ from landfall.operators.split import audit_exprs, clean_rows, reject_rows
 from landfall.operators.validate import FLAG, validate
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
+from landfall.session import apply_runtime_conf
 from landfall.sources import landing as L
 
 
@@ -142,6 +143,7 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: st
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
     """
     prof = S.Profile.of(profile)
+    apply_runtime_conf(spark)
     dbs = {"ldg": "ldg", "stg": "stg", "rej": "rej", "ods": "ods", **(databases or {})}
     selected = select_files(spark, metadata, files, drop_create, generate_ddl)
     names = [n for n, _, _ in selected]

@@ -19,9 +19,11 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Literal partition values (static overwrite) are the default; dynamic
-    # overwrite is requested per write where it is wanted.
-    "spark.sql.sources.partitionOverwriteMode": "static",
+    # Overwrites replace only the partitions written. Inserts that name a
+    # literal partition value (stage / reject / ODS by date) still clear that
+    # partition even when no row is written; a full overwrite of an
+    # unpartitioned table is unaffected.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

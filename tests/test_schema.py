@@ -1,0 +1,47 @@
+"""DDL text of every layer runs in Spark and yields the layer StructTypes."""
+
+import os
+import uuid
+
+from landfall.plans import metadata as M
+from landfall.plans import schema as SC
+
+
+def test_ddl_creates_expected_tables(spark, meta, tmp_dir):
+    tag = uuid.uuid4().hex[:6]
+    dbs = {k: f"s{tag}_{k}" for k in ("ldg", "stg", "rej", "ods")}
+    SC.create_databases(spark, dbs, os.path.join(tmp_dir, "wh"))
+    ddl = SC.ddl_frame(meta, dbs, landing_root=os.path.join(tmp_dir, "landing"))
+    layers = sorted((r["file_name"], r["layer"]) for r in ddl.collect())
+    assert ("ORDERS", "stg_pk") in layers and ("CUSTOMER", "stg_pk") not in layers
+    assert sum(1 for n, _ in layers if n == "ORDERS") == 7 and sum(1 for n, _ in layers if n == "EVENTS") == 4
+    scripts = {r["file_name"]: r["script"] for r in SC.ddl_scripts(ddl.where("file_name != 'TWICE'")).collect()}
+    SC.create_tables(spark, list(scripts.values()))
+    for spec in M.file_specs(meta, ["ORDERS", "CUSTOMER", "EVENTS", "LINEITEM"], dbs):
+        t = spec.tables
+        pairs = [("ldg", t.ldg), ("stg", t.stg), ("rej", t.rej), ("ods", t.ods)]
+        if t.has_delete_feed:
+            pairs += [("ldg_pk", t.ldg_pk), ("stg_pk", t.stg_pk), ("rej_pk", t.rej_pk)]
+        for layer, table in pairs:
+            got = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
+            want = [(f.name, f.dataType.simpleString()) for f in SC.layer_schema(spec, layer).fields]
+            assert got == want, (table, got, want)
+    events_ods = spark.sql(f"DESCRIBE TABLE EXTENDED {dbs['ods']}.erp_events").collect()
+    text = " ".join(str(r) for r in events_ods)
+    assert "event_type" in text
+    ods_cols = [f.name for f in spark.table(f"{dbs['ods']}.erp_events").schema.fields]
+    assert ods_cols[-2:] == ["load_dt", "event_type"]          # load date ordinary, key partition last
+
+
+def test_ddl_text_written(spark, meta, tmp_dir):
+    path = os.path.join(tmp_dir, "ddl")
+    SC.write_ddl_text(SC.ddl_frame(meta).where("file_name = 'ORDERS'"), path, "2022-09-11")
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+    text = "".join(open(f).read() for f in files)
+    assert "load_dt=2022-09-11" in files[0] and "file_name=ORDERS" in files[0]
+    assert text.count("CREATE TABLE IF NOT EXISTS") == 7
+
+
+def test_comment_escaping(spark, meta):
+    ddl = SC.ddl_frame(meta).where("file_name = 'ORDERS' and layer = 'stg'").first()["statement"]
+    assert "COMMENT 'priority\\\\level||优先级'" in ddl
