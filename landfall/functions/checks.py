@@ -85,32 +85,41 @@ def int_ok(v: "str | Column") -> Column:
     return _c(v).rlike(r"\A[0-9]*\z")
 
 
-def timestamp_ok(v: "str | Column", formats: Iterable[str]) -> Column:
-    """DQ-5/DQ-6: value has one of the layouts exactly and is a real calendar time."""
+def iso_candidate(v: "str | Column", formats: Iterable[str]) -> Column:
+    """The value rewritten to ISO by the first layout it matches exactly, else null.
+
+    One ``rlike`` per layout until the first match, then one ``regexp_replace``.
+    """
     v = _c(v)
-    tests = []
-    for fmt in formats:
+    out = F.lit(None).cast("string")
+    for fmt in reversed(list(formats)):
         rx, iso, _ = layout_regex(fmt)
-        real = F.regexp_replace(v, rx, iso).try_cast("timestamp_ntz").isNotNull()
-        tests.append(v.rlike(rx) & real)
-    return reduce(lambda a, b: a | b, tests)
+        out = F.when(v.rlike(rx), F.regexp_replace(v, rx, iso)).otherwise(out)
+    return out
 
 
-def normalise_timestamp(v: "str | Column", formats: Iterable[str], pad_time: bool = True) -> Column:
-    """DQ-10: passing value rewritten to ``yyyy-MM-dd HH:mm:ss``.
+def iso_is_real(iso: Column) -> Column:
+    """A real calendar date/time (no Feb 30, hour 24, month 13); no time zone involved."""
+    return iso.try_cast("timestamp_ntz").isNotNull()
 
-    A date-only layout gets `` 00:00:00`` when ``pad_time``; values matching no
-    layout are returned unchanged.
-    """
+
+def timestamp_ok(v: "str | Column", formats: Iterable[str]) -> Column:
+    """DQ-5/DQ-6: value has one of the layouts exactly and is a real calendar time."""
+    return iso_is_real(iso_candidate(v, formats))
+
+
+def normalised_from_iso(iso: Column, pad_time: bool) -> Column:
+    """DQ-10 from the ISO candidate: a date-only value gets `` 00:00:00`` when ``pad_time``."""
+    if not pad_time:
+        return iso
+    return F.when(F.length(iso) == 10, F.concat(iso, F.lit(" 00:00:00"))).otherwise(iso)
+
+
+def normalise_timestamp(v: "str | Column", formats: Iterable[str], pad_time: bool = True) -> Column:
+    """DQ-10: passing value rewritten to ``yyyy-MM-dd HH:mm:ss``; others unchanged."""
     v = _c(v)
-    out = v
-    for fmt in reversed(list(formats)):
-        rx, iso, has_time = layout_regex(fmt)
-        rewritten = F.regexp_replace(v, rx, iso)
-        if not has_time and pad_time:
-            rewritten = F.concat(rewritten, F.lit(" 00:00:00"))
-        out = F.when(v.rlike(rx), rewritten).otherwise(out)
-    return out
+    iso = iso_candidate(v, formats)
+    return F.when(iso_is_real(iso), normalised_from_iso(iso, pad_time)).otherwise(v)
 
 
 def enum_ok(v: "str | Column", members: Sequence[str]) -> Column:
@@ -120,8 +129,12 @@ def enum_ok(v: "str | Column", members: Sequence[str]) -> Column:
 
 # --------------------------------------------------------------------------- violations
 
-def column_violations(rule: ColumnRule, profile: Profile, msgs: dict) -> list[tuple[str, Column]]:
-    """``(check, message)`` pairs of one column in the reference's order; a message is null when passing."""
+def column_violations(rule: ColumnRule, profile: Profile, msgs: dict,
+                      ts_ok: "Column | None" = None) -> list[tuple[str, Column]]:
+    """``(check, message)`` pairs of one column in the reference's order; a message is null when passing.
+
+    ``ts_ok`` may carry a precomputed timestamp test (see ``validate``).
+    """
     name = rule.name
     v = F.col(name)
     present = is_present(v)
@@ -132,7 +145,7 @@ def column_violations(rule: ColumnRule, profile: Profile, msgs: dict) -> list[tu
     if rule.check == "int":
         out.append(("int", F.when(present & ~int_ok(v), F.concat(F.lit(msgs["int"].format(col=name)), v))))
     elif rule.check in ("timestamp", "date"):
-        ok = timestamp_ok(v, profile.timestamp_formats)
+        ok = ts_ok if ts_ok is not None else timestamp_ok(v, profile.timestamp_formats)
         out.append((rule.check, F.when(present & ~ok, F.concat(F.lit(msgs["timestamp"].format(col=name)), v))))
     if rule.enum_range is not None:
         text = F.concat(F.lit(msgs["enum"].format(col=name)), v,
@@ -141,18 +154,23 @@ def column_violations(rule: ColumnRule, profile: Profile, msgs: dict) -> list[tu
     return out
 
 
-def output_value(rule: ColumnRule, profile: Profile) -> Column:
+def output_value(rule: ColumnRule, profile: Profile, iso: "Column | None" = None,
+                 ok: "Column | None" = None) -> Column:
     """Value written downstream: timestamps normalised (v2), everything else raw.
 
     Date columns are rewritten from the slash layout only (so the ODS cast keeps
-    them) and are not padded with a time.
+    them) and are not padded with a time. ``iso`` may carry a precomputed
+    ``iso_candidate`` and ``ok`` its test.
     """
     v = F.col(rule.name)
     if not profile.normalise_timestamps or rule.check not in ("timestamp", "date"):
         return v
-    ok = is_present(v) & timestamp_ok(v, profile.timestamp_formats)
-    fixed = normalise_timestamp(v, profile.timestamp_formats, pad_time=rule.check == "timestamp")
-    return F.when(ok, fixed).otherwise(v)
+    if iso is None:
+        iso = iso_candidate(v, profile.timestamp_formats)
+    if ok is None:
+        ok = is_present(v) & iso_is_real(iso)
+    return F.when(ok,
+                  normalised_from_iso(iso, pad_time=rule.check == "timestamp")).otherwise(v)
 
 
 def render_flag(violations: Sequence[Column]) -> Column:

@@ -91,15 +91,27 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (
     else:  # B3: no key -> no uniqueness check
         dup = None
 
+    # Timestamp / date columns: the ISO candidate and its test are computed once
+    # in an inner projection and referenced by both the flag and the output.
+    iso_names = {c: f"__lf_iso{i}" for i, c in enumerate(cols) if by_name[c].check in ("timestamp", "date")}
+    ok_names = {c: f"__lf_ok{i}" for i, c in enumerate(cols) if c in iso_names}
+    if iso_names:
+        base = base.withColumns({n: checks.iso_candidate(F.col(c), prof.timestamp_formats)
+                                 for c, n in iso_names.items()})
+        base = base.withColumns({ok_names[c]: checks.is_present(c) & checks.iso_is_real(F.col(n))
+                                 for c, n in iso_names.items()})
+    iso_of = {c: F.col(n) for c, n in iso_names.items()}
+    ok_of = {c: F.col(n) for c, n in ok_names.items()}
+
     violations: list[Column] = []
     for c in cols:
-        violations.extend(m for _, m in checks.column_violations(by_name[c], prof, msgs))
+        violations.extend(m for _, m in checks.column_violations(by_name[c], prof, msgs, ok_of.get(c)))
     if dup is not None:
         violations.append(F.when(dup, F.lit(msgs["unique"])))
     if prof.flag_misaligned:
         violations.append(F.when(checks.any_null(cols), F.lit(msgs["misaligned"])))
 
-    out = [checks.output_value(by_name[c], prof).alias(c) for c in cols]
+    out = [checks.output_value(by_name[c], prof, iso_of.get(c), ok_of.get(c)).alias(c) for c in cols]
     if load_date_col and load_date_col in df.columns:
         out.append(F.col(load_date_col))
     out.append(checks.render_flag(violations).alias(FLAG))
