@@ -17,6 +17,7 @@ is thread-safe and the scheduler interleaves their stages.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -120,6 +121,11 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
     return res
 
 
+def default_load_date(today: Optional[_dt.date] = None) -> str:
+    """FN-15 / B17: yesterday as ``yyyy-MM-dd`` (the caller normally passes the date)."""
+    return ((today or _dt.date.today()) - _dt.timedelta(days=1)).isoformat()
+
+
 def select_files(spark: SparkSession, metadata: Mapping[str, DataFrame], files: Optional[Sequence[str]] = None,
                  drop_create: Optional[Sequence[bool]] = None,
                  generate_ddl: Optional[Sequence[bool]] = None) -> list:
@@ -129,7 +135,7 @@ def select_files(spark: SparkSession, metadata: Mapping[str, DataFrame], files:
     return [(r["file_name"], bool(r["drop_create"]), bool(r["generate_ddl"])) for r in frame.collect()]
 
 
-def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: str,
+def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Optional[str] = None,
              files: Optional[Sequence[str]] = None, create_only: bool = False,
              profile: "str | S.Profile" = "v2", databases: Optional[dict] = None,
              warehouse_root: Optional[str] = None, landing_root: Optional[str] = None,
@@ -143,6 +149,7 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: st
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
     """
     prof = S.Profile.of(profile)
+    load_dt = load_dt or default_load_date()
     apply_runtime_conf(spark)
     dbs = {"ldg": "ldg", "stg": "stg", "rej": "rej", "ods": "ods", **(databases or {})}
     selected = select_files(spark, metadata, files, drop_create, generate_ddl)

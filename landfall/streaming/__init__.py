@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The loader this engine re-expresses is batch only: one load date of landing
+data is validated and loaded per run, and uniqueness is defined over the whole
+load date, which a micro-batch cannot see. There are no watermarks, windows or
+state to reproduce, so no streaming operator is offered. A landing folder that
+fills continuously is loaded by running ``landfall.plans.load.run_load`` per
+load date.
+"""
