@@ -99,8 +99,8 @@ def iso_candidate(v: "str | Column", formats: Iterable[str]) -> Column:
 
 
 def iso_is_real(iso: Column) -> Column:
-    """A real calendar date/time (no Feb 30, hour 24, month 13); no time zone involved."""
-    return iso.try_cast("timestamp_ntz").isNotNull()
+    """A real calendar date/time (no Feb 30, hour 24, month 13, year 0000); no time zone involved."""
+    return iso.try_cast("timestamp_ntz").isNotNull() & ~iso.startswith("0000")
 
 
 def timestamp_ok(v: "str | Column", formats: Iterable[str]) -> Column:

@@ -9,7 +9,7 @@ from landfall.operators.validate import validate, violation_of
 
 TS_ACCEPT = ["2022-09-11 10:00:00", "09/11/2022 10:00:00", "2022-09-11", "2024-03-10 02:30:00"]
 TS_REJECT = ["2022/09/11 10:00:00", "2022-02-30", "2022-9-1", "2022-09-11 10:00:00x", "2022-09-11T10:00:00",
-             "2022-09-11 24:00:00", "02/29/2023 00:00:00", "13/01/2022 00:00:00", "12022-01-01",
+             "2022-09-11 24:00:00", "02/29/2023 00:00:00", "13/01/2022 00:00:00", "12022-01-01", "0000-01-01",
              "2022-09-11 10:00:00\n"]
 
 
