@@ -38,9 +38,7 @@ def _c(col: "str | Column") -> Column:
 def layout_regex(fmt: str) -> tuple[str, str, bool]:
     """Java regex matching exactly ``fmt``, the ISO replacement and whether it has a time part.
 
-    Supports the date/time letters used by the load formats (yyyy MM dd HH mm ss)
-    and literal separators. ``\\A``/``\\z`` anchor the whole value, so a trailing
-    newline does not pass.
+    Kept for callers that want a regex; the checks use ``layout_mask``.
     """
     parts, order, pos = [], [], 0
     for m in _TOKEN.finditer(fmt):
@@ -54,10 +52,35 @@ def layout_regex(fmt: str) -> tuple[str, str, bool]:
     iso = f"{group['yyyy']}-{group['MM']}-{group['dd']}"
     if has_time:
         iso += f" {group['HH']}:{group['mm']}:{group['ss']}"
-    # Python's re.escape escapes ' ' and '-' which Java accepts as literals too.
     return r"\A" + "".join(parts) + r"\z", iso, has_time
 
 
+_DIGITS = "0123456789"
+_ISO_DATE, _ISO_TS = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
+
+
+def layout_positions(fmt: str) -> tuple[str, dict, bool]:
+    """``like`` pattern of a fixed-width layout and the 1-based position of each field.
+
+    ``'MM/dd/yyyy HH:mm:ss'`` -> ``('__/__/____ __:__:__', {'MM': 1, 'dd': 4, ...}, True)``.
+    """
+    pattern, fields, width = [], {}, 0
+    pos = 0
+    for m in _TOKEN.finditer(fmt):
+        lit = fmt[pos:m.start()]
+        pattern.append(lit.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_"))
+        width += len(lit)
+        fields[m.group()] = width + 1
+        pattern.append("_" * _WIDTH[m.group()])
+        width += _WIDTH[m.group()]
+        pos = m.end()
+    tail = fmt[pos:]
+    pattern.append(tail.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_"))
+    if not {"yyyy", "MM", "dd"} <= set(fields):
+        raise ValueError(f"layout {fmt!r} needs yyyy, MM and dd")
+    return "".join(pattern), fields, "HH" in fields
+
+
 # --------------------------------------------------------------------------- predicates
 
 def is_header_row(columns: Sequence[str]) -> Column:
@@ -88,13 +111,25 @@ def int_ok(v: "str | Column") -> Column:
 def iso_candidate(v: "str | Column", formats: Iterable[str]) -> Column:
     """The value rewritten to ISO by the first layout it matches exactly, else null.
 
-    One ``rlike`` per layout until the first match, then one ``regexp_replace``.
+    One anchored ``rlike`` per layout until the first match (a mismatching layout
+    fails at its first differing character); an ISO layout is used as is and any
+    other layout is reassembled from fixed-position substrings, so no
+    ``regexp_replace`` runs.
     """
     v = _c(v)
     out = F.lit(None).cast("string")
     for fmt in reversed(list(formats)):
-        rx, iso, _ = layout_regex(fmt)
-        out = F.when(v.rlike(rx), F.regexp_replace(v, rx, iso)).otherwise(out)
+        _, pos, has_time = layout_positions(fmt)
+        rx, _, _ = layout_regex(fmt)
+        if fmt in (_ISO_TS, _ISO_DATE):
+            iso = v
+        else:
+            part = lambda tok: F.substring(v, pos[tok], _WIDTH[tok])
+            bits = [part("yyyy"), F.lit("-"), part("MM"), F.lit("-"), part("dd")]
+            if has_time:
+                bits += [F.lit(" "), part("HH"), F.lit(":"), part("mm"), F.lit(":"), part("ss")]
+            iso = F.concat(*bits)
+        out = F.when(v.rlike(rx), iso).otherwise(out)
     return out
 
 
