@@ -110,17 +110,30 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
     res = LoadResult(spec.file_name)
     t = spec.tables
     if "validate" in stages:
-        res.main = validate_and_split(spark, read(spec, False), spec.rules, spec.keys, t.stg, t.rej, load_dt,
+        def main() -> SplitCounts:
+            return validate_and_split(spark, read(spec, False), spec.rules, spec.keys, t.stg, t.rej, load_dt,
                                       profile, load_date_col, message_style)
-        if t.has_delete_feed:
-            res.delete_feed = validate_and_split(spark, read(spec, True), spec.key_rules(), spec.keys,
-                                                 t.stg_pk, t.rej_pk, load_dt, profile, load_date_col,
-                                                 message_style)
+
+        def feed() -> SplitCounts:
+            return validate_and_split(spark, read(spec, True), spec.key_rules(), spec.keys,
+                                      t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style)
+
+        if t.has_delete_feed:   # independent jobs: submit both, the scheduler interleaves them
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                f_main, f_feed = pool.submit(main), pool.submit(feed)
+                res.main, res.delete_feed = f_main.result(), f_feed.result()
+        else:
+            res.main = main()
     if "ods" in stages:
         res.ods = load_to_ods(spark, spec, load_dt, load_ts, load_date_col)
     return res
 
 
+def _tables_of(spec: S.FileSpec) -> list[str]:
+    t = spec.tables
+    return [x for x in (t.ldg, t.stg, t.rej, t.ods, t.ldg_pk, t.stg_pk, t.rej_pk) if x]
+
+
 def default_load_date(today: Optional[_dt.date] = None) -> str:
     """FN-15 / B17: yesterday as ``yyyy-MM-dd`` (the caller normally passes the date)."""
     return ((today or _dt.date.today()) - _dt.timedelta(days=1)).isoformat()
@@ -157,14 +170,21 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     specs = M.file_specs(metadata, names, dbs, prof.keys_prefer)
 
     SC.create_databases(spark, dbs, warehouse_root)
-    ddl = SC.ddl_frame(metadata, dbs, landing_root or "landing", load_date_col,
-                       message_style=message_style).where(F.col("file_name").isin(names))
     flags = {n: (d, g) for n, d, g in selected}
-    scripts = {r["file_name"]: r["script"] for r in SC.ddl_scripts(ddl).collect()}
-    SC.create_tables(spark, [scripts[n] for n in names if flags[n][0]], recreate=True)
-    SC.create_tables(spark, [scripts[n] for n in names if not flags[n][0]], recreate=False)
-    if ddl_path:
-        SC.write_ddl_text(ddl.where(F.col("file_name").isin([n for n in names if flags[n][1]])), ddl_path, load_dt)
+    # The DDL job runs only when something must be (re)created or written out;
+    # a daily run over existing tables needs catalog lookups only.
+    missing = [s.file_name for s in specs if not all(spark.catalog.tableExists(t) for t in _tables_of(s))]
+    to_create = [n for n in names if flags[n][0] or n in missing]
+    to_write = [n for n in names if flags[n][1]] if ddl_path else []
+    if to_create or to_write:
+        ddl = SC.ddl_frame(metadata, dbs, landing_root or "landing", load_date_col,
+                           message_style=message_style).where(F.col("file_name").isin(names))
+        scripts = {r["file_name"]: r["script"] for r in
+                   SC.ddl_scripts(ddl.where(F.col("file_name").isin(to_create))).collect()} if to_create else {}
+        SC.create_tables(spark, [scripts[n] for n in to_create if flags[n][0]], recreate=True)
+        SC.create_tables(spark, [scripts[n] for n in to_create if not flags[n][0]], recreate=False)
+        if to_write:
+            SC.write_ddl_text(ddl.where(F.col("file_name").isin(to_write)), ddl_path, load_dt)
     if create_only:
         return [LoadResult(n, ods="tables only") for n in names]
 
