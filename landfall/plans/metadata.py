@@ -80,7 +80,7 @@ def file_lookup(interface: DataFrame, interface_file: DataFrame) -> DataFrame:
     joined = f.join(i, F.col("i.id") == F.col("f.interface_id"), "inner") \
               .where((F.col("i.status") == 3) & (F.col("i.deleted") == F.lit(False)))
     return joined.select(
-        F.coalesce(F.nullif(F.col("f.file_alias"), F.lit("")), F.col("f.name")).alias("file_name"),
+        file_name_expr().alias("file_name"),
         F.col("i.id").alias("interface_id"),
         F.col("i.source_system").alias("source_system"),
         F.col("f.id").alias("file_id"),
@@ -90,8 +90,7 @@ def file_lookup(interface: DataFrame, interface_file: DataFrame) -> DataFrame:
         F.col("f.full_delta").alias("full_delta"),
         F.col("f.if_physical_deletion").alias("if_physical_deletion"),
         F.col("f.load_key").alias("load_key"),
-        F.concat(F.lower(F.col("i.source_system")), F.lit("_"),
-                 F.lower(F.coalesce(F.nullif(F.col("f.file_alias"), F.lit("")), F.col("f.name")))).alias("ddl_name"))
+        physical_table_name().alias("ddl_name"))
 
 
 def lookup_cardinality(files: DataFrame, names: Optional[DataFrame] = None) -> DataFrame:
@@ -179,6 +178,12 @@ def column_rules(interface_field: DataFrame) -> DataFrame:
         F.when(is_enum & F.col("value_range").isNull(), F.lit("enum rule without value range")).alias("rule_error"))
 
 
+def rules_by_file(interface: DataFrame, interface_file: DataFrame, interface_field: DataFrame) -> DataFrame:
+    """MET-12: the rules of every active file in one frame, tagged with the file name."""
+    files = file_lookup(interface, interface_file).select("file_id", F.lower("file_name").alias("file_name"))
+    return files.join(column_rules(interface_field), "file_id").orderBy("file_name", "index")
+
+
 def key_rules(interface_field: DataFrame, prefer: str = "primary") -> DataFrame:
     """MET-11: rules of the key columns only (for the delete-key feed)."""
     keys = key_columns(interface_field, prefer).select("file_id", F.explode("keys").alias("column_name"))

@@ -185,6 +185,12 @@ def ddl_scripts(ddl: DataFrame) -> DataFrame:
                                  lambda x: x["statement"]), "\n").alias("script"))
 
 
+def ddl_for(ddl: DataFrame, names) -> DataFrame:
+    """DDL-10: the scripts of one or many files."""
+    names = [names] if isinstance(names, str) else list(names)
+    return ddl_scripts(ddl.where(F.col("file_name").isin(names)))
+
+
 def write_ddl_text(ddl: DataFrame, path: str, load_dt: str) -> None:
     """SNK-7: scripts as text, one folder per load date and file."""
     (ddl_scripts(ddl).withColumn("load_dt", F.lit(load_dt))

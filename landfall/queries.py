@@ -24,7 +24,7 @@ from landfall.operators.validate import FLAG, drop_header_rows, duplicate_keys,
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
 from landfall.plans.load import run_load
-from landfall.session import scratch_path, shared_dir
+from landfall.session import scratch_path
 from landfall.sources import fixtures as fx
 from landfall.sources import landing as L
 

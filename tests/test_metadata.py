@@ -89,3 +89,11 @@ def test_load_lists(spark, meta):
     assert rows(M.manual_list(spark, ["A", "B"], [False, True]), "file_name", "drop_create", "generate_ddl") == [
         ("A", False, True), ("B", True, True)]
     assert M.empty_rules(spark).count() == 0
+
+
+def test_rules_by_file(meta):
+    r = M.rules_by_file(meta["interface"], meta["interface_file"], meta["interface_field"])
+    names = {x["file_name"] for x in r.collect()}
+    assert names == {"orders", "customer", "events", "lineitem", "twice"}
+    assert [x["column_name"] for x in r.where("file_name = 'orders'").collect()] == [
+        "order_id", "cust_id", "status", "total_price", "order_ts", "priority"]

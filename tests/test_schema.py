@@ -45,3 +45,10 @@ def test_ddl_text_written(spark, meta, tmp_dir):
 def test_comment_escaping(spark, meta):
     ddl = SC.ddl_frame(meta).where("file_name = 'ORDERS' and layer = 'stg'").first()["statement"]
     assert "COMMENT 'priority\\\\level||优先级'" in ddl
+
+
+def test_ddl_for(meta):
+    got = {r["file_name"]: r["script"] for r in SC.ddl_for(SC.ddl_frame(meta), ["ORDERS", "EVENTS"]).collect()}
+    assert set(got) == {"ORDERS", "EVENTS"}
+    assert got["EVENTS"].count("CREATE TABLE") == 4 and "PARTITIONED BY (`event_type`)" in got["EVENTS"]
+    assert SC.ddl_for(SC.ddl_frame(meta), "CUSTOMER").count() == 1
