@@ -3,8 +3,9 @@
 Hard deletes are a left join of the day's staging rows with the distinct keys
 of the day's validated delete feed. The feed side is aggregated to distinct
 keys first (partial aggregation, one row per key) so the join never multiplies
-rows; AQE broadcasts it when its measured size is small and otherwise runs a
-sort-merge join with skewed partitions split.
+rows. In the load job that side is materialised and measured
+(``delete_key_side``) and broadcast only under the size limit; otherwise the
+join is a sort-merge join (staging keys are unique, so it has no hot key).
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.operators.sizing import SizedSide, measure
+
 HARD_DEL = "etl_is_hard_del"
 CREATED = "etl_created_ts"
 MODIFIED = "etl_modified_ts"
@@ -28,13 +31,29 @@ def load_timestamp(load_ts: Optional[str] = None) -> Column:
     return F.date_trunc("second", F.current_timestamp())
 
 
-def mark_hard_deletes(stg: DataFrame, pk_feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _pk_names(keys: Sequence[str]) -> list[str]:
+    return [f"__lf_pk{i}" for i in range(len(keys))]
+
+
+def delete_key_side(pk_feed: DataFrame, keys: Sequence[str], limit: Optional[int] = None) -> SizedSide:
+    """Distinct delete-feed keys, materialised and measured for the join decision."""
+    renamed = _pk_names(keys)
+    hits = (pk_feed.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
+            .withColumn(_HIT, F.lit(1)))
+    return measure(hits, renamed, limit)
+
+
+def mark_hard_deletes(stg: DataFrame, pk_feed: Optional[DataFrame], keys: Sequence[str],
+                      side: Optional[SizedSide] = None) -> DataFrame:
     """JOIN-2: ``etl_is_hard_del`` = 1 when the row's key is in the delete feed, else 0."""
     if not keys:
         raise ValueError("a delete feed needs key columns")
-    renamed = [f"__lf_pk{i}" for i in range(len(keys))]
-    hits = (pk_feed.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
-            .withColumn(_HIT, F.lit(1)))
+    renamed = _pk_names(keys)
+    if side is None:
+        hits = (pk_feed.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
+                .withColumn(_HIT, F.lit(1)))
+    else:
+        hits = side.for_join()
     cond = [stg[k] == hits[r] for k, r in zip(keys, renamed)]
     joined = stg.join(hits, cond, "left")
     return joined.select(*[stg[c] for c in stg.columns],
@@ -62,7 +81,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def stage_to_ods(stg: DataFrame, schema: T.StructType, keys: Sequence[str] = (),
-                 pk_feed: Optional[DataFrame] = None, load_ts: Optional[str] = None) -> DataFrame:
+                 pk_feed: Optional[DataFrame] = None, load_ts: Optional[str] = None,
+                 side: Optional[SizedSide] = None) -> DataFrame:
     """PIPE-3 row plan: hard-delete mark, audit columns, typed ODS columns."""
-    marked = mark_hard_deletes(stg, pk_feed, keys) if pk_feed is not None else without_delete_feed(stg)
+    has_feed = pk_feed is not None or side is not None
+    marked = mark_hard_deletes(stg, pk_feed, keys, side) if has_feed else without_delete_feed(stg)
     return conform(add_audit_columns(marked, load_ts), schema)

@@ -7,9 +7,10 @@ Plan shape (checked with ``explain``):
       -> left join (null-safe, on keys) <- HashAggregate(partial) keys count>1
 
 Only the key columns feed the aggregate, with map-side partial counts, so a
-key holding a third of all rows costs one hash-table entry per task. The join
-back is chosen at runtime by AQE: broadcast when the duplicate-key set is
-measured small, otherwise sort-merge with the skew-join split of hot keys.
+key holding a third of all rows costs one hash-table entry per task. In the
+load job the duplicate-key set is materialised and measured first
+(``duplicate_side``): it is broadcast only when its exact size is under the
+limit, otherwise the join back is a sort-merge join whose hot keys AQE splits.
 Duplicate keys never reach the driver.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import checks
+from landfall.operators.sizing import SizedSide, measure
 from landfall.spec import ColumnRule, Profile
 
 FLAG = "flag"
@@ -45,18 +47,42 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .where(F.col("dup_count") > 1))
 
 
-def mark_duplicates(df: DataFrame, keys: Sequence[str], out_col: str = _DUP) -> DataFrame:
+def _key_names(keys: Sequence[str]) -> list[str]:
+    return [f"__lf_k{i}" for i in range(len(keys))]
+
+
+def duplicate_side(df: DataFrame, keys: Sequence[str], load_date_col: Optional[str] = "load_dt",
+                   limit: Optional[int] = None, drop_headers: bool = True) -> SizedSide:
+    """Materialise and measure the duplicate keys of ``df`` (header rows excluded).
+
+    The result decides the join of ``mark_duplicates``: broadcast when its
+    measured size is under ``limit``, a shuffle join otherwise.
+    """
+    cols = data_columns(df, load_date_col)
+    base = drop_header_rows(df, cols) if drop_headers else df
+    renamed = _key_names(keys)
+    dups = duplicate_keys(base, keys).select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
+                                             F.lit(True).alias(_DUP))
+    return measure(dups, renamed, limit)
+
+
+def mark_duplicates(df: DataFrame, keys: Sequence[str], out_col: str = _DUP,
+                    side: Optional[SizedSide] = None) -> DataFrame:
     """DQ-8 / JOIN-4: add boolean ``out_col`` = the row's key occurs more than once.
 
     Null-safe equality reproduces the reference, where null key parts compare
-    equal to each other.
+    equal to each other. Without a measured ``side`` the whole thing stays one
+    lazy plan and AQE chooses the join at runtime.
     """
-    renamed = [f"__lf_k{i}" for i in range(len(keys))]
-    dups = (duplicate_keys(df, keys)
-            .select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.lit(True).alias(out_col)))
+    renamed = _key_names(keys)
+    if side is None:
+        dups = duplicate_keys(df, keys).select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
+                                               F.lit(True).alias(_DUP))
+    else:
+        dups = side.for_join()
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(dups[r]) for k, r in zip(keys, renamed)])
     joined = df.join(dups, cond, "left")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(dups[out_col], F.lit(False)).alias(out_col))
+    return joined.select(*[df[c] for c in df.columns], F.coalesce(dups[_DUP], F.lit(False)).alias(out_col))
 
 
 def _check_schema(columns: Sequence[str], rules: Sequence[ColumnRule], keys: Sequence[str]) -> None:
@@ -72,11 +98,14 @@ def _check_schema(columns: Sequence[str], rules: Sequence[ColumnRule], keys: Seq
 
 def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (),
              profile: "str | Profile" = "v2", load_date_col: Optional[str] = "load_dt",
-             message_style: str = "native", drop_headers: bool = True) -> DataFrame:
+             message_style: str = "native", drop_headers: bool = True,
+             duplicates: Optional[SizedSide] = None) -> DataFrame:
     """PIPE-1: checks, uniqueness and flag for one landing frame (one load date).
 
     Returns the landing columns (timestamps normalised in v2) followed by
     ``flag`` (``''`` when clean). The load-date column, when present, is kept.
+    ``duplicates`` is an optional measured duplicate-key side from
+    ``duplicate_side`` (same frame and keys); without it the plan is fully lazy.
     """
     prof = Profile.of(profile)
     msgs = checks.messages(message_style)
@@ -86,7 +115,7 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (
 
     base = drop_header_rows(df, cols) if drop_headers else df
     if keys:
-        base = mark_duplicates(base, list(keys))
+        base = mark_duplicates(base, list(keys), side=duplicates)
         dup: Optional[Column] = F.col(_DUP)
     else:  # B3: no key -> no uniqueness check
         dup = None

@@ -31,7 +31,7 @@ from landfall import spec as S
 from landfall.operators import ods as O
 from landfall.operators import sinks
 from landfall.operators.split import audit_exprs, clean_rows, reject_rows
-from landfall.operators.validate import FLAG, validate
+from landfall.operators.validate import FLAG, duplicate_side, validate
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
 from landfall.session import apply_runtime_conf
@@ -58,10 +58,12 @@ class LoadResult:
 def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[S.ColumnRule],
                        keys: Sequence[str], stg_table: str, rej_table: str, load_dt: str,
                        profile: "str | S.Profile" = "v2", load_date_col: str = "load_dt",
-                       message_style: str = "native", persist: bool = True) -> SplitCounts:
+                       message_style: str = "native", persist: bool = True,
+                       broadcast_limit: Optional[int] = None) -> SplitCounts:
     """PIPE-1 / PIPE-2: validate one landing frame and write its two outputs for ``load_dt``."""
     landing = L.for_load_date(landing, load_dt, load_date_col) if load_date_col in landing.columns else landing
-    validated = validate(landing, rules, keys, profile, load_date_col, message_style)
+    dups = duplicate_side(landing, keys, load_date_col, broadcast_limit) if keys else None
+    validated = validate(landing, rules, keys, profile, load_date_col, message_style, duplicates=dups)
     cols = [r.name for r in rules]
     if persist:
         validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
@@ -76,18 +78,27 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
     finally:
         if persist:
             validated.unpersist()
+        if dups is not None:
+            dups.release()
 
 
 def load_to_ods(spark: SparkSession, spec: S.FileSpec, load_dt: str, load_ts: Optional[str] = None,
-                load_date_col: str = "load_dt") -> str:
+                load_date_col: str = "load_dt", broadcast_limit: Optional[int] = None) -> str:
     """PIPE-3: staging (and staging key feed) of ``load_dt`` -> ODS."""
     t = spec.tables
     sinks.assert_not_self([t.stg, t.stg_pk], t.ods)
     stg = L.read_table_for_date(spark, t.stg, load_dt, load_date_col)
-    pk = L.read_table_for_date(spark, t.stg_pk, load_dt, load_date_col) if t.has_delete_feed else None
+    side = None
+    if t.has_delete_feed:
+        pk = L.read_table_for_date(spark, t.stg_pk, load_dt, load_date_col)
+        side = O.delete_key_side(pk, spec.keys, broadcast_limit)
     schema = SC.layer_schema(spec, "ods", load_date_col)
-    ods = O.stage_to_ods(stg, schema, spec.keys, pk, load_ts)
-    return sinks.write_ods(spark, ods, spec, load_dt, load_date_col)
+    try:
+        ods = O.stage_to_ods(stg, schema, spec.keys, None, load_ts, side)
+        return sinks.write_ods(spark, ods, spec, load_dt, load_date_col)
+    finally:
+        if side is not None:
+            side.release()
 
 
 def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_col: str = "load_dt",

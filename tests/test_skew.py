@@ -54,3 +54,35 @@ def test_hot_key_is_split_and_exact(spark):
     assert counts[""] == 30000 - n_hot - n_blank
     assert len(rows) == 30000
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_measured_side_decides_the_join(spark):
+    from landfall.operators.validate import duplicate_side
+    df = landing(spark, 3000)
+    results = {}
+    for limit, expect in ((0, "SortMergeJoin"), (1 << 30, "BroadcastHashJoin")):
+        side = duplicate_side(df, ["k"], limit=limit)
+        try:
+            assert side.broadcast == (limit > 0)
+            assert side.rows == 2                      # key "007" and the null key
+            v = validate(df, RULES, ["k"], duplicates=side)
+            results[limit] = sorted((tuple(r) for r in v.collect()), key=repr)
+            v.collect()
+            assert expect in v._jdf.queryExecution().executedPlan().toString()
+        finally:
+            side.release()
+    assert results[0] == results[1 << 30]
+    assert results[0] == sorted((tuple(r) for r in validate(df, RULES, ["k"]).collect()), key=repr)
+
+
+def test_delete_side(spark):
+    from landfall.operators.ods import delete_key_side, mark_hard_deletes
+    stg = spark.createDataFrame([("1",), ("2",), ("3",)], "k string")
+    feed = spark.createDataFrame([("2",), ("2",), ("9",)], "k string")
+    for limit in (0, 1 << 20):
+        side = delete_key_side(feed, ["k"], limit)
+        try:
+            got = {r["k"]: r["etl_is_hard_del"] for r in mark_hard_deletes(stg, None, ["k"], side).collect()}
+        finally:
+            side.release()
+        assert side.rows == 2 and got == {"1": 0, "2": 1, "3": 0}
