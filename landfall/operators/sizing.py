@@ -11,11 +11,12 @@ in a broadcast.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Optional, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Per-row overhead added to the key bytes when estimating a broadcast
@@ -52,11 +53,16 @@ class SizedSide:
 
 
 def measure(df: DataFrame, columns: Sequence[str], limit: Optional[int] = None) -> SizedSide:
-    """Persist ``df``, count its rows and key bytes in one job, and decide on broadcast."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Persist ``df`` and fill the cache with one no-op write that also observes
+    its rows and key bytes; decide on broadcast from those exact numbers."""
     width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
-    row = cached.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    rows, key_bytes = int(row["n"]), int(row["b"])
+    obs = Observation(f"size_{uuid.uuid4().hex[:12]}")
+    cached = df.observe(obs, F.count(F.lit(1)).alias("n"),
+                        F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")) \
+               .persist(StorageLevel.MEMORY_AND_DISK)
+    cached.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    rows, key_bytes = int(m["n"]), int(m["b"])
     size = key_bytes + rows * ROW_OVERHEAD_BYTES
     lim = broadcast_limit(df.sparkSession, limit)
     return SizedSide(cached, rows, size, broadcast=0 <= size <= lim and lim > 0)
