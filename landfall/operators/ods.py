@@ -25,10 +25,10 @@ _HIT = "__lf_hit"
 
 
 def load_timestamp(load_ts: Optional[str] = None) -> Column:
-    """Audit time: the given ``yyyy-MM-dd HH:mm:ss`` or now, truncated to seconds."""
+    """Audit time (wall clock, no time zone): the given ``yyyy-MM-dd HH:mm:ss`` or now, to the second."""
     if load_ts is not None:
-        return F.lit(load_ts).cast("timestamp")
-    return F.date_trunc("second", F.current_timestamp())
+        return F.lit(load_ts).cast("timestamp_ntz")
+    return F.date_trunc("second", F.localtimestamp()).cast("timestamp_ntz")
 
 
 def _pk_names(keys: Sequence[str]) -> list[str]:

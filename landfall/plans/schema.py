@@ -30,8 +30,18 @@ AUDIT_COLUMNS = (("etl_is_hard_del", "int", "0,1"),
 
 # --------------------------------------------------------------------------- StructType view
 
+# The ODS "timestamp" is a wall-clock value with no time zone (as in the
+# original warehouse), which is Spark's TIMESTAMP_NTZ: casts and reads never
+# shift it with the session time zone.
+SPARK_TYPE_NAME = {"timestamp": "timestamp_ntz"}
+
+
+def spark_type_name(ods_type: str) -> str:
+    return SPARK_TYPE_NAME.get(ods_type, ods_type)
+
+
 def _spark_type(name: str) -> T.DataType:
-    return T._parse_datatype_string(name)
+    return T._parse_datatype_string(spark_type_name(name))
 
 
 def ods_columns(spec: S.FileSpec, load_date_col: str = "load_dt") -> list[tuple[str, str]]:
@@ -75,7 +85,10 @@ def _q(c: Column) -> Column:
 
 
 def _coldef(name: Column, typ: Column, comment: Optional[Column] = None) -> Column:
-    parts = [F.lit("\t`"), name, F.lit("` "), F.upper(typ)]
+    spark_typ = typ
+    for ours, theirs in SPARK_TYPE_NAME.items():
+        spark_typ = F.when(spark_typ == F.lit(ours), F.lit(theirs)).otherwise(spark_typ)
+    parts = [F.lit("\t`"), name, F.lit("` "), F.upper(spark_typ)]
     if comment is not None:
         parts += [F.lit(" COMMENT '"), _q(F.coalesce(comment, F.lit(""))), F.lit("'")]
     return F.concat(*parts)
