@@ -287,6 +287,40 @@ def e2e_multi_table(spark, sf_dir):
     return out
 
 
+def e2e_v1_validate_only(spark, sf_dir):
+    """The older job: profile v1, validate and split only; the reject table of the day."""
+    dbs = _scratch_dbs(spark)
+    run_load(spark, fx.metadata_frames(spark), LOAD_DT, files=["ORDERS"], databases=dbs,
+             warehouse_root=scratch_path(spark, "warehouse"), landing=_landing_fixtures(spark, sf_dir),
+             profile="v1", stages=("validate",))
+    return L.read_table_for_date(spark, f"{dbs['rej']}.ldg_crm_orders_rej", LOAD_DT).drop("load_dt")
+
+
+def e2e_csv_landing(spark, sf_dir):
+    """Landing CSV folders (header line per file) read by the load job itself -> ODS."""
+    dbs = _scratch_dbs(spark)
+    landing_root = scratch_path(spark, "landing")
+    for df, folder in ((fx.landed_orders(spark, sf_dir), "crm_orders"),
+                       (fx.landed_orders_pk(spark, sf_dir), "crm_orders_pk")):
+        (df.write.option("header", True).option("emptyValue", "").partitionBy("load_dt")
+           .csv(f"{landing_root}/CRM/{folder}"))
+    run_load(spark, fx.metadata_frames(spark), LOAD_DT, files=["ORDERS"], databases=dbs,
+             warehouse_root=scratch_path(spark, "warehouse"), landing_root=landing_root, load_ts=LOAD_TS)
+    return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
+
+
+def e2e_table_landing(spark, sf_dir):
+    """Non-CSV landing: rows inserted into the landing table, read by the load job -> ODS by key."""
+    dbs = _scratch_dbs(spark)
+    root = scratch_path(spark, "warehouse")
+    meta = fx.metadata_frames(spark)
+    run_load(spark, meta, LOAD_DT, files=["EVENTS"], databases=dbs, warehouse_root=root, create_only=True)
+    sinks.overwrite_dynamic(fx.landed_events(spark, sf_dir), f"{dbs['ldg']}.erp_events")
+    run_load(spark, meta, LOAD_DT, files=["EVENTS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS,
+             drop_create=[False])
+    return spark.table(f"{dbs['ods']}.erp_events")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_header_filter": dq_header_filter,
     "dq_misaligned": dq_misaligned,
@@ -318,4 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e2e_orders": e2e_orders,
     "e2e_pk_feed": e2e_pk_feed,
     "e2e_multi_table": e2e_multi_table,
+    "e2e_v1_validate_only": e2e_v1_validate_only,
+    "e2e_csv_landing": e2e_csv_landing,
+    "e2e_table_landing": e2e_table_landing,
 }

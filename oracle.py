@@ -274,6 +274,26 @@ def _multi_table() -> str:
     return with_(*ctes) + "\nUNION ALL\n".join(parts)
 
 
+LANDED_ORDERS_CSV = f"""
+landed_orders_csv AS (
+  SELECT {", ".join(f"coalesce({c}, '') AS {c}" for c in ORDER_COLS)}, load_dt FROM landed_orders)"""
+
+
+def _typed_orders_from_csv() -> str:
+    """ODS of orders after a CSV round trip: every null field reads back as ''."""
+    return (with_(LANDED_ORDERS, LANDED_ORDERS_PK, LANDED_ORDERS_CSV,
+                  cte("v", validated("landed_orders_csv", ORDER_RULES, ORDER_KEYS)),
+                  cte("pv", validated("landed_orders_pk", ORDER_PK_RULES, ORDER_KEYS)),
+                  cte("stg", f"SELECT {', '.join(ORDER_COLS)} FROM v WHERE flag = ''"),
+                  cte("pk", "SELECT DISTINCT order_id FROM pv WHERE flag = ''"))
+            + f"""SELECT TRY_CAST(s.order_id AS BIGINT) AS order_id, TRY_CAST(s.cust_id AS BIGINT) AS cust_id,
+       s.status, TRY_CAST(s.total_price AS DECIMAL(20,4)) AS total_price,
+       TRY_CAST(s.order_ts AS TIMESTAMP) AS order_ts, s.priority,
+       CAST(CASE WHEN p.order_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS etl_is_hard_del,
+       TIMESTAMP '{LOAD_TS}' AS etl_created_ts, TIMESTAMP '{LOAD_TS}' AS etl_modified_ts, '{LOAD_DT}' AS load_dt
+FROM stg s LEFT JOIN pk p ON s.order_id = p.order_id""")
+
+
 def oracle_sql() -> dict[str, str]:
     clean = lambda v, cols: f"SELECT {', '.join(cols)} FROM {v} WHERE flag = ''"
     return {
@@ -323,4 +343,7 @@ ON s.order_id = p.order_id""",
                        + "SELECT order_id, flag FROM pv WHERE flag = '' "
                          "UNION ALL SELECT order_id, flag FROM pv WHERE flag <> '' AND order_id IS NOT NULL",
         "e2e_multi_table": _multi_table(),
+        "e2e_v1_validate_only": _orders_v("v1") + f"SELECT {OC}, flag FROM v WHERE flag <> ''",
+        "e2e_csv_landing": _typed_orders_from_csv(),
+        "e2e_table_landing": ODS_EVENTS,
     }
