@@ -129,7 +129,8 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
             return validate_and_split(spark, read(spec, True), spec.key_rules(), spec.keys,
                                       t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style)
 
-        if t.has_delete_feed:   # independent jobs: submit both, the scheduler interleaves them
+        if t.has_delete_feed and S.Profile.of(profile).validate_delete_feed:
+            # independent jobs: submit both, the scheduler interleaves them
             with ThreadPoolExecutor(max_workers=2) as pool:
                 f_main, f_feed = pool.submit(main), pool.submit(feed)
                 res.main, res.delete_feed = f_main.result(), f_feed.result()
@@ -178,7 +179,7 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     dbs = {"ldg": "ldg", "stg": "stg", "rej": "rej", "ods": "ods", **(databases or {})}
     selected = select_files(spark, metadata, files, drop_create, generate_ddl)
     names = [n for n, _, _ in selected]
-    specs = M.file_specs(metadata, names, dbs, prof.keys_prefer)
+    specs = M.file_specs(metadata, names, dbs)     # uniqueness key: primary key first, in both profiles
 
     SC.create_databases(spark, dbs, warehouse_root)
     flags = {n: (d, g) for n, d, g in selected}
@@ -189,7 +190,8 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     to_write = [n for n in names if flags[n][1]] if ddl_path else []
     if to_create or to_write:
         ddl = SC.ddl_frame(metadata, dbs, landing_root or "landing", load_date_col,
-                           message_style=message_style).where(F.col("file_name").isin(names))
+                           message_style=message_style, key_table_prefer=prof.key_table_prefer) \
+            .where(F.col("file_name").isin(names))
         scripts = {r["file_name"]: r["script"] for r in
                    SC.ddl_scripts(ddl.where(F.col("file_name").isin(to_create))).collect()} if to_create else {}
         SC.create_tables(spark, [scripts[n] for n in to_create if flags[n][0]], recreate=True)

@@ -96,14 +96,16 @@ def _coldef(name: Column, typ: Column, comment: Optional[Column] = None) -> Colu
 
 def ddl_frame(metadata: dict, databases: Optional[dict] = None, landing_root: str = "landing",
               load_date_col: str = "load_dt", landing_format: str = "parquet",
-              message_style: str = "native") -> DataFrame:
+              message_style: str = "native", key_table_prefer: str = "primary") -> DataFrame:
     """DDL-2..DDL-9 for every active file: one row per (file, layer) with ``statement``.
 
-    Key-feed layers are produced only for files with physical deletion (DDL-9).
+    Key-feed layers are produced only for files with physical deletion (DDL-9);
+    their columns are the primary key, else the business key
+    (``key_table_prefer='business'`` reverses that, as the older job did).
     """
     files = M.file_plan(metadata["interface"], metadata["interface_file"], databases)
     fields = M.field_list(metadata["interface_field"])
-    keys = M.key_columns(metadata["interface_field"]).select("file_id", "keys")
+    keys = M.key_columns(metadata["interface_field"], key_table_prefer).select("file_id", "keys")
     f = fields.join(files.select("file_id", "partition_strategy", "load_keys"), "file_id") \
               .join(keys, "file_id", "left")
     is_key = F.array_contains(F.coalesce(F.col("keys"), F.array().cast("array<string>")), F.col("column_name"))

@@ -35,7 +35,7 @@ COLS = fx.ORDER_COLUMNS
 
 def _spec(spark: SparkSession, name: str, profile: str = "v2") -> S.FileSpec:
     meta = fx.metadata_frames(spark)
-    return M.file_specs(meta, [name], prefer=S.Profile.of(profile).keys_prefer)[0]
+    return M.file_specs(meta, [name])[0]
 
 
 def _rules(spark: SparkSession, name: str = "ORDERS") -> dict:

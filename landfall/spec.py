@@ -98,7 +98,8 @@ class Profile:
     normalise_timestamps: bool = True      # rewrite passing timestamps to ISO (v2)
     reject_requires_value: bool = True     # rejects need one non-null column (v2)
     timestamp_formats: tuple = TIMESTAMP_FORMATS_V2
-    keys_prefer: str = "primary"           # key precedence for the key feed tables
+    key_table_prefer: str = "primary"      # key precedence for the columns of the key-feed tables (DDL)
+    validate_delete_feed: bool = True      # the delete-key feed is validated and staged (v2 only)
 
     @staticmethod
     def of(name: "str | Profile") -> "Profile":
@@ -113,7 +114,8 @@ class Profile:
 
 V2 = Profile()
 V1 = Profile(name="v1", null_is_missing=True, flag_misaligned=False, normalise_timestamps=False,
-             reject_requires_value=False, timestamp_formats=TIMESTAMP_FORMATS_V1, keys_prefer="business")
+             reject_requires_value=False, timestamp_formats=TIMESTAMP_FORMATS_V1, key_table_prefer="business",
+             validate_delete_feed=False)
 
 
 @dataclass(frozen=True)

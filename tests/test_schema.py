@@ -52,3 +52,9 @@ def test_ddl_for(meta):
     assert set(got) == {"ORDERS", "EVENTS"}
     assert got["EVENTS"].count("CREATE TABLE") == 4 and "PARTITIONED BY (`event_type`)" in got["EVENTS"]
     assert SC.ddl_for(SC.ddl_frame(meta), "CUSTOMER").count() == 1
+
+
+def test_key_tables_business_first(meta):
+    ddl = SC.ddl_frame(meta, key_table_prefer="business")
+    by_layer = {r["layer"]: r["statement"] for r in ddl.where("file_name = 'ORDERS'").collect()}
+    assert "`order_id` STRING" in by_layer["stg_pk"]          # ORDERS has no business key: primary key used
