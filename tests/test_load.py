@@ -112,3 +112,24 @@ def test_auto_mode_uses_load_list(spark, meta, tmp_dir):
     res = run_load(spark, meta, "2022-09-11", databases=d, warehouse_root=tmp_dir, landing=landing(spark),
                    load_ts=TS, max_parallel=3)
     assert sorted(r.file_name for r in res) == ["CUSTOMER", "EVENTS", "ORDERS"]
+
+
+def test_other_dates_untouched(spark, meta, tmp_dir):
+    d = dbs()
+    two_days = lambda: fx.landed_orders(spark, SF).unionByName(
+        fx.landed_orders(spark, SF).withColumn("load_dt", F.lit("2022-09-10")))
+    src = landing(spark, {("ORDERS", False): two_days})
+    for day in ("2022-09-10", "2022-09-11"):
+        run_load(spark, meta, day, files=["ORDERS"], databases=d, warehouse_root=tmp_dir, landing=src, load_ts=TS,
+                 drop_create=[False])
+    assert count(spark, f"{d['stg']}.crm_orders", "2022-09-10") == 1372
+    assert count(spark, f"{d['stg']}.crm_orders", "2022-09-11") == 1372
+    # re-loading one day with an empty landing clears only that day
+    empty = landing(spark, {("ORDERS", False): lambda: fx.landed_orders(spark, SF).where("false")})
+    res = run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir, landing=empty,
+                   load_ts=TS, drop_create=[False])
+    assert res[0].main.total == 0
+    assert count(spark, f"{d['stg']}.crm_orders", "2022-09-11") == 0
+    assert count(spark, f"{d['ods']}.crm_orders", "2022-09-11") == 0
+    assert count(spark, f"{d['stg']}.crm_orders", "2022-09-10") == 1372
+    assert count(spark, f"{d['ods']}.crm_orders", "2022-09-10") == 1372

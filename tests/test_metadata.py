@@ -97,3 +97,15 @@ def test_rules_by_file(meta):
     assert names == {"orders", "customer", "events", "lineitem", "twice"}
     assert [x["column_name"] for x in r.where("file_name = 'orders'").collect()] == [
         "order_id", "cust_id", "status", "total_price", "order_ts", "priority"]
+
+
+def test_metadata_from_files_and_views(spark, meta, tmp_path):
+    from landfall.sources.metadata import read_metadata_files, register_views
+    root = str(tmp_path / "meta")
+    for name, df in meta.items():
+        df.write.parquet(f"{root}/{name}")
+    again = read_metadata_files(spark, root)
+    assert [s.keys for s in M.file_specs(again, ["ORDERS", "LINEITEM"])] == [("order_id",), ("l_orderkey", "l_linenumber")]
+    register_views(again, {"interface_file": "pg_file"})
+    assert spark.sql("select count(*) from pg_file").first()[0] == 8
+    assert spark.sql("select count(*) from interface_field").first()[0] == len(meta["interface_field"].collect())
