@@ -9,6 +9,7 @@ null becomes ``''``. All of this is column expressions on the scan output.
 
 from __future__ import annotations
 
+import re
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ def read_landing_csv(spark: SparkSession, path: str, columns: Sequence[str],
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
-    n_fields = F.size(F.split(F.col(CORRUPT), _FIELD_SPLIT.replace(",", sep, 1)))
+    n_fields = F.size(F.split(F.col(CORRUPT), re.escape(sep) + _FIELD_SPLIT[1:]))
     out = []
     for i, c in enumerate(columns):
         filled = F.coalesce(F.col(c), F.lit(""))

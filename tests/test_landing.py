@@ -44,3 +44,13 @@ def test_partition_filter_reaches_scan(spark, tmp_dir):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_dt" in plan and "2022-09-11" in plan
     assert sorted(r["id"] for r in one.collect()) == ["5", "6", "7", "8", "9"]
+
+
+def test_other_separator(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "psv", "load_dt=2022-09-11")
+    os.makedirs(d)
+    with open(os.path.join(d, "part-0.csv"), "w") as f:
+        f.write("id|ts|kind\n1|a|A\n2||\n3|\n")
+    df = L.read_landing_csv(spark, os.path.join(tmp_dir, "psv"), ["id", "ts", "kind"], sep="|")
+    rows = {r["id"]: (r["ts"], r["kind"]) for r in df.collect()}
+    assert rows == {"1": ("a", "A"), "2": ("", ""), "3": ("", None)}
