@@ -204,7 +204,13 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     read = landing or landing_reader(spark, landing_root, load_date_col)
 
     def one(spec: S.FileSpec) -> LoadResult:
-        return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages)
+        # One scheduler pool per file: under FAIR scheduling a large file does
+        # not hold back the small ones (ignored under FIFO).
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landfall_{spec.ddl_name}")
+        try:
+            return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     if max_parallel <= 1 or len(specs) <= 1:
         return [one(s) for s in specs]

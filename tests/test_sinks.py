@@ -1,0 +1,37 @@
+"""Sink safety: no self-overwrite, dynamic overwrite only in dynamic mode, literal partitions."""
+
+import uuid
+
+import pytest
+
+from landfall.operators import sinks
+
+
+def test_assert_not_self():
+    sinks.assert_not_self(["stg.a", "stg.a_pk"], "ods.a")
+    with pytest.raises(ValueError):
+        sinks.assert_not_self(["stg.a", "`ODS`.a"], "ods.a")
+
+
+def test_dynamic_overwrite_requires_dynamic_mode(spark, tmp_dir):
+    t = f"dyn_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE TABLE {t} (v STRING, p STRING) USING ORC PARTITIONED BY (p) LOCATION '{tmp_dir}/{t}'")
+    spark.createDataFrame([("1", "a"), ("2", "b")], "v string, p string").write.insertInto(t)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        with pytest.raises(RuntimeError):
+            sinks.overwrite_dynamic(spark.createDataFrame([("3", "a")], "v string, p string"), t)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        sinks.overwrite_dynamic(spark.createDataFrame([("3", "a")], "v string, p string"), t)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("2", "b"), ("3", "a")]
+
+
+def test_literal_partition_with_quote(spark, tmp_dir):
+    t = f"lit_{uuid.uuid4().hex[:6]}"
+    spark.sql(f"CREATE TABLE {t} (v STRING, d STRING) USING ORC PARTITIONED BY (d) LOCATION '{tmp_dir}/{t}'")
+    df = spark.createDataFrame([("1",)], "v string")
+    sinks.overwrite_partition(spark, df, t, "d", "it's", ["v"])
+    assert [tuple(r) for r in spark.table(t).collect()] == [("1", "it's")]
