@@ -133,3 +133,16 @@ def test_other_dates_untouched(spark, meta, tmp_dir):
     assert count(spark, f"{d['ods']}.crm_orders", "2022-09-11") == 0
     assert count(spark, f"{d['stg']}.crm_orders", "2022-09-10") == 1372
     assert count(spark, f"{d['ods']}.crm_orders", "2022-09-10") == 1372
+
+
+def test_without_persist_same_counts(spark, meta, tmp_dir):
+    from landfall.plans import metadata as M
+    from landfall.plans.load import validate_and_split
+    d = dbs()
+    run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir, create_only=True)
+    spec = M.file_specs(meta, ["ORDERS"], d)[0]
+    for persist, limit in ((False, None), (True, 0)):
+        m = validate_and_split(spark, fx.landed_orders(spark, SF), spec.rules, spec.keys, spec.tables.stg,
+                               spec.tables.rej, "2022-09-11", persist=persist, broadcast_limit=limit)
+        assert (m.total, m.clean, m.rejected, m.blank) == (1516, 1372, 128, 16)
+        assert count(spark, spec.tables.stg) == 1372 and count(spark, spec.tables.rej) == 128
