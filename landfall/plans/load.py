@@ -34,7 +34,7 @@ from landfall.operators.split import audit_exprs, clean_rows, reject_rows
 from landfall.operators.validate import FLAG, duplicate_side, validate
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
-from landfall.session import apply_runtime_conf
+from landfall.session import apply_runtime_conf, set_scheduler_pool
 from landfall.sources import landing as L
 
 
@@ -206,11 +206,11 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     def one(spec: S.FileSpec) -> LoadResult:
         # One scheduler pool per file: under FAIR scheduling a large file does
         # not hold back the small ones (ignored under FIFO).
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landfall_{spec.ddl_name}")
+        set_scheduler_pool(spark, f"landfall_{spec.ddl_name}")
         try:
             return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages)
         finally:
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            set_scheduler_pool(spark, None)
 
     if max_parallel <= 1 or len(specs) <= 1:
         return [one(s) for s in specs]

@@ -48,6 +48,14 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
@@ -55,17 +63,25 @@ def shared_dir(spark: SparkSession) -> str:
     (local tests), a private folder is created and registered as the session's
     checkpoint directory so ``checkpoint()`` and written work tables agree.
     """
+    sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="landfall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def set_scheduler_pool(spark: SparkSession, pool: "str | None") -> None:
+    """Run this thread's jobs in ``pool`` (effective under FAIR scheduling; no-op on Connect)."""
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLocalProperty("spark.scheduler.pool", pool)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never a local temp dir on a cluster)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
