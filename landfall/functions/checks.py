@@ -55,30 +55,23 @@ def layout_regex(fmt: str) -> tuple[str, str, bool]:
     return r"\A" + "".join(parts) + r"\z", iso, has_time
 
 
-_DIGITS = "0123456789"
 _ISO_DATE, _ISO_TS = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
 
 
-def layout_positions(fmt: str) -> tuple[str, dict, bool]:
-    """``like`` pattern of a fixed-width layout and the 1-based position of each field.
+def layout_positions(fmt: str) -> tuple[dict, bool]:
+    """1-based position of each field of a fixed-width layout, and whether it has a time.
 
-    ``'MM/dd/yyyy HH:mm:ss'`` -> ``('__/__/____ __:__:__', {'MM': 1, 'dd': 4, ...}, True)``.
+    ``'MM/dd/yyyy HH:mm:ss'`` -> ``({'MM': 1, 'dd': 4, 'yyyy': 7, 'HH': 12, ...}, True)``.
     """
-    pattern, fields, width = [], {}, 0
-    pos = 0
+    fields, width, pos = {}, 0, 0
     for m in _TOKEN.finditer(fmt):
-        lit = fmt[pos:m.start()]
-        pattern.append(lit.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_"))
-        width += len(lit)
+        width += m.start() - pos
         fields[m.group()] = width + 1
-        pattern.append("_" * _WIDTH[m.group()])
         width += _WIDTH[m.group()]
         pos = m.end()
-    tail = fmt[pos:]
-    pattern.append(tail.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_"))
     if not {"yyyy", "MM", "dd"} <= set(fields):
         raise ValueError(f"layout {fmt!r} needs yyyy, MM and dd")
-    return "".join(pattern), fields, "HH" in fields
+    return fields, "HH" in fields
 
 
 # --------------------------------------------------------------------------- predicates
@@ -119,7 +112,7 @@ def iso_candidate(v: "str | Column", formats: Iterable[str]) -> Column:
     v = _c(v)
     out = F.lit(None).cast("string")
     for fmt in reversed(list(formats)):
-        _, pos, has_time = layout_positions(fmt)
+        pos, has_time = layout_positions(fmt)
         rx, _, _ = layout_regex(fmt)
         if fmt in (_ISO_TS, _ISO_DATE):
             iso = v

@@ -151,3 +151,9 @@ def test_layout_regex():
     rx, iso, has_time = checks.layout_regex("MM/dd/yyyy HH:mm:ss")
     assert iso == "$3-$1-$2 $4:$5:$6" and has_time
     assert rx.startswith(r"\A") and rx.endswith(r"\z")
+
+
+def test_layout_positions():
+    assert checks.layout_positions("MM/dd/yyyy HH:mm:ss") == (
+        {"MM": 1, "dd": 4, "yyyy": 7, "HH": 12, "mm": 15, "ss": 18}, True)
+    assert checks.layout_positions("yyyy-MM-dd") == ({"yyyy": 1, "MM": 6, "dd": 9}, False)
