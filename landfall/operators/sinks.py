@@ -33,8 +33,14 @@ def assert_not_self(source_tables: Sequence[str], target: str) -> None:
 
 
 def overwrite_partition(spark: SparkSession, df: DataFrame, table: str, partition_col: str, value: str,
-                        columns: Sequence[str]) -> None:
-    """SNK-1/2/3: static overwrite of one partition from ``columns`` of ``df``."""
+                        columns: Sequence[str], rebalance: bool = False) -> None:
+    """SNK-1/2/3: static overwrite of one partition from ``columns`` of ``df``.
+
+    ``rebalance`` lets AQE size the output files (for sparse outputs such as
+    rejects, which would otherwise leave one tiny file per input task).
+    """
+    if rebalance:
+        df = df.hint("rebalance")
     view = f"__lf_src_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(view)
     try:
@@ -73,7 +79,9 @@ def write_ods(spark: SparkSession, ods: DataFrame, spec: S.FileSpec, load_dt: st
         overwrite_partition(spark, ods, table, load_date_col, load_dt, cols)
         return "load_date"
     if strategy == S.PART_LOAD_KEY:
-        overwrite_dynamic(ods, table)
+        # Rebalance by the load keys: a few files per key instead of one per
+        # task and key; AQE splits a key holding a large share of the rows.
+        overwrite_dynamic(ods.hint("rebalance", *spec.load_keys), table)
         return "load_key"
     if strategy == S.PART_NONE:
         overwrite_full(ods, table)

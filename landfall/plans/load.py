@@ -72,7 +72,7 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
         observed = validated.observe(obs, *audit_exprs(cols, profile))
         sinks.overwrite_partition(spark, clean_rows(observed, cols), stg_table, load_date_col, load_dt, cols)
         sinks.overwrite_partition(spark, reject_rows(validated, cols, profile), rej_table, load_date_col, load_dt,
-                                  cols + [FLAG])
+                                  cols + [FLAG], rebalance=True)
         m = obs.get
         return SplitCounts(total=m["total"], clean=m["clean"], rejected=m["rejected"], blank=m["blank"])
     finally:
