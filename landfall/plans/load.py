@@ -59,25 +59,42 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
                        keys: Sequence[str], stg_table: str, rej_table: str, load_dt: str,
                        profile: "str | S.Profile" = "v2", load_date_col: str = "load_dt",
                        message_style: str = "native", persist: bool = True,
-                       broadcast_limit: Optional[int] = None) -> SplitCounts:
-    """PIPE-1 / PIPE-2: validate one landing frame and write its two outputs for ``load_dt``."""
+                       broadcast_limit: Optional[int] = None, cache_landing: bool = False) -> SplitCounts:
+    """PIPE-1 / PIPE-2: validate one landing frame and write its two outputs for ``load_dt``.
+
+    ``cache_landing`` (for sources that are expensive to read, such as CSV):
+    the day's landing rows are cached once and feed both the duplicate-key
+    aggregate and the validation. When the duplicate keys are broadcast the
+    reject write re-derives from that cache (checks + broadcast probe) instead
+    of keeping a second cache of the validated rows; with a shuffle join the
+    validated rows are cached too and the landing cache is dropped once filled.
+    """
     landing = L.for_load_date(landing, load_dt, load_date_col) if load_date_col in landing.columns else landing
+    cached: list = []
+    if cache_landing:
+        landing = landing.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(landing)
     dups = duplicate_side(landing, keys, load_date_col, broadcast_limit) if keys else None
     validated = validate(landing, rules, keys, profile, load_date_col, message_style, duplicates=dups)
     cols = [r.name for r in rules]
-    if persist:
+    cheap_to_redo = cache_landing and (dups is None or dups.broadcast)
+    keep_validated = persist and not cheap_to_redo
+    if keep_validated:
         validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(validated)
     try:
         obs = Observation(f"audit_{uuid.uuid4().hex[:12]}")
         observed = validated.observe(obs, *audit_exprs(cols, profile))
         sinks.overwrite_partition(spark, clean_rows(observed, cols), stg_table, load_date_col, load_dt, cols)
+        if keep_validated and cache_landing:
+            landing.unpersist()        # the validated cache now holds everything the reject write needs
         sinks.overwrite_partition(spark, reject_rows(validated, cols, profile), rej_table, load_date_col, load_dt,
                                   cols + [FLAG], rebalance=True)
         m = obs.get
         return SplitCounts(total=m["total"], clean=m["clean"], rejected=m["rejected"], blank=m["blank"])
     finally:
-        if persist:
-            validated.unpersist()
+        for df in cached:
+            df.unpersist()
         if dups is not None:
             dups.release()
 
@@ -103,31 +120,46 @@ def load_to_ods(spark: SparkSession, spec: S.FileSpec, load_dt: str, load_ts: Op
 
 def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_col: str = "load_dt",
                    fmt: Optional[str] = None) -> Callable[[S.FileSpec, bool], DataFrame]:
-    """Default landing source: CSV folders under ``landing_root`` or the landing tables."""
+    """Default landing source: CSV folders under ``landing_root`` or the landing tables.
+
+    The reader's ``parses_csv(spec)`` tells the load job which sources are
+    parsed from text, whose rows it caches instead of parsing them twice.
+    """
+    def parses_csv(spec: S.FileSpec) -> bool:
+        return spec.file_type.upper() == "CSV" and bool(landing_root)
+
     def read(spec: S.FileSpec, pk: bool) -> DataFrame:
         cols = list(spec.keys) if pk else spec.columns
-        if spec.file_type.upper() == "CSV" and landing_root:
+        if parses_csv(spec):
             path = f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
             return L.read_landing_csv(spark, path, cols, load_date_col)
         return L.read_landing(spark, spec.tables.ldg_pk if pk else spec.tables.ldg, fmt)
+    read.parses_csv = parses_csv
     return read
 
 
 def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
               read: Callable[[S.FileSpec, bool], DataFrame], profile: "str | S.Profile" = "v2",
               load_ts: Optional[str] = None, load_date_col: str = "load_dt", message_style: str = "native",
-              stages: Sequence[str] = ("validate", "ods")) -> LoadResult:
-    """All stages of one file for one date."""
+              stages: Sequence[str] = ("validate", "ods"), cache_landing: Optional[bool] = None) -> LoadResult:
+    """All stages of one file for one date.
+
+    ``cache_landing=None`` caches the landing rows when the reader parses them
+    from CSV text (so they are parsed once); other sources are scanned twice.
+    """
     res = LoadResult(spec.file_name)
     t = spec.tables
+    if cache_landing is None:
+        cache_landing = bool(getattr(read, "parses_csv", lambda _: False)(spec))
     if "validate" in stages:
         def main() -> SplitCounts:
             return validate_and_split(spark, read(spec, False), spec.rules, spec.keys, t.stg, t.rej, load_dt,
-                                      profile, load_date_col, message_style)
+                                      profile, load_date_col, message_style, cache_landing=cache_landing)
 
         def feed() -> SplitCounts:
             return validate_and_split(spark, read(spec, True), spec.key_rules(), spec.keys,
-                                      t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style)
+                                      t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style,
+                                      cache_landing=cache_landing)
 
         if t.has_delete_feed and S.Profile.of(profile).validate_delete_feed:
             # independent jobs: submit both, the scheduler interleaves them
@@ -168,7 +200,8 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
              load_ts: Optional[str] = None, ddl_path: Optional[str] = None,
              drop_create: Optional[Sequence[bool]] = None, generate_ddl: Optional[Sequence[bool]] = None,
              stages: Sequence[str] = ("validate", "ods"), load_date_col: str = "load_dt",
-             message_style: str = "native", max_parallel: int = 4) -> list[LoadResult]:
+             message_style: str = "native", max_parallel: int = 4,
+             cache_landing: Optional[bool] = None) -> list[LoadResult]:
     """PIPE-4 / PIPE-5: create tables and load the selected files for ``load_dt``.
 
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
@@ -208,7 +241,8 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
         # not hold back the small ones (ignored under FIFO).
         set_scheduler_pool(spark, f"landfall_{spec.ddl_name}")
         try:
-            return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages)
+            return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages,
+                             cache_landing)
         finally:
             set_scheduler_pool(spark, None)
 
