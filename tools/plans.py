@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from landfall.operators import ods as O  # noqa: E402
-from landfall.operators.split import clean_rows  # noqa: E402
+from landfall.operators.split import clean_rows, reject_rows  # noqa: E402
 from landfall.operators.validate import duplicate_side, validate  # noqa: E402
 from landfall.plans import metadata as M  # noqa: E402
 from landfall.plans import schema as SC  # noqa: E402
@@ -74,6 +74,18 @@ def main() -> None:
                        orders.keys, None, "2022-09-12 01:00:00", feed))
     feed.release()
 
+    v = validate(fx.landed_orders(spark, sf_dir), orders.rules, orders.keys)
+    add("Reject rows before their write (REBALANCE)",
+        "Rejects are sparse; the rebalance lets AQE coalesce them into advisory-size files.",
+        reject_rows(v, orders.columns).hint("rebalance"))
+    events = M.file_specs(meta, ["EVENTS"])[0]
+    ev = clean_rows(validate(fx.landed_events(spark, sf_dir), events.rules, events.keys), events.columns) \
+        .withColumn("load_dt", F.lit(fx.LOAD_DT))
+    add("ODS by load key before its dynamic-partition write (REBALANCE by key)",
+        "Rebalanced by the load-key column: a few files per key; AQE splits a key with a large share of rows.",
+        O.stage_to_ods(ev, SC.layer_schema(events, "ods"), events.keys, None, "2022-09-12 01:00:00")
+        .hint("rebalance", *events.load_keys))
+
     csv = scratch_path(spark, "plans-csv")
     fx.landed_orders(spark, sf_dir).write.option("header", True).partitionBy("load_dt").csv(csv)
     add("CSV landing read for one load date",
