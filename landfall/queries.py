@@ -321,6 +321,12 @@ def e2e_table_landing(spark, sf_dir):
     return spark.table(f"{dbs['ods']}.erp_events")
 
 
+def e2e_lineitem(spark, sf_dir):
+    """The whole of lineitem loaded end to end (composite key, every numeric ODS type) -> ODS."""
+    dbs, _ = _load(spark, sf_dir, ["LINEITEM"])
+    return L.read_table_for_date(spark, f"{dbs['ods']}.erp_lineitem", LOAD_DT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_header_filter": dq_header_filter,
     "dq_misaligned": dq_misaligned,
@@ -355,4 +361,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e2e_v1_validate_only": e2e_v1_validate_only,
     "e2e_csv_landing": e2e_csv_landing,
     "e2e_table_landing": e2e_table_landing,
+    "e2e_lineitem": e2e_lineitem,
 }

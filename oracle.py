@@ -294,6 +294,17 @@ def _typed_orders_from_csv() -> str:
 FROM stg s LEFT JOIN pk p ON s.order_id = p.order_id""")
 
 
+ODS_LINEITEM = (with_(LANDED_LINEITEM, cte("v", validated("landed_lineitem", LINEITEM_RULES, LINEITEM_KEYS)))
+                + f"""SELECT TRY_CAST(l_orderkey AS BIGINT) AS l_orderkey, TRY_CAST(l_partkey AS BIGINT) AS l_partkey,
+       TRY_CAST(l_suppkey AS BIGINT) AS l_suppkey, TRY_CAST(l_linenumber AS INTEGER) AS l_linenumber,
+       TRY_CAST(l_quantity AS DOUBLE) AS l_quantity, TRY_CAST(l_extendedprice AS DECIMAL(20,4)) AS l_extendedprice,
+       TRY_CAST(l_discount AS DOUBLE) AS l_discount, TRY_CAST(l_tax AS DECIMAL(20,4)) AS l_tax,
+       l_returnflag, l_linestatus, TRY_CAST(l_shipdate AS TIMESTAMP) AS l_shipdate,
+       CAST(0 AS INTEGER) AS etl_is_hard_del, TIMESTAMP '{LOAD_TS}' AS etl_created_ts,
+       TIMESTAMP '{LOAD_TS}' AS etl_modified_ts, '{LOAD_DT}' AS load_dt
+FROM v WHERE flag = ''""")
+
+
 def oracle_sql() -> dict[str, str]:
     clean = lambda v, cols: f"SELECT {', '.join(cols)} FROM {v} WHERE flag = ''"
     return {
@@ -346,4 +357,5 @@ ON s.order_id = p.order_id""",
         "e2e_v1_validate_only": _orders_v("v1") + f"SELECT {OC}, flag FROM v WHERE flag <> ''",
         "e2e_csv_landing": _typed_orders_from_csv(),
         "e2e_table_landing": ODS_EVENTS,
+        "e2e_lineitem": ODS_LINEITEM,
     }
