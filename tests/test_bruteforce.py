@@ -48,7 +48,7 @@ ts_like = st.one_of(
     st.text(alphabet="0123456789-/: T", max_size=20))
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=3, deadline=None, derandomize=True)
 @given(st.lists(ts_like, min_size=50, max_size=200))
 def test_timestamp_matches_model(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
@@ -58,7 +58,7 @@ def test_timestamp_matches_model(spark, values):
             assert got[v] == py_ts_ok(v, formats), (v, formats)
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=3, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="0123456789 +-.a１\n", max_size=6), min_size=20, max_size=100))
 def test_integer_matches_model(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
@@ -121,7 +121,7 @@ cell = {
 row = st.tuples(cell["k"], cell["s"], cell["t"])
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=4, deadline=None, derandomize=True)
 @given(st.lists(row, min_size=1, max_size=60), st.sampled_from(["v2", "v1"]))
 def test_validate_matches_model(spark, rows, profile):
     df = spark.createDataFrame([(*r, "d") for r in rows], "k string, s string, t string, load_dt string")
