@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 
 from landfall import spec as S
 
-# Characters replaced by a blank in column comments (fixed value).
-COMMENT_CHARS = r"[.,`'/{}$]"
+COMMENT_CHARS = S.COMMENT_CHARS
 
 
 # --------------------------------------------------------------------------- expressions
@@ -38,7 +37,7 @@ def physical_table_name() -> Column:
 
 def clean_comment(en: str = "fields_comment_en", cn: str = "fields_comment_cn") -> Column:
     """MET-7: both languages joined by ``||`` (null-safe), special characters blanked."""
-    return F.regexp_replace(F.concat_ws("||", F.col(en), F.col(cn)), COMMENT_CHARS, " ")
+    return F.regexp_replace(F.concat_ws(S.COMMENT_JOIN, F.col(en), F.col(cn)), S.COMMENT_CHARS, " ")
 
 
 def dq_check_kind(field_type: str = "field_type") -> Column:

@@ -67,6 +67,11 @@ MESSAGES = {
 }
 FLAG_SEPARATOR = "||"
 
+# Characters replaced by a blank in column comments; the two comment languages
+# are joined with "||".
+COMMENT_CHARS = r"[.,`'/{}$]"
+COMMENT_JOIN = "||"
+
 # Partition strategies (MET-13).
 PART_LOAD_KEY = "load_key"
 PART_LOAD_DATE = "load_date"
