@@ -18,6 +18,7 @@ is thread-safe and the scheduler interleaves their stages.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -48,6 +49,9 @@ class SplitCounts:
 
 @dataclass
 class LoadResult:
+    """Outcome of one file: split counts of the main and delete feeds, what the
+    ODS step did, and ``extra`` (elapsed seconds per stage, cache choice)."""
+
     file_name: str
     main: Optional[SplitCounts] = None
     delete_feed: Optional[SplitCounts] = None
@@ -149,6 +153,7 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
     """
     res = LoadResult(spec.file_name)
     t = spec.tables
+    started = time.perf_counter()
     if cache_landing is None:
         cache_landing = bool(getattr(read, "parses_csv", lambda _: False)(spec))
     if "validate" in stages:
@@ -168,8 +173,12 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
                 res.main, res.delete_feed = f_main.result(), f_feed.result()
         else:
             res.main = main()
+        res.extra["validate_sec"] = round(time.perf_counter() - started, 3)
     if "ods" in stages:
+        before = time.perf_counter()
         res.ods = load_to_ods(spark, spec, load_dt, load_ts, load_date_col)
+        res.extra["ods_sec"] = round(time.perf_counter() - before, 3)
+    res.extra["cache_landing"] = bool(cache_landing)
     return res
 
 
