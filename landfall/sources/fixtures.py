@@ -2,7 +2,7 @@
 
 Landing frames are *derived from the given tables* with DataFrame operations
 (so they grow with the scale factor); the defects are injected by a modulus of
-the source key. The same derivations are written as SQL in ``oracle.py`` for
+the source key. The same derivations are written as SQL in ``duck_oracle.py`` for
 the DuckDB check. Metadata fixtures are small inline rows, as in production
 where metadata is a few rows per file.
 """
