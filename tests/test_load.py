@@ -154,9 +154,10 @@ def test_cache_landing_paths(spark, meta, tmp_dir):
     d = dbs()
     run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir, create_only=True)
     spec = M.file_specs(meta, ["ORDERS"], d)[0]
+    cached_before = len(spark.sparkContext._jsc.getPersistentRDDs())
     for limit in (None, 0):        # broadcast path (landing cache only) and shuffle path (both caches)
         m = validate_and_split(spark, fx.landed_orders(spark, SF), spec.rules, spec.keys, spec.tables.stg,
                                spec.tables.rej, "2022-09-11", broadcast_limit=limit, cache_landing=True)
         assert (m.total, m.clean, m.rejected, m.blank) == (1516, 1372, 128, 16)
         assert count(spark, spec.tables.stg) == 1372 and count(spark, spec.tables.rej) == 128
-    assert not [x for x in spark.sparkContext._jsc.getPersistentRDDs().values()]   # everything released
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == cached_before     # everything released
