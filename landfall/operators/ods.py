@@ -85,5 +85,7 @@ def stage_to_ods(stg: DataFrame, schema: T.StructType, keys: Sequence[str] = (),
                  side: Optional[SizedSide] = None) -> DataFrame:
     """PIPE-3 row plan: hard-delete mark, audit columns, typed ODS columns."""
     has_feed = pk_feed is not None or side is not None
+    if side is not None and side.rows == 0:
+        has_feed = False    # measured: the day's delete feed is empty, no join needed
     marked = mark_hard_deletes(stg, pk_feed, keys, side) if has_feed else without_delete_feed(stg)
     return conform(add_audit_columns(marked, load_ts), schema)

@@ -114,11 +114,13 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (
     by_name = {r.name: r for r in rules}
 
     base = drop_header_rows(df, cols) if drop_headers else df
-    if keys:
+    if not keys:            # B3: no key -> no uniqueness check
+        dup: Optional[Column] = None
+    elif duplicates is not None and duplicates.rows == 0:
+        dup = None          # measured: no key repeats, so no join is needed
+    else:
         base = mark_duplicates(base, list(keys), side=duplicates)
-        dup: Optional[Column] = F.col(_DUP)
-    else:  # B3: no key -> no uniqueness check
-        dup = None
+        dup = F.col(_DUP)
 
     # Timestamp / date columns: the ISO candidate and its test are computed once
     # in an inner projection and referenced by both the flag and the output.

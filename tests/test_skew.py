@@ -86,3 +86,30 @@ def test_delete_side(spark):
         finally:
             side.release()
         assert side.rows == 2 and got == {"1": 0, "2": 1, "3": 0}
+
+
+def test_empty_measured_sides_skip_the_join(spark):
+    from landfall.operators.ods import delete_key_side, stage_to_ods
+    from landfall.operators.validate import duplicate_side
+    from pyspark.sql import types as T
+    df = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v"), F.lit("d").alias("load_dt"))
+    side = duplicate_side(df, ["k"])
+    try:
+        assert side.rows == 0
+        v = validate(df, RULES, ["k"], duplicates=side)
+        assert "Join" not in v._jdf.queryExecution().optimizedPlan().toString()
+        assert {r["flag"] for r in v.collect()} == {""}
+    finally:
+        side.release()
+    feed = delete_key_side(df.where("false"), ["k"])
+    try:
+        schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType()),
+                               T.StructField("etl_is_hard_del", T.IntegerType()),
+                               T.StructField("etl_created_ts", T.TimestampNTZType()),
+                               T.StructField("etl_modified_ts", T.TimestampNTZType()),
+                               T.StructField("load_dt", T.StringType())])
+        ods = stage_to_ods(df, schema, ["k"], None, "2022-09-12 01:00:00", feed)
+        assert "Join" not in ods._jdf.queryExecution().optimizedPlan().toString()
+        assert {r["etl_is_hard_del"] for r in ods.collect()} == {0}
+    finally:
+        feed.release()
