@@ -137,7 +137,10 @@ def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_c
         if parses_csv(spec):
             path = f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
             return L.read_landing_csv(spark, path, cols, load_date_col)
-        return L.read_landing(spark, spec.tables.ldg_pk if pk else spec.tables.ldg, fmt)
+        if fmt is not None and landing_root:   # files of another format under the landing root
+            path = f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
+            return L.read_landing(spark, path, fmt, cols, load_date_col)
+        return L.read_landing(spark, spec.tables.ldg_pk if pk else spec.tables.ldg)
     read.parses_csv = parses_csv
     return read
 

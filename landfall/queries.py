@@ -251,7 +251,7 @@ def src_partition_read(spark, sf_dir):
     path = scratch_path(spark, "landing_parquet")
     lo = fx.landed_orders(spark, sf_dir)
     lo.unionByName(lo.withColumn("load_dt", F.lit("2022-09-10"))).write.partitionBy("load_dt").parquet(path)
-    return L.for_load_date(spark.read.parquet(path), LOAD_DT)
+    return L.for_load_date(L.read_landing(spark, path, "parquet", COLS), LOAD_DT)
 
 
 # --------------------------------------------------------------------------- step 8: end to end

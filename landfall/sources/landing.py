@@ -58,11 +58,20 @@ def read_landing_csv(spark: SparkSession, path: str, columns: Sequence[str],
     return raw.select(*out)
 
 
-def read_landing(spark: SparkSession, source: str, fmt: Optional[str] = None) -> DataFrame:
-    """SRC-4: non-CSV landing data, either a catalog table or a path in ``fmt``."""
+def read_landing(spark: SparkSession, source: str, fmt: Optional[str] = None,
+                 columns: Optional[Sequence[str]] = None, load_date_col: Optional[str] = "load_dt") -> DataFrame:
+    """SRC-4: non-CSV landing data, either a catalog table or files in ``fmt``.
+
+    For files, pass ``columns``: the all-string schema (with the load-date
+    partition as a string) is then given to the reader, so nothing is inferred
+    (no footer-reading job, and ``load_dt=2022-09-11`` stays a string).
+    """
     if fmt is None:
         return spark.table(source)
-    return spark.read.format(fmt).load(source)
+    reader = spark.read.format(fmt)
+    if columns is not None:
+        reader = reader.schema(string_schema(columns, load_date_col))
+    return reader.load(source)
 
 
 def for_load_date(df: DataFrame, load_dt: str, load_date_col: str = "load_dt") -> DataFrame:
