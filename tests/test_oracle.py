@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from compare import TABLES, digest  # noqa: E402
+from compare import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,6 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     d_cols = [c[0] for c in res.description]
     d_rows = [tuple(r) for r in res.fetchall()]
     assert sorted(df.columns) == sorted(d_cols)
+    assert not type_mismatches(df, res)
     assert len(s_rows) == len(d_rows)
     assert digest(df.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
 
