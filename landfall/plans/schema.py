@@ -210,7 +210,8 @@ def write_ddl_text(ddl: DataFrame, path: str, load_dt: str) -> None:
     """SNK-7: scripts as text, one folder per load date and file."""
     (ddl_scripts(ddl).withColumn("load_dt", F.lit(load_dt))
         .select("script", "load_dt", "file_name")
-        .write.mode("overwrite").partitionBy("load_dt", "file_name").text(path))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")   # keep other dates' scripts
+        .partitionBy("load_dt", "file_name").text(path))
 
 
 def create_tables(spark: SparkSession, statements: list[str], recreate: bool = True) -> None:

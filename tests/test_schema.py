@@ -35,8 +35,16 @@ def test_ddl_creates_expected_tables(spark, meta, tmp_dir):
 
 def test_ddl_text_written(spark, meta, tmp_dir):
     path = os.path.join(tmp_dir, "ddl")
-    SC.write_ddl_text(SC.ddl_frame(meta).where("file_name = 'ORDERS'"), path, "2022-09-11")
-    files = [os.path.join(dp, f) for dp, _, fs in os.walk(path) for f in fs if f.startswith("part-")]
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        SC.write_ddl_text(SC.ddl_frame(meta).where("file_name = 'ORDERS'"), path, "2022-09-10")
+        SC.write_ddl_text(SC.ddl_frame(meta).where("file_name = 'ORDERS'"), path, "2022-09-11")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert os.path.isdir(os.path.join(path, "load_dt=2022-09-10"))          # earlier date kept
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(os.path.join(path, "load_dt=2022-09-11"))
+             for f in fs if f.startswith("part-")]
     text = "".join(open(f).read() for f in files)
     assert "load_dt=2022-09-11" in files[0] and "file_name=ORDERS" in files[0]
     assert text.count("CREATE TABLE IF NOT EXISTS") == 7
