@@ -82,17 +82,6 @@ def ods_type(declared: Optional[str]) -> str:
     return ODS_TYPE_BY_DECLARED.get((declared or "").lower(), DEFAULT_ODS_TYPE)
 
 
-def check_kind(declared: Optional[str]) -> str:
-    t = (declared or "").lower()
-    if t in INT_CHECK_TYPES:
-        return "int"
-    if t in TIMESTAMP_CHECK_TYPES:
-        return "timestamp"
-    if t in DATE_CHECK_TYPES:
-        return "date"
-    return ""
-
-
 @dataclass(frozen=True)
 class Profile:
     """Behaviour switches between the two generations of the reference."""

@@ -157,3 +157,10 @@ def test_layout_positions():
     assert checks.layout_positions("MM/dd/yyyy HH:mm:ss") == (
         {"MM": 1, "dd": 4, "yyyy": 7, "HH": 12, "mm": 15, "ss": 18}, True)
     assert checks.layout_positions("yyyy-MM-dd") == ({"yyyy": 1, "MM": 6, "dd": 9}, False)
+
+
+def test_normalise_timestamp_expression(spark):
+    got = evaluate(spark, ["09/11/2022 10:00:00", "2022-09-11", "bad", "02/30/2022 00:00:00"],
+                   checks.normalise_timestamp("v", S.TIMESTAMP_FORMATS_V2))
+    assert got == {"09/11/2022 10:00:00": "2022-09-11 10:00:00", "2022-09-11": "2022-09-11 00:00:00",
+                   "bad": "bad", "02/30/2022 00:00:00": "02/30/2022 00:00:00"}
