@@ -213,10 +213,13 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
              drop_create: Optional[Sequence[bool]] = None, generate_ddl: Optional[Sequence[bool]] = None,
              stages: Sequence[str] = ("validate", "ods"), load_date_col: str = "load_dt",
              message_style: str = "native", max_parallel: int = 4,
-             cache_landing: Optional[bool] = None) -> list[LoadResult]:
+             cache_landing: Optional[bool] = None, landing_format: Optional[str] = None) -> list[LoadResult]:
     """PIPE-4 / PIPE-5: create tables and load the selected files for ``load_dt``.
 
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
+    Landing data comes from ``landing`` (a callable ``(spec, is_key_feed) ->
+    DataFrame``), else from CSV folders under ``landing_root`` for CSV files and
+    from ``landing_format`` files there (or the landing tables) for the others.
     """
     prof = S.Profile.of(profile)
     load_dt = load_dt or default_load_date()
@@ -246,7 +249,7 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     if create_only:
         return [LoadResult(n, ods="tables only") for n in names]
 
-    read = landing or landing_reader(spark, landing_root, load_date_col)
+    read = landing or landing_reader(spark, landing_root, load_date_col, landing_format)
 
     def one(spec: S.FileSpec) -> LoadResult:
         # One scheduler pool per file: under FAIR scheduling a large file does

@@ -161,3 +161,14 @@ def test_cache_landing_paths(spark, meta, tmp_dir):
         assert (m.total, m.clean, m.rejected, m.blank) == (1516, 1372, 128, 16)
         assert count(spark, spec.tables.stg) == 1372 and count(spark, spec.tables.rej) == 128
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == cached_before     # everything released
+
+
+def test_parquet_landing_folder(spark, meta, tmp_dir):
+    """EVENTS is not CSV: its landing files are read from landing_root in the given format."""
+    root = os.path.join(tmp_dir, "landing")
+    fx.landed_events(spark, SF).write.partitionBy("load_dt").parquet(f"{root}/ERP/erp_events")
+    d = dbs()
+    res = run_load(spark, meta, "2022-09-11", files=["EVENTS"], databases=d, warehouse_root=tmp_dir,
+                   landing_root=root, landing_format="parquet", load_ts=TS)
+    assert res[0].main.total == 1000 and res[0].extra["cache_landing"] is False
+    assert spark.table(f"{d['ods']}.erp_events").count() == res[0].main.clean
