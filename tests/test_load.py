@@ -172,3 +172,16 @@ def test_parquet_landing_folder(spark, meta, tmp_dir):
                    landing_root=root, landing_format="parquet", load_ts=TS)
     assert res[0].main.total == 1000 and res[0].extra["cache_landing"] is False
     assert spark.table(f"{d['ods']}.erp_events").count() == res[0].main.clean
+
+
+def test_csv_landing_folder_is_cached(spark, meta, tmp_dir):
+    """ORDERS is CSV: read from landing_root, its rows are parsed once (cached) and the counts hold."""
+    root = os.path.join(tmp_dir, "landing")
+    for df, folder in ((fx.landed_orders(spark, SF), "crm_orders"), (fx.landed_orders_pk(spark, SF), "crm_orders_pk")):
+        df.write.option("header", True).option("emptyValue", "").partitionBy("load_dt").csv(f"{root}/CRM/{folder}")
+    d = dbs()
+    res = run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir,
+                   landing_root=root, load_ts=TS)[0]
+    assert res.extra["cache_landing"] is True
+    assert res.main.total == 1516 and res.main.clean == res.main.total - res.main.rejected - res.main.blank
+    assert spark.table(f"{d['ods']}.crm_orders").count() == res.main.clean
