@@ -11,14 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.llm.byte_bpe import encode_decode
 from landfall.llm.common import materialise, ship_package, table
 from landfall.llm.exact_dedup import exact_dedup
 from landfall.llm.mixing import mixed_documents
+from landfall.llm.quality_fm import good_documents, train
 from landfall.llm.simhash_dedup import near_dedup
 
 ORACLE_SQL = None
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    ship_package(spark)
+    return good_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
     return exact_dedup(docs)
@@ -35,7 +43,16 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
-STAGES = [("exact dedup", exact_copies), ("near dedup", near_copies), ("source mix", source_mix)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document of the mix and their decoding."""
+    import public_tokenizers
+
+    ship_package(spark)
+    return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality", quality), ("exact dedup", exact_copies), ("near dedup", near_copies), ("source mix", source_mix),
+          ("token ids", token_ids)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

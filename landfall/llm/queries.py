@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from landfall.llm.ann import op7_nearest_neighbours
+from landfall.llm.byte_bpe import op8_byte_bpe
 from landfall.llm.common import ship_package
 from landfall.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from landfall.llm.html_extract import op6_html_extraction
 from landfall.llm.mixing import op9_mixing
+from landfall.llm.quality_fm import op4_quality_classifier
 from landfall.llm.sharding import op10_sharding
 from landfall.llm.simhash_dedup import op5_simhash_near_dedup
 from landfall.llm.substring_dedup import op1_substring_dedup
+from landfall.llm.token_counts import op3_token_counts
 
 
 def _shipped(fn):
@@ -19,6 +24,7 @@ def _shipped(fn):
 
 
 LLM_QUERIES = {fn.__name__: _shipped(fn) for fn in (
-    op1_substring_dedup, op2_exact_dedup, op5_simhash_near_dedup, op9_mixing, op10_sharding)}
+    op1_substring_dedup, op2_exact_dedup, op3_token_counts, op4_quality_classifier, op5_simhash_near_dedup,
+    op6_html_extraction, op7_nearest_neighbours, op8_byte_bpe, op9_mixing, op10_sharding)}
 
 LLM_SQL = {"op2_exact_dedup": OP2_SQL}
