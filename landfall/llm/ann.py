@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from landfall.llm.common import materialise, table
+from landfall.llm.common import materialise, small_table, table
 
 NEAREST = 20
 PROJECTIONS = 96
@@ -141,9 +141,9 @@ def nearest_neighbours(embeddings: DataFrame, queries: "F.Column", k: int = NEAR
     sizes = rows.groupBy("dim").agg(F.max(norm).alias("longest"), F.count("*").alias("n")).collect()  # one row per length
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shape = spark.createDataFrame([(r["dim"], r["longest"], -(-r["n"] // block_rows)) for r in sizes],
-                                  "dim int, longest double, blocks int")
-    rows = rows.join(F.broadcast(shape), "dim")  # one row per vector length
+    shape = small_table(spark, [(r["dim"], r["longest"], -(-r["n"] // block_rows)) for r in sizes],
+                        "dim int, longest double, blocks int")  # one row per vector length
+    rows = rows.join(shape, "dim")
     block = F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).cast("int")
     columns = ("dim", "block", "role", "longest", "vec_id", "vector")
     stored = rows.withColumns({"block": block, "role": F.lit(0)}).select(*columns)

@@ -7,6 +7,7 @@ the encoded text.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,6 +70,18 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
 
+def small_table(spark: SparkSession, rows: list, schema: str, broadcast_rows: int = 100_000) -> DataFrame:
+    """A driver-side list of tuples as a DataFrame, broadcast in joins up to ``broadcast_rows`` rows.
+
+    Built in the JVM from one JSON literal: no RDD and no Python worker.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    types = ", ".join(f"{field.split()[0]}: {field.split()[1]}" for field in schema.split(", "))
+    df = spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{types}>>")))
+    return F.broadcast(df) if len(rows) <= broadcast_rows else df
+
+
 class Words:
     """The words of several texts, found together.
 

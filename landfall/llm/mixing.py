@@ -16,7 +16,8 @@ rounds by a hash of its id; a per-source threshold on that hash, found by
 zooming into histograms, takes the sum to its target within a document; then
 the few documents that best fill what is left, from large size classes down to
 small, gain or lose one copy. Only per-source numbers (and a bounded number per
-source and bin) reach the driver; the table of them is joined back.
+source and bin) reach the driver; the table of them is joined back, broadcast
+up to a checked number of sources.
 
 Defined cases: a null text has no words; null is a source of its own, the last;
 rows that share an id and source round alike; sources without words take
@@ -29,13 +30,14 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from landfall.llm.common import WORD, from_id_key, id_key, materialise, table
+from landfall.llm.common import WORD, from_id_key, id_key, materialise, small_table, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3             # copies of one document, and target over source size
 STEPS = 60           # Newton steps at most
 CLOSE = 1e-9         # of the target
 BINS = 1024          # of one zoom
+_ALL = 1e300         # lambda of a source that takes every document as often as it may; minus this: none
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = MOST) -> list[float]:
@@ -61,9 +63,8 @@ def _n_words(text) -> "F.Column":
 
 
 def _joined(docs: DataFrame, values: dict, schema: str) -> DataFrame:
-    """Documents with their source's numbers. One row per source: a few dozen bytes each, so the join is left to Spark."""
-    spark = docs.sparkSession
-    return docs.join(spark.createDataFrame([(k, *v) for k, v in sorted(values.items())], f"k int, {schema}"), "k")
+    """Documents with their source's numbers, one row per source."""
+    return docs.join(small_table(docs.sparkSession, [(k, *v) for k, v in sorted(values.items())], f"k int, {schema}"), "k")
 
 
 def _balance(docs: DataFrame, goal: dict, mean: dict, most: float) -> dict:
@@ -148,17 +149,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     per_source.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))  # code point order
     sizes = [r["size"] for r in per_source]
     share = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], sum(sizes), most)
-    numbered = spark.createDataFrame([(i, r["source"], r["size"], share[i]) for i, r in enumerate(per_source)],
-                                     "k int, source string, source_size long, target double")
+    numbered = small_table(spark, [(i, r["source"], r["size"], share[i]) for i, r in enumerate(per_source)],
+                           "k int, source string, source_size long, target double")
     rows = sized.join(numbered, sized["source"].eqNullSafe(numbered["source"])).drop(numbered["source"])
     goal = {i: t for i, t in enumerate(share) if sizes[i] and 0 < t < most * sizes[i]}
     mean = {i: sizes[i] / per_source[i]["n"] for i in goal}
     lam = _balance(rows.select("k", "size"), goal, mean, float(most))
     # lambda and unit of each source; a source at its cap takes every document ``most`` times, one without a target none.
-    state = {i: (lam[i], 1.0 / mean[i]) if i in goal else ((math.inf if t else -math.inf), 1.0) for i, t in enumerate(share)}
+    state = {i: (lam[i], 1.0 / mean[i]) if i in goal else ((_ALL if t else -_ALL), 1.0) for i, t in enumerate(share)}
     rows = _joined(rows, state, "lam double, unit double")
     limit = math.log(most)
-    exponent = (F.when(F.col("lam") == math.inf, F.lit(limit)).when(F.col("lam") == -math.inf, F.lit(-1e3))
+    exponent = (F.when(F.col("lam") == _ALL, F.lit(limit)).when(F.col("lam") == -_ALL, F.lit(-1e3))
                 .otherwise(F.least(F.col("lam") * F.col("size") * F.col("unit"), F.lit(limit))))
     rate = F.when(exponent >= limit, F.lit(float(most))).otherwise(F.exp(exponent))
     uniform = F.pmod(F.xxhash64("id", "source", "row_hash", F.lit("mix")), F.lit(1 << 52)) / float(1 << 52)
@@ -181,8 +182,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         near = F.when(way > 0, 1 - F.col("frac")).otherwise(F.col("frac"))
         moved = signed.where(able).select("k", F.least(near, F.lit(1 - 1e-12)).alias("p"), F.col("size").alias("gain"))
         edge = _zoom(moved, need)
-        edged = rows.join(spark.createDataFrame([(k, 1 if missing[k] > 0 else -1, e) for k, e in sorted(edge.items())],
-                                                "k int, way int, edge double"), "k", "left")
+        edged = rows.join(small_table(spark, [(k, 1 if missing[k] > 0 else -1, e) for k, e in sorted(edge.items())],
+                                      "k int, way int, edge double"), "k", "left")
         shift = F.when(able & (F.least(near, F.lit(1 - 1e-12)) < F.col("edge")), way).otherwise(0)
         rows = edged.withColumn("copies", F.col("copies") + F.coalesce(shift, F.lit(0))).drop("way", "edge")
         rows = materialise(rows, "rounded")
@@ -204,8 +205,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                 open_[r["k"]] -= way * r["size"]
                 picked.append((r["k"], r["id"], r["row_hash"], way))
         if picked:  # at most four per source and size class
-            picked = spark.createDataFrame(picked, "k int, id long, row_hash long, more int").groupBy("k", "id", "row_hash").agg(F.max("more").alias("more"))
-            rows = rows.join(picked, ["k", "id", "row_hash"], "left").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
+            picked = sorted(set(picked))
+            rows = rows.join(small_table(spark, picked, "k int, id long, row_hash long, more int"), ["k", "id", "row_hash"], "left").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
     return rows.select(from_id_key("id").alias("doc_id"), "source", "size", "source_size", "target", "rate",
                        "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_hash")
 

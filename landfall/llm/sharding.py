@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from landfall.llm.common import from_id_key, id_key, materialise, table
+from landfall.llm.common import from_id_key, id_key, materialise, small_table, table
 from landfall.session import scratch_path
 
 SLOTS = 4096
@@ -63,7 +63,7 @@ def latest_map(spark: SparkSession, path: str) -> tuple[int, dict]:
 
 def store_map(spark: SparkSession, path: str, version: int, shard_of: dict) -> None:
     rows = [(version, slot, sub, shard) for (slot, sub), shard in sorted(shard_of.items())]
-    spark.createDataFrame(rows, _MAP).coalesce(1).write.mode("append").parquet(path)
+    small_table(spark, rows, _MAP).write.mode("append").parquet(path)
 
 
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS,
@@ -103,7 +103,7 @@ def shard_by_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     most = max(BIN_ROWS, sum(r["rows"] for r in sums) // slots)
     n_bins = {(r["slot"], r["sub"]): -(-r["rows"] // most) for r in sums}
     wide = [(s, u, n) for (s, u), n in sorted(n_bins.items()) if n > 1]
-    wide = F.broadcast(spark.createDataFrame(wide, "slot int, sub int, bins int"))  # at most one row per unit
+    wide = small_table(spark, wide, "slot int, sub int, bins int")
     records = (records.join(wide, ["slot", "sub"], "left")
                .withColumn("bin", F.pmod(F.xxhash64("id", F.lit("bin")), F.coalesce("bins", F.lit(1))).cast("int")))
     bins, after = [], [0] * shards
@@ -111,7 +111,7 @@ def shard_by_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         shard = edited[r["slot"], r["sub"]]
         bins.append((r["slot"], r["sub"], r["bin"], shard, after[shard]))
         after[shard] += r["rows"]
-    bins = F.broadcast(spark.createDataFrame(bins, _BINS))  # at most two rows per slot and those of split slots
+    bins = small_table(spark, bins, _BINS)  # at most two rows per slot and those of split slots
     place = F.row_number().over(Window.partitionBy("slot", "sub", "bin").orderBy("id", "text_crc32", "size")) - 1
     return (records.withColumn("place", place).join(bins, ["slot", "sub", "bin"])
             .select(from_id_key("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
