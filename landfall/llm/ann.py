@@ -38,8 +38,8 @@ from landfall.llm.common import materialise, small_table, table
 NEAREST = 20
 PROJECTIONS = 96
 THRESHOLD = 80       # collisions that a vector must exceed
-VERIFY, SHARE = 400, 0.12   # vectors of a block verified for a query: at least so many, and this share
-START, GROWTH = 1.4, 1.12   # first half-width, in units of the projections' spread, and its growth
+VERIFY, SHARE = 400, 0.08   # vectors of a block verified for a query: at least so many, and this share
+START, GROWTH = 1.7, 1.06   # first half-width, in units of the projections' spread, and its growth
 BLOCK_ROWS = 16384
 SEED = 11
 
@@ -55,41 +55,50 @@ class Block:
         lift = np.sqrt(np.maximum(0.0, longest ** 2 - (vectors ** 2).sum(axis=1)))
         self.directions = np.random.default_rng(SEED).normal(size=(dim + 1, PROJECTIONS))
         projected = np.column_stack([vectors, lift]) @ self.directions
-        self.order = np.argsort(projected, axis=0).T.copy()
-        self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
+        order = np.argsort(projected, axis=0).T
+        self.sorted = np.take_along_axis(projected.T, order, axis=1)
+        self.order = order.astype(np.uint16 if n <= 1 << 16 else np.int64)
         self.spread = max(float(projected.std(axis=0).mean()), 1e-12)
 
-    def candidates(self, centre: np.ndarray) -> np.ndarray:
-        """The vectors whose collisions with the query exceed the threshold when enough do."""
+    def windows(self, centres: np.ndarray, half: float) -> tuple[list, list]:
+        """Per query and array the part of the array inside the window: where it begins, where it ends."""
+        low = [a.searchsorted(c - half, "left") for a, c in zip(self.sorted, centres.T)]
+        high = [a.searchsorted(c + half, "right") for a, c in zip(self.sorted, centres.T)]
+        return np.array(low).T.tolist(), np.array(high).T.tolist()
+
+    def candidates(self, queries: np.ndarray) -> Iterator[np.ndarray]:
+        """Per query the vectors whose collisions exceed the threshold, once enough do."""
         n = len(self.ids)
         enough = max(VERIFY, int(SHARE * n))
         if n <= enough:
-            return np.arange(n)
-        half = START * self.spread
-        low = high = None
-        while True:
-            new_low = np.array([a.searchsorted(c - half, "left") for a, c in zip(self.sorted, centre)])
-            new_high = np.array([a.searchsorted(c + half, "right") for a, c in zip(self.sorted, centre)])
-            if low is None:  # the first windows are wide: what lies outside is counted
-                rings = [o[:i] for o, i in zip(self.order, new_low.tolist())]
-                rings += [o[j:] for o, j in zip(self.order, new_high.tolist())]
-                count = PROJECTIONS - np.bincount(np.concatenate(rings), minlength=n)
-            else:
-                rings = [o[i:j] for o, i, j in zip(self.order, new_low.tolist(), low.tolist())]
-                rings += [o[i:j] for o, i, j in zip(self.order, high.tolist(), new_high.tolist())]
-                count += np.bincount(np.concatenate(rings), minlength=n)
-            low, high = new_low, new_high
-            found = np.flatnonzero(count > THRESHOLD)
-            if len(found) >= enough or (low.max() == 0 and high.min() == n):
-                return found
-            half *= GROWTH
-
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        at = self.candidates(np.append(query, 0.0) @ self.directions)
-        at = at[self.ids[at] != query_id]
-        score = (self.vectors[at] * query).sum(axis=1)
-        best = np.lexsort((self.ids[at], -score))[:k]
-        return self.ids[at][best], score[best]
+            yield from (np.arange(n) for _ in queries)
+            return
+        centres = np.column_stack([queries, np.zeros(len(queries))]) @ self.directions
+        rounds = [self.windows(centres, START * self.spread)]
+        for q in range(len(queries)):
+            low, high = rounds[0][0][q], rounds[0][1][q]
+            # The first windows are wide: what lies outside them is counted.
+            rings = [o[:i] for o, i in zip(self.order, low)] + [o[j:] for o, j in zip(self.order, high)]
+            count = PROJECTIONS - np.bincount(np.concatenate(rings, dtype=np.intp), minlength=n)
+            found, r = np.flatnonzero(count > THRESHOLD), 0
+            while len(found) < enough and (max(low) > 0 or min(high) < n):
+                r += 1
+                if r == len(rounds):
+                    rounds.append(self.windows(centres, START * GROWTH ** r * self.spread))
+                wider_low, wider_high = rounds[r][0][q], rounds[r][1][q]
+                rings = [o[i:j] for o, i, j in zip(self.order, wider_low, low)]
+                rings += [o[i:j] for o, i, j in zip(self.order, high, wider_high)]
+                count += np.bincount(np.concatenate(rings, dtype=np.intp), minlength=n)
+                low, high = wider_low, wider_high
+                found = np.flatnonzero(count > THRESHOLD)
+            yield found
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
+        for query_id, query, at in zip(query_ids.tolist(), queries, self.candidates(queries)):
+            at = at[self.ids[at] != query_id]
+            score = self.vectors[at] @ query
+            best = np.lexsort((self.ids[at], -score))[:k]
+            yield np.full(len(best), query_id), self.ids[at][best], score[best]
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -114,9 +123,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             elif key == keys[i][:2]:
                 if block is None:
                     block = Block(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), held[0][2])
-                for q, vector in zip(ids[i:j].tolist(), own):
-                    found, score = block.nearest(q, vector, k)
-                    out.append((np.full(len(found), q), found, score))
+                out += block.nearest(ids[i:j], own, k)
             i = j
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
