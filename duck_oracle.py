@@ -305,6 +305,35 @@ ODS_LINEITEM = (with_(LANDED_LINEITEM, cte("v", validated("landed_lineitem", LIN
 FROM v WHERE flag = ''""")
 
 
+def _castable() -> str:
+    """Present values of the typed columns that do not cast."""
+    types = (("order_id", "BIGINT"), ("cust_id", "BIGINT"), ("total_price", "DECIMAL(20,4)"), ("order_ts", "TIMESTAMP"))
+    return _orders_v() + " UNION ALL ".join(
+        f"SELECT order_id, '{c}' AS column_name, {c} AS value FROM v WHERE {c} <> '' AND TRY_CAST({c} AS {t}) IS NULL"
+        for c, t in types)
+
+
+def _violation_summary() -> str:
+    """Counts by the text of the flag."""
+    told = [(c, check, text.format(c=c)) for c, check, text in (
+        ("status", "not_null", MSG_NOT_NULL), ("order_id", "int", MSG_INT), ("cust_id", "int", MSG_INT),
+        ("order_ts", "timestamp", MSG_TS), ("status", "enum", MSG_ENUM))]
+    told += [(None, "unique", MSG_UNIQUE), (None, "misaligned", MSG_MISALIGNED)]
+    each = " UNION ALL ".join(
+        f"SELECT {_q(c) if c else 'CAST(NULL AS VARCHAR)'} AS column_name, '{k}' AS check_name, "
+        f"count(*) AS violation_count FROM v WHERE contains(flag, {_q(m)})" for c, k, m in told)
+    return _orders_v() + f"SELECT * FROM ({each}) x WHERE violation_count > 0"
+
+
+CSV_LINES = """
+SELECT CASE WHEN m = 3 THEN NULL WHEN m = 4 THEN '  ' ELSE k END AS order_id,
+       CASE m WHEN 0 THEN c WHEN 1 THEN 'x"y,z' WHEN 2 THEN c WHEN 5 THEN '' END AS cust_id,
+       CASE WHEN m IN (0, 2, 5) THEN st END AS status,
+       CASE m WHEN 0 THEN 'a,b' WHEN 2 THEN '' WHEN 5 THEN '' END AS note, '2022-09-11' AS load_dt
+FROM (SELECT o_orderkey % 6 AS m, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c,
+             o_orderstatus AS st FROM orders) o"""
+
+
 def oracle_sql() -> dict[str, str]:
     clean = lambda v, cols: f"SELECT {', '.join(cols)} FROM {v} WHERE flag = ''"
     return {
@@ -324,6 +353,8 @@ def oracle_sql() -> dict[str, str]:
         "dq_unique": with_(LANDED_LINEITEM, cte("v", validated("landed_lineitem", LINEITEM_RULES, LINEITEM_KEYS)))
                      + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, flag FROM v WHERE flag <> ''",
         "dq_flag": _orders_v() + "SELECT * FROM v",
+        "dq_castable": _castable(),
+        "violation_summary": _violation_summary(),
         "split_clean": _orders_v() + clean("v", ORDER_COLS),
         "split_reject": _orders_v() + f"SELECT {OC}, flag FROM v WHERE flag <> '' AND {any_value(ORDER_COLS)}",
         "split_reject_v1": _orders_v("v1") + f"SELECT {OC}, flag FROM v WHERE flag <> ''",
@@ -341,12 +372,14 @@ ON s.order_id = p.order_id""",
         "ods_no_delete_feed": _customer_v() + f"SELECT {', '.join(CUSTOMER_COLS)}, CAST(0 AS INTEGER) AS etl_is_hard_del "
                                               f"FROM v WHERE flag = ''",
         "ods_conform": _typed_orders("landed_orders_pk"),
-        "ods_load_delta": _typed_orders("landed_orders_pk"),
+        "ods_load_delta": f"SELECT x.* REPLACE (d.load_dt AS load_dt) FROM ({_typed_orders('landed_orders_pk')}) x, "
+                          f"(VALUES ('2022-09-10'), ('{LOAD_DT}')) d(load_dt)",
         "ods_load_full": ODS_CUSTOMER,
         "ods_load_by_key": ODS_EVENTS,
         "sink_static_overwrite": _orders_v() + clean("v", ORDER_COLS),
         "src_csv_landing": with_(LANDED_ORDERS) + "SELECT "
                            + ", ".join(f"coalesce({c}, '') AS {c}" for c in ORDER_COLS) + ", load_dt FROM landed_orders",
+        "src_csv_lines": CSV_LINES,
         "src_partition_read": with_(LANDED_ORDERS) + "SELECT * FROM landed_orders",
         "e2e_orders": _typed_orders("landed_orders_pk"),
         "e2e_pk_feed": with_(LANDED_ORDERS_PK_DIRTY,
@@ -356,6 +389,7 @@ ON s.order_id = p.order_id""",
         "e2e_multi_table": _multi_table(),
         "e2e_v1_validate_only": _orders_v("v1") + f"SELECT {OC}, flag FROM v WHERE flag <> ''",
         "e2e_csv_landing": _typed_orders_from_csv(),
+        "e2e_csv_table_landing": _typed_orders_from_csv(),
         "e2e_table_landing": ODS_EVENTS,
         "e2e_lineitem": ODS_LINEITEM,
     }

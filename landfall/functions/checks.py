@@ -19,7 +19,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from landfall.spec import FLAG_SEPARATOR, MESSAGES, ColumnRule, Profile
+from landfall.spec import FLAG_SEPARATOR, MESSAGES, ColumnRule, Profile, ods_type
 
 _TOKEN = re.compile(r"yyyy|MM|dd|HH|mm|ss")
 _WIDTH = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}
@@ -201,6 +201,27 @@ def output_value(rule: ColumnRule, profile: Profile, iso: "Column | None" = None
                   normalised_from_iso(iso, pad_time=rule.check == "timestamp")).otherwise(v)
 
 
+def not_castable(rule: ColumnRule, value: Column, msgs: dict) -> Column:
+    """The message of a present value (as written downstream) that its ODS type cannot take, else null."""
+    target = ods_type(rule.declared_type)
+    target = "timestamp_ntz" if target == "timestamp" else target
+    lost = is_present(value) & value.try_cast(target).isNull() if target != "string" else F.lit(False)
+    return F.when(lost, F.concat(F.lit(msgs["castable"].format(col=rule.name)), value))
+
+
+def violation_array(tagged: "Sequence[tuple[str, str, Column]]") -> Column:
+    """``(column, check, message)`` of every violation, in order, as an array of structs."""
+    every = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("check"), m.alias("message")) for c, k, m in tagged]
+    if not every:
+        return F.array().cast("array<struct<column:string,check:string,message:string>>")
+    return F.filter(F.array(*every), lambda x: x["message"].isNotNull())
+
+
+def flag_of(violations: Column) -> Column:
+    """DQ-9 from the array of ``violation_array``."""
+    return F.array_join(F.transform(violations, lambda x: x["message"]), FLAG_SEPARATOR)
+
+
 def render_flag(violations: Sequence[Column]) -> Column:
     """DQ-9: messages joined by ``||``; ``concat_ws`` skips nulls so a clean row gets ``''``."""
     if not violations:

@@ -17,6 +17,7 @@ import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall import spec as S
 
@@ -81,9 +82,13 @@ def write_ods(spark: SparkSession, ods: DataFrame, spec: S.FileSpec, load_dt: st
     if strategy == S.PART_LOAD_KEY:
         # Rebalance by the load keys: a few files per key instead of one per
         # task and key; AQE splits a key holding a large share of the rows.
-        overwrite_dynamic(ods.hint("rebalance", *spec.load_keys), table)
+        # An empty load key has no partition of its own (it would come back as
+        # null), so the write fails on one instead of changing it.
+        named = ods.withColumns({k: F.when(F.col(k) == "", F.raise_error(F.lit(f"empty load key {k} in {table}")).cast("string"))
+                                     .otherwise(F.col(k)) for k in spec.load_keys})
+        overwrite_dynamic(named.hint("rebalance", *spec.load_keys), table)
         return "load_key"
     if strategy == S.PART_NONE:
         overwrite_full(ods, table)
         return "full"
-    return "skipped"
+    raise ValueError(f"{spec.file_name}: no load strategy")

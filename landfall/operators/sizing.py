@@ -1,8 +1,8 @@
 """Size-checked join sides.
 
 The small side of the uniqueness join (duplicate keys) and of the hard-delete
-join (distinct delete-feed keys) is materialised first and measured exactly:
-rows and bytes of its key columns, in the same job that fills the cache. It is
+join (distinct delete-feed keys) is materialised first and measured: its rows
+and the UTF-8 bytes of its key columns, in the same job that fills the cache. It is
 broadcast only when that measured size is under the limit; otherwise the join
 stays a shuffle join (sort-merge, hot keys split by AQE). Deciding before the
 join is planned avoids shuffling the big side only to find the small side fits
@@ -54,13 +54,17 @@ class SizedSide:
 
 def measure(df: DataFrame, columns: Sequence[str], limit: Optional[int] = None) -> SizedSide:
     """Persist ``df`` and fill the cache with one no-op write that also observes
-    its rows and key bytes; decide on broadcast from those exact numbers."""
-    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
+    its rows and key bytes; decide on broadcast from those numbers."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
     obs = Observation(f"size_{uuid.uuid4().hex[:12]}")
     cached = df.observe(obs, F.count(F.lit(1)).alias("n"),
                         F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")) \
                .persist(StorageLevel.MEMORY_AND_DISK)
-    cached.write.format("noop").mode("overwrite").save()
+    try:
+        cached.write.format("noop").mode("overwrite").save()
+    except BaseException:
+        cached.unpersist()
+        raise
     m = obs.get
     rows, key_bytes = int(m["n"]), int(m["b"])
     size = key_bytes + rows * ROW_OVERHEAD_BYTES

@@ -27,6 +27,7 @@ from landfall.operators.sizing import SizedSide, measure
 from landfall.spec import ColumnRule, Profile
 
 FLAG = "flag"
+VIOLATIONS = "violations"
 _DUP = "__lf_dup"
 
 
@@ -47,6 +48,20 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .where(F.col("dup_count") > 1))
 
 
+def repeated_keys(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The keys of ``duplicate_keys(drop_header_rows(df))`` from a scan of the key columns alone.
+
+    Rows that repeat the header all have one key, the key columns' names. They
+    are counted by a second scan whose filter (every column equals its name) is
+    pushed down, and taken off that key in the same aggregation.
+    """
+    one, none = F.lit(1), F.lit(None).cast("int")
+    rows = df.select(*keys, one.alias("__lf_row"), none.alias("__lf_head"))
+    headers = df.where(checks.is_header_row(columns)).select(*keys, none.alias("__lf_row"), one.alias("__lf_head"))
+    return (rows.unionAll(headers).groupBy(*keys).agg((F.count("__lf_row") - F.count("__lf_head")).alias("__lf_n"))
+            .where("__lf_n > 1").drop("__lf_n"))
+
+
 def _key_names(keys: Sequence[str]) -> list[str]:
     return [f"__lf_k{i}" for i in range(len(keys))]
 
@@ -59,15 +74,15 @@ def duplicate_side(df: DataFrame, keys: Sequence[str], load_date_col: Optional[s
     measured size is under ``limit``, a shuffle join otherwise.
     """
     cols = data_columns(df, load_date_col)
-    base = drop_header_rows(df, cols) if drop_headers else df
     renamed = _key_names(keys)
-    dups = duplicate_keys(base, keys).select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
+    dups = repeated_keys(df, cols, keys) if drop_headers else duplicate_keys(df, keys)
+    dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
                                              F.lit(True).alias(_DUP))
     return measure(dups, renamed, limit)
 
 
 def mark_duplicates(df: DataFrame, keys: Sequence[str], out_col: str = _DUP,
-                    side: Optional[SizedSide] = None) -> DataFrame:
+                    side: Optional[SizedSide] = None, repeated: Optional[DataFrame] = None) -> DataFrame:
     """DQ-8 / JOIN-4: add boolean ``out_col`` = the row's key occurs more than once.
 
     Null-safe equality reproduces the reference, where null key parts compare
@@ -76,8 +91,8 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], out_col: str = _DUP,
     """
     renamed = _key_names(keys)
     if side is None:
-        dups = duplicate_keys(df, keys).select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
-                                               F.lit(True).alias(_DUP))
+        repeated = duplicate_keys(df, keys) if repeated is None else repeated
+        dups = repeated.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.lit(True).alias(_DUP))
     else:
         dups = side.for_join()
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(dups[r]) for k, r in zip(keys, renamed)])
@@ -85,7 +100,7 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], out_col: str = _DUP,
     return joined.select(*[df[c] for c in df.columns], F.coalesce(dups[_DUP], F.lit(False)).alias(out_col))
 
 
-def _check_schema(columns: Sequence[str], rules: Sequence[ColumnRule], keys: Sequence[str]) -> None:
+def check_schema(columns: Sequence[str], rules: Sequence[ColumnRule], keys: Sequence[str]) -> None:
     """B19: fail up front, naming every landing column without a rule and vice versa."""
     ruled = {r.name for r in rules}
     extra = [c for c in columns if c not in ruled]
@@ -99,18 +114,20 @@ def _check_schema(columns: Sequence[str], rules: Sequence[ColumnRule], keys: Seq
 def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (),
              profile: "str | Profile" = "v2", load_date_col: Optional[str] = "load_dt",
              message_style: str = "native", drop_headers: bool = True,
-             duplicates: Optional[SizedSide] = None) -> DataFrame:
+             duplicates: Optional[SizedSide] = None, structured: bool = False) -> DataFrame:
     """PIPE-1: checks, uniqueness and flag for one landing frame (one load date).
 
     Returns the landing columns (timestamps normalised in v2) followed by
     ``flag`` (``''`` when clean). The load-date column, when present, is kept.
     ``duplicates`` is an optional measured duplicate-key side from
     ``duplicate_side`` (same frame and keys); without it the plan is fully lazy.
+    ``structured`` adds ``violations``, an array of (column, check, message)
+    from which ``flag`` is then rendered; row checks have a null column.
     """
     prof = Profile.of(profile)
     msgs = checks.messages(message_style)
     cols = data_columns(df, load_date_col)
-    _check_schema(cols, rules, keys)
+    check_schema(cols, rules, keys)
     by_name = {r.name: r for r in rules}
 
     base = drop_header_rows(df, cols) if drop_headers else df
@@ -119,7 +136,8 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (
     elif duplicates is not None and duplicates.rows == 0:
         dup = None          # measured: no key repeats, so no join is needed
     else:
-        base = mark_duplicates(base, list(keys), side=duplicates)
+        repeated = repeated_keys(df, cols, keys) if drop_headers and duplicates is None else None
+        base = mark_duplicates(base, list(keys), side=duplicates, repeated=repeated)
         dup = F.col(_DUP)
 
     # Timestamp / date columns: the ISO candidate and its test are computed once
@@ -134,21 +152,34 @@ def validate(df: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = (
     iso_of = {c: F.col(n) for c, n in iso_names.items()}
     ok_of = {c: F.col(n) for c, n in ok_names.items()}
 
-    violations: list[Column] = []
+    values = {c: checks.output_value(by_name[c], prof, iso_of.get(c), ok_of.get(c)) for c in cols}
+    tagged: list = []
     for c in cols:
-        violations.extend(m for _, m in checks.column_violations(by_name[c], prof, msgs, ok_of.get(c)))
+        tagged.extend((c, k, m) for k, m in checks.column_violations(by_name[c], prof, msgs, ok_of.get(c)))
+        if prof.check_castable:
+            tagged.append((c, "castable", checks.not_castable(by_name[c], values[c], msgs)))
     if dup is not None:
-        violations.append(F.when(dup, F.lit(msgs["unique"])))
+        tagged.append((None, "unique", F.when(dup, F.lit(msgs["unique"]))))
     if prof.flag_misaligned:
-        violations.append(F.when(checks.any_null(cols), F.lit(msgs["misaligned"])))
+        tagged.append((None, "misaligned", F.when(checks.any_null(cols), F.lit(msgs["misaligned"]))))
 
-    out = [checks.output_value(by_name[c], prof, iso_of.get(c), ok_of.get(c)).alias(c) for c in cols]
+    out = [values[c].alias(c) for c in cols]
     if load_date_col and load_date_col in df.columns:
         out.append(F.col(load_date_col))
-    out.append(checks.render_flag(violations).alias(FLAG))
+    if structured:
+        found = base.select(*out, checks.violation_array(tagged).alias(VIOLATIONS))
+        return found.withColumn(FLAG, checks.flag_of(F.col(VIOLATIONS)))
+    out.append(checks.render_flag([m for _, _, m in tagged]).alias(FLAG))
     return base.select(*out)
 
 
+def violation_summary(validated: DataFrame) -> DataFrame:
+    """Violations per column and check of a ``structured`` validation (the column is null for row checks)."""
+    each = validated.select(F.explode(VIOLATIONS).alias("v"))
+    return each.groupBy(F.col("v.column").alias("column_name"), F.col("v.check").alias("check_name")) \
+               .agg(F.count(F.lit(1)).alias("violation_count"))
+
+
 def violation_of(rule: ColumnRule, check: str, profile: "str | Profile" = "v2",
                  message_style: str = "native") -> Column:
     """The message Column of one check on one column (null when it passes)."""

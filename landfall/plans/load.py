@@ -32,10 +32,10 @@ from landfall import spec as S
 from landfall.operators import ods as O
 from landfall.operators import sinks
 from landfall.operators.split import audit_exprs, clean_rows, reject_rows
-from landfall.operators.validate import FLAG, duplicate_side, validate
+from landfall.operators.validate import FLAG, check_schema, data_columns, duplicate_side, validate
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
-from landfall.session import apply_runtime_conf, set_scheduler_pool
+from landfall.session import apply_runtime_conf, restore_conf, runtime_conf, set_scheduler_pool
 from landfall.sources import landing as L
 
 
@@ -57,6 +57,16 @@ class LoadResult:
     delete_feed: Optional[SplitCounts] = None
     ods: str = "not run"
     extra: dict = field(default_factory=dict)
+    error: Optional[Exception] = None
+
+
+class LoadError(RuntimeError):
+    """Some files failed; ``results`` has one result per file, those that were loaded and those with their error."""
+
+    def __init__(self, results: "list[LoadResult]"):
+        self.results = results
+        failed = [r for r in results if r.error is not None]
+        super().__init__("; ".join(f"{r.file_name}: {r.error}" for r in failed))
 
 
 def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[S.ColumnRule],
@@ -70,23 +80,28 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
     the day's landing rows are cached once and feed both the duplicate-key
     aggregate and the validation. When the duplicate keys are broadcast the
     reject write re-derives from that cache (checks + broadcast probe) instead
-    of keeping a second cache of the validated rows; with a shuffle join the
-    validated rows are cached too and the landing cache is dropped once filled.
+    of keeping a second cache of the validated rows. Whatever the source, the
+    validated rows are cached only when whole rows were shuffled for the
+    uniqueness join (the landing cache is then dropped once that is filled).
     """
     landing = L.for_load_date(landing, load_dt, load_date_col) if load_date_col in landing.columns else landing
+    check_schema(data_columns(landing, load_date_col), rules, keys)   # before any job
     cached: list = []
-    if cache_landing:
-        landing = landing.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(landing)
-    dups = duplicate_side(landing, keys, load_date_col, broadcast_limit) if keys else None
-    validated = validate(landing, rules, keys, profile, load_date_col, message_style, duplicates=dups)
-    cols = [r.name for r in rules]
-    cheap_to_redo = cache_landing and (dups is None or dups.broadcast)
-    keep_validated = persist and not cheap_to_redo
-    if keep_validated:
-        validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(validated)
+    dups = None
     try:
+        if cache_landing:
+            landing = landing.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(landing)
+        if keys:
+            dups = duplicate_side(landing, keys, load_date_col, broadcast_limit)
+        validated = validate(landing, rules, keys, profile, load_date_col, message_style, duplicates=dups)
+        cols = [r.name for r in rules]
+        # Without a shuffle of whole rows the reject write redoes a scan and a
+        # projection; only a merge join's rows are worth keeping.
+        keep_validated = persist and dups is not None and dups.rows > 0 and not dups.broadcast
+        if keep_validated:
+            validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(validated)
         obs = Observation(f"audit_{uuid.uuid4().hex[:12]}")
         observed = validated.observe(obs, *audit_exprs(cols, profile))
         sinks.overwrite_partition(spark, clean_rows(observed, cols), stg_table, load_date_col, load_dt, cols)
@@ -123,24 +138,26 @@ def load_to_ods(spark: SparkSession, spec: S.FileSpec, load_dt: str, load_ts: Op
 
 
 def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_col: str = "load_dt",
-                   fmt: Optional[str] = None) -> Callable[[S.FileSpec, bool], DataFrame]:
-    """Default landing source: CSV folders under ``landing_root`` or the landing tables.
+                   fmt: Optional[str] = None, load_dt: Optional[str] = None) -> Callable[[S.FileSpec, bool], DataFrame]:
+    """Default landing source: folders under ``landing_root``, else those of the landing tables.
+
+    CSV files are always read with empty and missing fields told apart, and
+    only the folder of ``load_dt`` is listed; it need not be in the catalog.
 
     The reader's ``parses_csv(spec)`` tells the load job which sources are
     parsed from text, whose rows it caches instead of parsing them twice.
     """
     def parses_csv(spec: S.FileSpec) -> bool:
-        return spec.file_type.upper() == "CSV" and bool(landing_root)
+        return spec.file_type.upper() == "CSV"
 
     def read(spec: S.FileSpec, pk: bool) -> DataFrame:
         cols = list(spec.keys) if pk else spec.columns
+        kind, path = L.table_storage(spark, spec.tables.ldg_pk if pk else spec.tables.ldg)
+        if landing_root and (fmt is not None or parses_csv(spec)):   # files under the landing root
+            kind, path = fmt, f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
         if parses_csv(spec):
-            path = f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
-            return L.read_landing_csv(spark, path, cols, load_date_col)
-        if fmt is not None and landing_root:   # files of another format under the landing root
-            path = f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
-            return L.read_landing(spark, path, fmt, cols, load_date_col)
-        return L.read_landing(spark, spec.tables.ldg_pk if pk else spec.tables.ldg)
+            return L.read_landing_csv(spark, path, cols, load_date_col, load_dt=load_dt)
+        return L.read_landing(spark, path, kind, cols, load_date_col, load_dt)
     read.parses_csv = parses_csv
     return read
 
@@ -148,7 +165,8 @@ def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_c
 def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
               read: Callable[[S.FileSpec, bool], DataFrame], profile: "str | S.Profile" = "v2",
               load_ts: Optional[str] = None, load_date_col: str = "load_dt", message_style: str = "native",
-              stages: Sequence[str] = ("validate", "ods"), cache_landing: Optional[bool] = None) -> LoadResult:
+              stages: Sequence[str] = ("validate", "ods"), cache_landing: Optional[bool] = None,
+              scheduler_pool: Optional[str] = None) -> LoadResult:
     """All stages of one file for one date.
 
     ``cache_landing=None`` caches the landing rows when the reader parses them
@@ -169,10 +187,14 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
                                       t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style,
                                       cache_landing=cache_landing)
 
+        def pooled(run: Callable[[], SplitCounts]) -> SplitCounts:
+            set_scheduler_pool(spark, scheduler_pool)   # a pool is a setting of the thread
+            return run()
+
         if t.has_delete_feed and S.Profile.of(profile).validate_delete_feed:
             # independent jobs: submit both, the scheduler interleaves them
             with ThreadPoolExecutor(max_workers=2) as pool:
-                f_main, f_feed = pool.submit(main), pool.submit(feed)
+                f_main, f_feed = pool.submit(pooled, main), pool.submit(pooled, feed)
                 res.main, res.delete_feed = f_main.result(), f_feed.result()
         else:
             res.main = main()
@@ -204,7 +226,17 @@ def select_files(spark: SparkSession, metadata: Mapping[str, DataFrame], files:
     return [(r["file_name"], bool(r["drop_create"]), bool(r["generate_ddl"])) for r in frame.collect()]
 
 
-def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Optional[str] = None,
+def run_load(spark: SparkSession, *args, **kwargs) -> list[LoadResult]:
+    """``load_files`` under the engine's SQL settings; the session's own are put back."""
+    before = runtime_conf(spark)
+    apply_runtime_conf(spark)
+    try:
+        return load_files(spark, *args, **kwargs)
+    finally:
+        restore_conf(spark, before)
+
+
+def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Optional[str] = None,
              files: Optional[Sequence[str]] = None, create_only: bool = False,
              profile: "str | S.Profile" = "v2", databases: Optional[dict] = None,
              warehouse_root: Optional[str] = None, landing_root: Optional[str] = None,
@@ -219,18 +251,19 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
     Landing data comes from ``landing`` (a callable ``(spec, is_key_feed) ->
     DataFrame``), else from CSV folders under ``landing_root`` for CSV files and
-    from ``landing_format`` files there (or the landing tables) for the others.
+    from ``landing_format`` files there (or the folders of the landing tables)
+    for the others. A file named more than once is loaded once, with its last
+    flags. A file that fails does not stop the others: ``LoadError`` is raised
+    at the end with the results of all.
     """
     prof = S.Profile.of(profile)
     load_dt = load_dt or default_load_date()
-    apply_runtime_conf(spark)
     dbs = {"ldg": "ldg", "stg": "stg", "rej": "rej", "ods": "ods", **(databases or {})}
-    selected = select_files(spark, metadata, files, drop_create, generate_ddl)
-    names = [n for n, _, _ in selected]
+    flags = {n: (d, g) for n, d, g in select_files(spark, metadata, files, drop_create, generate_ddl)}
+    names = list(flags)
     specs = M.file_specs(metadata, names, dbs)     # uniqueness key: primary key first, in both profiles
 
     SC.create_databases(spark, dbs, warehouse_root)
-    flags = {n: (d, g) for n, d, g in selected}
     # The DDL job runs only when something must be (re)created or written out;
     # a daily run over existing tables needs catalog lookups only.
     missing = [s.file_name for s in specs if not all(spark.catalog.tableExists(t) for t in _tables_of(s))]
@@ -242,26 +275,35 @@ def run_load(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt: Op
             .where(F.col("file_name").isin(names))
         scripts = {r["file_name"]: r["script"] for r in
                    SC.ddl_scripts(ddl.where(F.col("file_name").isin(to_create))).collect()} if to_create else {}
-        SC.create_tables(spark, [scripts[n] for n in to_create if flags[n][0]], recreate=True)
+        landing_tables = {t for s in specs for t in (s.tables.ldg, s.tables.ldg_pk) if t}
+        SC.create_tables(spark, [scripts[n] for n in to_create if flags[n][0]], recreate=True, landing=landing_tables)
         SC.create_tables(spark, [scripts[n] for n in to_create if not flags[n][0]], recreate=False)
         if to_write:
             SC.write_ddl_text(ddl.where(F.col("file_name").isin(to_write)), ddl_path, load_dt)
     if create_only:
         return [LoadResult(n, ods="tables only") for n in names]
 
-    read = landing or landing_reader(spark, landing_root, load_date_col, landing_format)
+    read = landing or landing_reader(spark, landing_root, load_date_col, landing_format, load_dt)
 
     def one(spec: S.FileSpec) -> LoadResult:
         # One scheduler pool per file: under FAIR scheduling a large file does
         # not hold back the small ones (ignored under FIFO).
-        set_scheduler_pool(spark, f"landfall_{spec.ddl_name}")
+        pool = f"landfall_{spec.ddl_name}"
+        set_scheduler_pool(spark, pool)
         try:
             return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages,
-                             cache_landing)
+                             cache_landing, pool)
+        except Exception as e:
+            return LoadResult(spec.file_name, ods="failed", error=e)
         finally:
             set_scheduler_pool(spark, None)
 
     if max_parallel <= 1 or len(specs) <= 1:
-        return [one(s) for s in specs]
-    with ThreadPoolExecutor(max_workers=min(max_parallel, len(specs))) as pool:
-        return list(pool.map(one, specs))
+        results = [one(s) for s in specs]
+    else:
+        with ThreadPoolExecutor(max_workers=min(max_parallel, len(specs))) as pool:
+            results = list(pool.map(one, specs))
+    failed = [r for r in results if r.error is not None]
+    if failed:
+        raise LoadError(results) from failed[0].error
+    return results

@@ -270,6 +270,9 @@ def file_specs(metadata: dict, names: Optional[Iterable[str]] = None, databases:
     specs = []
     for name in (wanted if names is not None else sorted(by_name)):
         r = by_name[name][0]
+        if r["partition_strategy"] is None:
+            raise ValueError(f"{name}: neither loaded by key nor {S.FULL_DELTA_FULL} nor {S.FULL_DELTA_DELTA} "
+                             f"(load_solution={r['load_solution']!r}, full_delta={r['full_delta']!r})")
         col_rules = []
         for x in (r["rules"] or []):
             if x["rule_error"]:

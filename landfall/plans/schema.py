@@ -6,8 +6,8 @@ Two views of the same definitions:
 * ``layer_schema`` gives the ``StructType`` of one layer from a ``FileSpec``
   for casts and writes.
 
-Tables are Spark DataSource tables: landing ``USING CSV`` (or another
-format), staging / reject / ODS ``USING ORC``, partitioned by the load date
+Tables are Spark DataSource tables: landing external, ``USING CSV`` (or another
+format) at ``<landing_root>/<source system>/<table>``, staging / reject / ODS ``USING ORC``, partitioned by the load date
 (ODS: by load date, by load key or not at all).
 """
 
@@ -186,7 +186,7 @@ def ddl_frame(metadata: dict, databases: Optional[dict] = None, landing_root: st
     statement = F.concat(
         F.lit("DROP TABLE IF EXISTS "), F.col("table_name"), F.lit(";\n"),
         F.lit("CREATE TABLE IF NOT EXISTS "), F.col("table_name"), F.lit(" (\n"), F.col("columns_ddl"), F.lit(")\n"),
-        using, partition, comment, F.when(is_ldg & csv, location).otherwise(F.lit("")), F.lit(";"))
+        using, partition, comment, F.when(is_ldg, location).otherwise(F.lit("")), F.lit(";"))
     order = F.array_position(F.array(*[F.lit(x) for x in ("ldg", "stg", "rej", "ods", "ldg_pk", "stg_pk", "rej_pk")]),
                              F.col("layer"))
     return joined.select("file_name", "file_id", "layer", order.alias("layer_order"), "table_name",
@@ -214,15 +214,26 @@ def write_ddl_text(ddl: DataFrame, path: str, load_dt: str) -> None:
         .partitionBy("load_dt", "file_name").text(path))
 
 
-def create_tables(spark: SparkSession, statements: list[str], recreate: bool = True) -> None:
-    """SNK-8: run drop/create statements (``recreate=False`` skips the drops)."""
+def _holds_its_rows(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED"
+
+
+def create_tables(spark: SparkSession, statements: list[str], recreate: bool = True, landing: "set | None" = None) -> None:
+    """SNK-8: run drop/create statements (``recreate=False`` skips the drops).
+
+    Landing tables are external, so dropping one leaves the landed files. A
+    table named in ``landing`` that is managed (made elsewhere) is kept as it is.
+    """
+    kept = {t.replace("`", "").lower() for t in landing or ()}
     for script in statements:
         for stmt in script.split(";\n"):
             stmt = stmt.strip().rstrip(";")
             if not stmt:
                 continue
-            if stmt.upper().startswith("DROP ") and not recreate:
-                continue
+            if stmt.upper().startswith("DROP "):
+                table = stmt.split()[-1].replace("`", "")
+                if not recreate or (table.lower() in kept and _holds_its_rows(spark, table)):
+                    continue
             spark.sql(stmt)
 
 

@@ -9,6 +9,7 @@ in production); metadata-only plans are covered by the unit tests.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from typing import Callable
 
@@ -20,7 +21,8 @@ from landfall.functions import checks
 from landfall.operators import ods as O
 from landfall.operators import sinks
 from landfall.operators.split import blank_rows, clean_rows, load_audit, reject_rows
-from landfall.operators.validate import FLAG, drop_header_rows, duplicate_keys, validate, violation_of
+from landfall.operators.validate import (FLAG, VIOLATIONS, drop_header_rows, duplicate_keys, validate, violation_of,
+                                         violation_summary)
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
 from landfall.plans.load import run_load
@@ -133,6 +135,22 @@ def dq_flag(spark, sf_dir):
     return v
 
 
+def dq_castable(spark, sf_dir):
+    """Values that the ODS cast would turn into null (after the timestamp rewrite), one row each."""
+    spec = _spec(spark, "ORDERS")
+    profile = dataclasses.replace(S.V2, check_castable=True)
+    v = validate(fx.landed_orders(spark, sf_dir), spec.rules, spec.keys, profile, structured=True)
+    each = v.select("order_id", F.explode(VIOLATIONS).alias("x")).where("x.check = 'castable'")
+    return each.select("order_id", F.col("x.column").alias("column_name"),
+                       F.substring_index("x.message", "errValue->", -1).alias("value"))
+
+
+def violation_summary_q(spark, sf_dir):
+    """Violations of the landed orders per column and check."""
+    spec = _spec(spark, "ORDERS")
+    return violation_summary(validate(fx.landed_orders(spark, sf_dir), spec.rules, spec.keys, structured=True))
+
+
 # --------------------------------------------------------------------------- step 3: split, audit
 
 def split_clean(spark, sf_dir):
@@ -209,8 +227,14 @@ def _load(spark, sf_dir, files, dirty_pk=False, stages=("validate", "ods")):
 
 
 def ods_load_delta(spark, sf_dir):
-    dbs, _ = _load(spark, sf_dir, ["ORDERS"])
-    return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
+    """Two dates are loaded, the second at first without its orders of status F; its re-load overwrites that date only."""
+    dbs, root, meta = _scratch_dbs(spark), scratch_path(spark, "warehouse"), fx.metadata_frames(spark)
+    landed = lambda day: lambda spec, pk: (fx.landed_orders_pk if pk else fx.landed_orders)(spark, sf_dir, day)
+    partial = lambda spec, pk: landed(LOAD_DT)(spec, pk) if pk else landed(LOAD_DT)(spec, pk).where("status <> 'F'")
+    for day, source in (("2022-09-10", landed("2022-09-10")), (LOAD_DT, partial), (LOAD_DT, landed(LOAD_DT))):
+        run_load(spark, meta, day, files=["ORDERS"], databases=dbs, warehouse_root=root, landing=source, load_ts=LOAD_TS,
+                 drop_create=[False])
+    return spark.table(f"{dbs['ods']}.crm_orders")
 
 
 def ods_load_full(spark, sf_dir):
@@ -246,12 +270,30 @@ def src_csv_landing(spark, sf_dir):
     return L.for_load_date(L.read_landing_csv(spark, path, COLS), LOAD_DT)
 
 
+LINE_COLUMNS = ["order_id", "cust_id", "status", "note"]
+
+
+def src_csv_lines(spark, sf_dir):
+    """Whole, short, long, empty and blank CSV lines derived from orders, read back: no line is lost."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    k, c, st = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    m = F.col("o_orderkey") % 6
+    line = (F.when(m == 0, F.concat(k, F.lit(","), c, F.lit(","), st, F.lit(',"a,b"')))
+             .when(m == 1, F.concat(k, F.lit(',"x\\"y,z"')))
+             .when(m == 2, F.concat(k, F.lit(","), c, F.lit(","), st, F.lit(",,extra")))
+             .when(m == 3, F.lit("")).when(m == 4, F.lit("  "))
+             .otherwise(F.concat(k, F.lit(",,"), st, F.lit(","))))
+    path = scratch_path(spark, "landing_lines")
+    o.select(line.alias("value"), F.lit(LOAD_DT).alias("load_dt")).write.partitionBy("load_dt").text(path)
+    return L.read_landing_csv(spark, path, LINE_COLUMNS, header=False, load_dt=LOAD_DT)
+
+
 def src_partition_read(spark, sf_dir):
     """Two load dates in one partitioned table; only one is read (PartitionFilters)."""
     path = scratch_path(spark, "landing_parquet")
     lo = fx.landed_orders(spark, sf_dir)
     lo.unionByName(lo.withColumn("load_dt", F.lit("2022-09-10"))).write.partitionBy("load_dt").parquet(path)
-    return L.for_load_date(L.read_landing(spark, path, "parquet", COLS), LOAD_DT)
+    return L.read_landing(spark, path, "parquet", COLS, load_dt=LOAD_DT)
 
 
 # --------------------------------------------------------------------------- step 8: end to end
@@ -309,15 +351,25 @@ def e2e_csv_landing(spark, sf_dir):
     return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
 
 
+def e2e_csv_table_landing(spark, sf_dir):
+    """CSV files in the folders of the landing tables (partitions not in the catalog), loaded with default flags -> ODS."""
+    dbs, root, meta = _scratch_dbs(spark), scratch_path(spark, "warehouse"), fx.metadata_frames(spark)
+    run_load(spark, meta, LOAD_DT, files=["ORDERS"], databases=dbs, warehouse_root=root, create_only=True)
+    for df, table in ((fx.landed_orders(spark, sf_dir), "crm_orders"), (fx.landed_orders_pk(spark, sf_dir), "crm_orders_pk")):
+        (df.write.option("header", True).option("emptyValue", "").partitionBy("load_dt")
+           .csv(L.table_storage(spark, f"{dbs['ldg']}.{table}")[1], mode="append"))
+    run_load(spark, meta, LOAD_DT, files=["ORDERS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS)
+    return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
+
+
 def e2e_table_landing(spark, sf_dir):
-    """Non-CSV landing: rows inserted into the landing table, read by the load job -> ODS by key."""
+    """Non-CSV landing: rows inserted into the landing table, loaded with default flags -> ODS by key."""
     dbs = _scratch_dbs(spark)
     root = scratch_path(spark, "warehouse")
     meta = fx.metadata_frames(spark)
     run_load(spark, meta, LOAD_DT, files=["EVENTS"], databases=dbs, warehouse_root=root, create_only=True)
     sinks.overwrite_dynamic(fx.landed_events(spark, sf_dir), f"{dbs['ldg']}.erp_events")
-    run_load(spark, meta, LOAD_DT, files=["EVENTS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS,
-             drop_create=[False])
+    run_load(spark, meta, LOAD_DT, files=["EVENTS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS)
     return spark.table(f"{dbs['ods']}.erp_events")
 
 
@@ -341,6 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_unique": dq_unique,
     "dq_flag": dq_flag,
+    "dq_castable": dq_castable,
+    "violation_summary": violation_summary_q,
     "split_clean": split_clean,
     "split_reject": split_reject,
     "split_reject_v1": split_reject_v1,
@@ -354,12 +408,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ods_load_by_key": ods_load_by_key,
     "sink_static_overwrite": sink_static_overwrite,
     "src_csv_landing": src_csv_landing,
+    "src_csv_lines": src_csv_lines,
     "src_partition_read": src_partition_read,
     "e2e_orders": e2e_orders,
     "e2e_pk_feed": e2e_pk_feed,
     "e2e_multi_table": e2e_multi_table,
     "e2e_v1_validate_only": e2e_v1_validate_only,
     "e2e_csv_landing": e2e_csv_landing,
+    "e2e_csv_table_landing": e2e_csv_table_landing,
     "e2e_table_landing": e2e_table_landing,
     "e2e_lineitem": e2e_lineitem,
 }

@@ -42,6 +42,19 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "landf
     return spark
 
 
+def runtime_conf(spark: SparkSession) -> dict:
+    """The session's present values of the engine's settings, for ``restore_conf``."""
+    return {k: spark.conf.get(k, None) for k in RUNTIME_CONF}
+
+
+def restore_conf(spark: SparkSession, values: dict) -> None:
+    for k, v in values.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the engine's runtime SQL settings on a session the caller created."""
     for k, v in RUNTIME_CONF.items():
@@ -67,6 +80,8 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
+    if not d and sc is not None and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="landfall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -85,12 +100,3 @@ def set_scheduler_pool(spark: SparkSession, pool: "str | None") -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never a local temp dir on a cluster)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

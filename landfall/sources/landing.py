@@ -9,16 +9,16 @@ null becomes ``''``. All of this is column expressions on the scan output.
 
 from __future__ import annotations
 
-import re
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 CORRUPT = "_corrupt_record"
-# Split on commas that are outside double quotes.
-_FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# An escaped character, or a quoted run with its own escapes (closed or not).
+_QUOTED = r'\\.|"(?:[^"\\]|\\.)*+"?'
 
 
 def string_schema(columns: Sequence[str], load_date_col: Optional[str] = "load_dt",
@@ -31,47 +31,76 @@ def string_schema(columns: Sequence[str], load_date_col: Optional[str] = "load_d
     return T.StructType(fields)
 
 
+def _reader(spark: SparkSession, path: str, load_date_col: Optional[str], load_dt: Optional[str]):
+    """A reader and the folder it reads: the whole landing folder, or only that of one load date."""
+    if load_dt is None or not load_date_col:
+        return spark.read, path
+    return spark.read.option("basePath", path), f"{path.rstrip('/')}/{load_date_col}={load_dt}"
+
+
+def _load(reader, fmt: str, path: str) -> DataFrame:
+    try:
+        return reader.format(fmt).load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"no landing folder {path}") from e
+        raise
+
+
 def read_landing_csv(spark: SparkSession, path: str, columns: Sequence[str],
                      load_date_col: Optional[str] = "load_dt", header: bool = True,
-                     sep: str = ",") -> DataFrame:
+                     sep: str = ",", load_dt: Optional[str] = None) -> DataFrame:
     """SRC-3: comma CSV, first line of each file skipped, partition folders ``load_dt=...``.
 
     Returns the data columns as strings (``''`` for empty, null for missing)
-    and the load-date partition column; no schema inference.
+    and the load-date partition column; no schema inference. With ``load_dt``
+    only that date's folder is listed and read; it must exist.
+
+    No line is lost: Spark's CSV reader passes over blank lines, so they are
+    read as text beside it. An empty line has no field at all (every column
+    null), a line of blanks has one.
     """
-    schema = string_schema(columns, load_date_col, CORRUPT)
-    raw = (spark.read.schema(schema)
-           .option("header", header)
-           .option("sep", sep)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .csv(path))
-    n_fields = F.size(F.split(F.col(CORRUPT), re.escape(sep) + _FIELD_SPLIT[1:]))
-    out = []
-    for i, c in enumerate(columns):
-        filled = F.coalesce(F.col(c), F.lit(""))
-        out.append(F.when(F.col(CORRUPT).isNull(), filled)
-                    .when(F.lit(i) >= n_fields, F.lit(None).cast("string"))
-                    .otherwise(filled).alias(c))
-    if load_date_col:
-        out.append(F.col(load_date_col))
-    return raw.select(*out)
+    reader, folder = _reader(spark, path, load_date_col, load_dt)
+    raw = _load(reader.schema(string_schema(columns, load_date_col, CORRUPT))
+                .option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT), "csv", folder)
+    # Fields of a malformed line: separators left when escaped characters and
+    # quoted runs are taken out, in one pass over the line and once per line.
+    bare = F.regexp_replace(F.col(CORRUPT), _QUOTED, "")
+    counted = F.length(bare) - F.length(F.replace(bare, F.lit(sep))) + 1
+    raw = raw.withColumn("__lf_fields", F.when(F.col(CORRUPT).isNull(), F.lit(len(columns))).otherwise(counted))
+    fields = [F.when(F.col("__lf_fields") > i, F.coalesce(F.col(c), F.lit(""))).alias(c) for i, c in enumerate(columns)]
+    dates = [F.col(load_date_col)] if load_date_col else []
+    reader, _ = _reader(spark, path, load_date_col, load_dt)
+    lines = _load(reader.schema(string_schema(["value"], load_date_col)), "text", folder)
+    blank = lines.where(F.col("value").rlike(r"\A[\x00-\x20]*\z"))
+    first = F.when(F.col("value") != "", F.col("value"))
+    missing = [F.lit(None).cast("string").alias(c) for c in columns[1:]]
+    return raw.select(*fields, *dates).unionByName(blank.select(first.alias(columns[0]), *missing, *dates))
 
 
 def read_landing(spark: SparkSession, source: str, fmt: Optional[str] = None,
-                 columns: Optional[Sequence[str]] = None, load_date_col: Optional[str] = "load_dt") -> DataFrame:
+                 columns: Optional[Sequence[str]] = None, load_date_col: Optional[str] = "load_dt",
+                 load_dt: Optional[str] = None) -> DataFrame:
     """SRC-4: non-CSV landing data, either a catalog table or files in ``fmt``.
 
     For files, pass ``columns``: the all-string schema (with the load-date
     partition as a string) is then given to the reader, so nothing is inferred
-    (no footer-reading job, and ``load_dt=2022-09-11`` stays a string).
+    (no footer-reading job, and ``load_dt=2022-09-11`` stays a string). With
+    ``load_dt`` only that date's folder is listed and read; it must exist.
     """
     if fmt is None:
         return spark.table(source)
-    reader = spark.read.format(fmt)
+    reader, folder = _reader(spark, source, load_date_col, load_dt)
     if columns is not None:
         reader = reader.schema(string_schema(columns, load_date_col))
-    return reader.load(source)
+    return _load(reader, fmt, folder)
+
+
+def table_storage(spark: SparkSession, table: str) -> tuple[Optional[str], Optional[str]]:
+    """Format and location of a table, from the catalog."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return told.get("Provider"), told.get("Location")
 
 
 def for_load_date(df: DataFrame, load_dt: str, load_date_col: str = "load_dt") -> DataFrame:

@@ -52,6 +52,7 @@ MESSAGES = {
         "enum_range": ",range->{range}",
         "unique": "主键未通过[唯一性校验]",
         "misaligned": "错行数据",
+        "castable": "{col}列未通过[类型转换检查] errValue->",
         "flag_comment": "标签",
     },
     "en": {
@@ -62,6 +63,7 @@ MESSAGES = {
         "enum_range": ",range->{range}",
         "unique": "key failed [uniqueness]",
         "misaligned": "misaligned row",
+        "castable": "{col} failed [cast to its type] value->",
         "flag_comment": "violations",
     },
 }
@@ -94,6 +96,7 @@ class Profile:
     timestamp_formats: tuple = TIMESTAMP_FORMATS_V2
     key_table_prefer: str = "primary"      # key precedence for the columns of the key-feed tables (DDL)
     validate_delete_feed: bool = True      # the delete-key feed is validated and staged (v2 only)
+    check_castable: bool = False           # optional: values that the ODS cast would turn into null
 
     @staticmethod
     def of(name: "str | Profile") -> "Profile":
