@@ -113,3 +113,24 @@ def test_empty_measured_sides_skip_the_join(spark):
         assert {r["etl_is_hard_del"] for r in ods.collect()} == {0}
     finally:
         feed.release()
+
+
+def test_hot_key_is_split_inside_the_cached_plan(spark):
+    """The load job's merge path: the join runs while the validated rows are cached."""
+    from landfall.operators.validate import duplicate_side
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    side = None
+    try:
+        side = duplicate_side(landing(spark), ["k"], limit=0)
+        v = validate(landing(spark), RULES, ["k"], duplicates=side).persist()
+        n = v.count()
+        plan = v._jdf.queryExecution().executedPlan().toString()
+        v.unpersist()
+    finally:
+        if side is not None:
+            side.release()
+        for k, val in old.items():
+            spark.conf.unset(k) if val is None else spark.conf.set(k, val)
+    assert n == 30000 and "SortMergeJoin(skew=true)" in plan
