@@ -116,10 +116,10 @@ class Machine:
         """Row, feature and value of all entries, in row order."""
         n, k = f.statistics.shape
         scaled = np.clip((f.statistics - self.mean) * self.scale, -4, 4) / 2
-        row = np.concatenate([f.rows, np.repeat(np.arange(n), k)])
+        row = np.concatenate([f.rows, np.repeat(np.arange(n, dtype=f.rows.dtype), k)])
         order = np.argsort(row, kind="stable")
-        return (row[order], np.concatenate([f.index, np.tile(self.buckets + np.arange(k), n)])[order],
-                np.concatenate([f.value, scaled.reshape(-1)])[order].astype(np.float32))
+        return (row[order], np.concatenate([f.index, np.tile(np.arange(self.buckets, self.size, dtype=f.index.dtype), n)])[order],
+                np.concatenate([f.value, scaled.reshape(-1)], dtype=np.float32)[order])
 
     def _sums(self, n: int, row: np.ndarray, index: np.ndarray, x: np.ndarray):
         """Per row the sum of w x and of v x, and the raw score by the sum-of-squares identity."""
@@ -215,9 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     f = Features.__new__(Features)
     f.statistics = np.array([np.frombuffer(r["statistics"], np.float32) for r in rows])
     index = [np.frombuffer(r["index"], np.int32) for r in rows]
-    f.rows = np.repeat(np.arange(len(rows)), [len(x) for x in index])
-    f.index = np.concatenate(index).astype(np.int64)
+    f.rows = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in index])
+    f.index = np.concatenate(index)
     f.value = np.concatenate([np.frombuffer(r["value"], np.float32) for r in rows])
+    del rows, index
     machine.mean = f.statistics.mean(axis=0)
     machine.scale = 1 / np.maximum(f.statistics.std(axis=0), 1e-3)
     machine.fit(*machine.rows(f), label)
