@@ -280,3 +280,21 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by a 20-word window that also starts earlier are removed from every document."""
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i,
+                   unnest(list_transform(range(1, len(ws) - 18), i -> array_to_string(ws[i:i + 19], ' '))) AS win
+            FROM w WHERE len(ws) >= 20),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM windows) x
+          WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM later) x),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM w),
+kept AS (SELECT words.doc_id, count(gone.j) AS n_removed,
+                string_agg(word, ' ' ORDER BY words.j) FILTER (gone.j IS NULL) AS text
+         FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.j = gone.j GROUP BY words.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
