@@ -285,7 +285,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 windows AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i,
-                   unnest(list_transform(range(1, len(ws) - 18), i -> array_to_string(ws[i:i + 19], ' '))) AS win
+                   unnest(list_transform(range(1, len(ws) - 18), lambda k: array_to_string(ws[k:k + 19], ' '))) AS win
             FROM w WHERE len(ws) >= 20),
 later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM windows) x
           WHERE nth > 1),
