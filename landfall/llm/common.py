@@ -133,15 +133,19 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
 
 
+_shipped: set[str] = set()  # applications that have the package
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of a session that was started without it."""
+    """Make this package importable in the Python workers of an application that was started without it."""
     import os
     import tempfile
     import zipfile
 
     import landfall
 
-    if spark.conf.get("spark.landfall.shipped", None):
+    application = spark.sparkContext.applicationId  # sessions of one application share its files
+    if application in _shipped:
         return
     root = os.path.dirname(os.path.abspath(landfall.__file__))
     archive = os.path.join(tempfile.mkdtemp(prefix="landfall-"), "landfall.zip")  # Spark sends it to the executors
@@ -152,4 +156,4 @@ def ship_package(spark: SparkSession) -> None:
                     path = os.path.join(folder, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
     spark.sparkContext.addPyFile(archive)
-    spark.conf.set("spark.landfall.shipped", "true")
+    _shipped.add(application)

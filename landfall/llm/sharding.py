@@ -7,11 +7,13 @@ version by moving slots from the fullest to the emptiest shard, and stores the
 edited map as the next version. Data moves only with its slot.
 
 The law kept is ``bytes``: sizes near equal. Equal texts share a slot, so they
-share a shard; only a slot larger than half a shard's fair share is split, by
-id, into sub-slots (else a text held by a third of all rows would fill a shard).
+share a shard. A slot larger than half a shard's fair share is split into
+sub-slots by text; only a text whose rows are together larger than a shard's
+fair share is cut further, by id (one shard cannot hold it under this law).
 
-Only per-slot sums (``slots`` of them, and the sub-slots of large ones) reach
-the driver; the map joined back is bounded by the same numbers.
+Only per-slot sums (``slots`` of them, and the sub-slots of large ones) and the
+texts above a shard's share (fewer than ``shards``) reach the driver; the map
+joined back is bounded by the same numbers.
 
 Defined cases: a null text has no bytes and the crc of an empty text; a null id
 comes after every id; an empty table gives an empty result and an untouched
@@ -27,6 +29,7 @@ from landfall.session import scratch_path
 
 SLOTS = 4096
 SHARDS = 8
+SUBS = 64            # sub-slots of a large slot
 BIN_ROWS = 1000      # least rows of a position bin
 _MAP = "version int, slot int, sub int, shard int"
 _BINS = "slot int, sub int, bin int, shard int, at long"
@@ -71,16 +74,21 @@ def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slo
     """The records with their slot and sub-slot (a working table), and the bytes and rows of each."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     records = docs.select(id_key(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-                          F.crc32(text.cast("binary")).alias("text_crc32"),
-                          F.pmod(F.xxhash64(text), F.lit(slots)).cast("int").alias("slot"))
-    records = materialise(records, "slots")
+                          F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("th"))
+    records = materialise(records.withColumn("slot", F.pmod("th", F.lit(slots)).cast("int")), "slots")
     sums = records.groupBy("slot").agg(F.sum("size").alias("size")).collect()
     total = sum(r["size"] for r in sums)
-    large = {r["slot"]: -(-16 * shards * r["size"] // total) for r in sums if 2 * shards * r["size"] > total}
-    n_subs = F.lit(1)
-    for slot, n in sorted(large.items()):  # fewer than 2 * shards
-        n_subs = F.when(F.col("slot") == slot, F.lit(n)).otherwise(n_subs)
-    records = records.withColumn("sub", F.pmod(F.xxhash64("id"), n_subs).cast("int"))
+    large = [r["slot"] for r in sums if 2 * shards * r["size"] > total]  # fewer than 2 * shards
+    sub = F.lit(0)
+    if large:
+        sub = F.when(F.col("slot").isin(large), F.pmod(F.xxhash64("th"), F.lit(SUBS))).otherwise(sub)
+        texts = records.where(F.col("slot").isin(large)).groupBy("slot", "th").agg(F.sum("size").alias("size"))
+        next_sub = dict.fromkeys(large, SUBS)
+        for r in texts.where(F.col("size") * shards > total).orderBy("slot", "th").collect():  # fewer than ``shards``
+            n = -(-16 * shards * r["size"] // total)
+            sub = F.when(F.col("th") == r["th"], F.pmod(F.xxhash64("id"), F.lit(n)) + next_sub[r["slot"]]).otherwise(sub)
+            next_sub[r["slot"]] += n
+    records = records.withColumn("sub", sub.cast("int"))
     return records, records.groupBy("slot", "sub").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
 
 

@@ -178,6 +178,21 @@ def test_sharding_edges(spark, documents, tmp_path):
     assert not sharding.shard_by_slots(documents(hot).limit(0)).count()
 
 
+def test_copies_stay_together(documents):
+    """Texts of less than a shard's share stay whole, also beside a text that is cut."""
+    rows = [(i, "the text of most rows") for i in range(4000)]
+    rows += [(10_000 + i, f"text {i % 300}") for i in range(3000)] + [(20_000 + i, "held by many " * 3) for i in range(250)]
+    found = sharding.shard_by_slots(documents(rows), slots=16).collect()
+    check_shards(found)
+    text_of = dict(rows)
+    shards = {}
+    for r in found:
+        shards.setdefault(text_of[r["doc_id"]], set()).add(r["shard"])
+    assert all((len(s) > 1) == (t == "the text of most rows") for t, s in shards.items())
+    load = [sum(r["size"] for r in found if r["shard"] == s) for s in range(8)]
+    assert max(load) <= 1.05 * min(load)
+
+
 def test_slot_map_versions(spark, documents):
     from landfall.session import scratch_path
     path = scratch_path(spark, "map")
