@@ -23,6 +23,11 @@ without moving a text again:
 Defined cases: a null text has no words; a null id comes after every id; rows
 that share an id come in the order in which they are stored; an empty table
 gives an empty result; only the two named columns are read.
+
+A chunk sends one piece of its sketch to every slice it touches, so pieces get
+small as slices get many. The defaults (a task of under 1 GB) keep a few dozen
+windows a piece up to about 1 TB of text; for 100 TB give ``chunk_bytes`` of
+16 MB and ``slice_windows`` of 64 million. The rows are the same.
 """
 
 from __future__ import annotations
@@ -41,7 +46,8 @@ from landfall.session import scratch_path
 WINDOW = 20
 CHUNK_BYTES = 4 << 20       # text in one chunk
 SLICE_WINDOWS = 4 << 20     # windows merged by one task
-CELL_BITS = 26              # cells of one slice of one sketch row: 16 times its windows
+CELLS_PER_WINDOW = 16       # of one sketch row
+CELL_BITS = (SLICE_WINDOWS * CELLS_PER_WINDOW - 1).bit_length()
 BUCKET_BYTES = 16 << 20     # text in one bucket of the chunk table
 
 _CHUNK = "chunk long, n_windows long, ids array<long>, texts array<binary>"
@@ -94,9 +100,9 @@ def _parts(key: np.ndarray, n: int) -> np.ndarray:
     return ((key >> np.uint64(40)) * np.uint64(n)) >> np.uint64(24)
 
 
-def _cells(key: np.ndarray, n_slices: int) -> np.ndarray:
+def _cells(key: np.ndarray, n_slices: int, cell_bits: int) -> np.ndarray:
     """Slice and cell of each key in one sketch row, as one number."""
-    return (_parts(key, n_slices) << np.uint64(CELL_BITS)) | (key & np.uint64((1 << CELL_BITS) - 1))
+    return (_parts(key, n_slices) << np.uint64(cell_bits)) | (key & np.uint64((1 << cell_bits) - 1))
 
 
 def _cut(sorted_parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -111,14 +117,15 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], window: int, n_slices: int) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], window: int, n_slices: int,
+            cell_bits: int = CELL_BITS) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
         _, k0, k1 = _windows(Words(row["texts"]), window)
         out = []
         for r, key in enumerate((k0, k1)):
-            cells, counts = np.unique(_cells(key, n_slices), return_counts=True)
-            for part, i, j in _cut(cells >> np.uint64(CELL_BITS)):
-                piece = (cells[i:j] & np.uint64((1 << CELL_BITS) - 1)).astype(np.uint32)
+            cells, counts = np.unique(_cells(key, n_slices, cell_bits), return_counts=True)
+            for part, i, j in _cut(cells >> np.uint64(cell_bits)):
+                piece = (cells[i:j] & np.uint64((1 << cell_bits) - 1)).astype(np.uint32)
                 out.append((r * n_slices + part, row["chunk"], pack(np.diff(piece, prepend=np.uint32(0))),
                             np.packbits(counts[i:j] > 1).tobytes()))
         if out:
@@ -143,7 +150,7 @@ def _merge(slice_: pa.Table) -> pa.Table:
     return pa.table({"chunk": slice_.column("chunk"), "part": slice_.column("part"), "bits": pa.array(bits, pa.binary())})
 
 
-def _candidates(row: dict, words: Words, window: int, n_slices: int):
+def _candidates(row: dict, words: Words, window: int, n_slices: int, cell_bits: int = CELL_BITS):
     """The windows whose estimated count is two or more, ordered by key and then position.
 
     Returns the start words, the order, the two key halves in that order, and
@@ -153,9 +160,9 @@ def _candidates(row: dict, words: Words, window: int, n_slices: int):
     bits = {x["part"]: x["bits"] for x in row["sketch"] or ()}
     keep = np.ones(len(at), bool)
     for r, key in enumerate((k0, k1)):
-        cells, inverse = np.unique(_cells(key, n_slices), return_inverse=True)
+        cells, inverse = np.unique(_cells(key, n_slices, cell_bits), return_inverse=True)
         hit = np.zeros(len(cells), bool)
-        for part, i, j in _cut(cells >> np.uint64(CELL_BITS)):
+        for part, i, j in _cut(cells >> np.uint64(cell_bits)):
             hit[i:j] = np.unpackbits(np.frombuffer(bits[r * n_slices + part], np.uint8), count=j - i)
         keep &= hit[inverse]
     at, k0, k1 = at[keep], k0[keep], k1[keep]
@@ -166,10 +173,11 @@ def _candidates(row: dict, words: Words, window: int, n_slices: int):
     return at, order, k0, k1, np.flatnonzero(new)
 
 
-def _estimated(batches: Iterator[pa.RecordBatch], window: int, n_slices: int) -> Iterator[pa.RecordBatch]:
+def _estimated(batches: Iterator[pa.RecordBatch], window: int, n_slices: int,
+               cell_bits: int = CELL_BITS) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
         words = Words(row["texts"])
-        at, order, k0, k1, first = _candidates(row, words, window, n_slices)
+        at, order, k0, k1, first = _candidates(row, words, window, n_slices, cell_bits)
         if not len(first):
             continue
         ids = np.array(row["ids"], np.int64)[words.text_of_word()[at[order[first]]]]
@@ -205,12 +213,13 @@ def _group(entries: pa.Table) -> pa.Table:
                      "bits": pa.array([pack(state[i:j]) for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())})
 
 
-def _remove(batches: Iterator[pa.RecordBatch], window: int, n_slices: int) -> Iterator[pa.RecordBatch]:
+def _remove(batches: Iterator[pa.RecordBatch], window: int, n_slices: int,
+            cell_bits: int = CELL_BITS) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("from", pa.int64()), ("to", pa.int64())])
     for row in _rows(batches):
         words = Words(row["texts"])
         gone = np.zeros(len(words) + 1, np.int64)
-        at, order, k0, _, first = _candidates(row, words, window, n_slices)
+        at, order, k0, _, first = _candidates(row, words, window, n_slices, cell_bits)
         if len(first):
             states = {x["part"]: x["bits"] for x in row["exact"]}
             state = np.concatenate([unpack(states[part], np.uint8) for part, _, _ in _cut(_parts(k0[first], n_slices))])
@@ -259,21 +268,22 @@ def _by_chunk(answers: DataFrame, name: str) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    chunk_bytes: int = CHUNK_BYTES, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one space), removed (spans of word numbers)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chunks = _chunk_table(docs, window, chunk_bytes)
     windows = chunks.agg(F.sum("n_windows")).first()[0] or 0
-    n = max(1, -(-windows // SLICE_WINDOWS))
-    pieces = chunks.select("chunk", "texts").mapInArrow(lambda it: _sketch(it, window, n), _PIECE)
+    n = max(1, -(-windows // slice_windows))
+    bits = min(32, (slice_windows * CELLS_PER_WINDOW - 1).bit_length())
+    pieces = chunks.select("chunk", "texts").mapInArrow(lambda it: _sketch(it, window, n, bits), _PIECE)
     sketch = materialise(pieces.groupBy("part").applyInArrow(_merge, _ANSWER), "sketch")
     sketched = chunks.join(_by_chunk(sketch, "sketch"), "chunk", "left")
     entries = (sketched.select("chunk", "ids", "texts", "sketch")
-               .mapInArrow(lambda it: _estimated(it, window, n), _ENTRY))
+               .mapInArrow(lambda it: _estimated(it, window, n, bits), _ENTRY))
     exact = materialise(entries.groupBy("part").applyInArrow(_group, _ANSWER), "exact")
     return (sketched.join(_by_chunk(exact, "exact"), "chunk", "left")
             .select("chunk", "ids", "texts", "sketch", "exact")
-            .mapInArrow(lambda it: _remove(it, window, n), _KEPT))
+            .mapInArrow(lambda it: _remove(it, window, n, bits), _KEPT))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,8 @@ def test_substring_random(documents):
     out = substring_dedup.substring_dedup(documents(rows), chunk_bytes=3000)
     got = [tuple(r) for r in out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()]
     assert by_id(got) == by_id(brute_substring(rows))
+    few = substring_dedup.substring_dedup(documents(rows), chunk_bytes=5000, slice_windows=64)  # many slices, crowded cells
+    assert by_id([tuple(r) for r in few.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()]) == by_id(got)
     for r in out.where("n_removed > 0").collect():
         assert sum(s["to"] - s["from"] for s in r["removed"]) == r["n_removed"]
 
