@@ -96,7 +96,7 @@ class Block:
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
         for query_id, query, at in zip(query_ids.tolist(), queries, self.candidates(queries)):
             at = at[self.ids[at] != query_id]
-            score = self.vectors[at] @ query
+            score = np.einsum("ij,j->i", self.vectors[at], query)  # row by row: equal vectors get equal bits, wherever they are
             best = np.lexsort((self.ids[at], -score))[:k]
             yield np.full(len(best), query_id), self.ids[at][best], score[best]
 
