@@ -7,9 +7,11 @@ excess is shared again by weight until no source is above.
 Of all non-negative document rates whose expected words meet the targets, the
 mix takes those of least relative entropy to one copy each. They have the form
 ``min(most, exp(lambda[source] * size))`` (size in units of the source's mean),
-and lambda solves a convex dual, one variable per source. Each Newton step is
-one aggregation of gradient and curvature per source over all documents;
-a bracket guards the step.
+and lambda solves a convex dual, one variable per source. A rate depends on
+source and size alone, so all documents are first counted per source and size,
+in one pass; each Newton step is one aggregation of gradient and curvature per
+source over those counts. The sums are decimal, so that no order of tasks
+changes lambda; a bracket guards the step.
 
 Rates become whole copies in two steps, both by aggregation: every document
 rounds by a hash of its id; a per-source threshold on that hash, found by
@@ -67,19 +69,24 @@ def _joined(docs: DataFrame, values: dict, schema: str) -> DataFrame:
     return docs.join(small_table(docs.sparkSession, [(k, *v) for k, v in sorted(values.items())], f"k int, {schema}"), "k")
 
 
-def _balance(docs: DataFrame, goal: dict, mean: dict, most: float) -> dict:
-    """lambda per source number: distributed Newton iterations on the dual."""
+def _exact_sum(c: "F.Column") -> "F.Column":
+    """A sum of doubles that is the same in any order."""
+    return F.sum(c.cast("decimal(38, 12)")).cast("double")
+
+
+def _balance(counts: DataFrame, goal: dict, mean: dict, most: float) -> dict:
+    """lambda per source number: distributed Newton iterations on the dual; ``counts``: k, size, n (documents)."""
     lam = {k: 0.0 for k in goal}
     low, high = {k: -math.inf for k in goal}, {k: math.inf for k in goal}
     open_ = set(goal)
     for _ in range(STEPS):
         if not open_:
             break
-        at = _joined(docs, {k: (lam[k], 1.0 / mean[k]) for k in open_}, "lam double, unit double")
-        x = F.col("size") * F.col("unit")
+        at = _joined(counts, {k: (lam[k], 1.0 / mean[k]) for k in open_}, "lam double, unit double")
+        x, words = F.col("size") * F.col("unit"), F.col("size") * F.col("n")
         tilt = F.exp(F.least(F.col("lam") * x, F.lit(math.log(most) + 1)))
-        sums = at.groupBy("k").agg(F.sum(F.col("size") * F.least(tilt, F.lit(float(most)))).alias("g"),
-                                   F.sum(F.when(tilt < most, F.col("size") * x * tilt).otherwise(0.0)).alias("h"))
+        sums = at.groupBy("k").agg(_exact_sum(words * F.least(tilt, F.lit(float(most)))).alias("g"),
+                                   _exact_sum(F.when(tilt < most, words * x * tilt).otherwise(0.0)).alias("h"))
         for r in sums.collect():
             k, error = r["k"], r["g"] - goal[r["k"]]
             if abs(error) <= CLOSE * goal[k] + 1e-9:
@@ -145,16 +152,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     spark = docs.sparkSession
     sized = materialise(docs.select(id_key(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                                     F.xxhash64(text_col).alias("row_hash"), _n_words(F.col(text_col)).alias("size")), "sizes")
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    counts = materialise(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "size-counts")
+    per_source = (counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n"))
+                  .collect())
     per_source.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))  # code point order
     sizes = [r["size"] for r in per_source]
     share = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], sum(sizes), most)
     numbered = small_table(spark, [(i, r["source"], r["size"], share[i]) for i, r in enumerate(per_source)],
                            "k int, source string, source_size long, target double")
-    rows = sized.join(numbered, sized["source"].eqNullSafe(numbered["source"])).drop(numbered["source"])
+
+    def by_number(df: DataFrame) -> DataFrame:
+        return df.join(numbered, df["source"].eqNullSafe(numbered["source"])).drop(numbered["source"])
+
+    rows = by_number(sized)
     goal = {i: t for i, t in enumerate(share) if sizes[i] and 0 < t < most * sizes[i]}
     mean = {i: sizes[i] / per_source[i]["n"] for i in goal}
-    lam = _balance(rows.select("k", "size"), goal, mean, float(most))
+    lam = _balance(by_number(counts).select("k", "size", "n"), goal, mean, float(most))
     # lambda and unit of each source; a source at its cap takes every document ``most`` times, one without a target none.
     state = {i: (lam[i], 1.0 / mean[i]) if i in goal else ((_ALL if t else -_ALL), 1.0) for i, t in enumerate(share)}
     rows = _joined(rows, state, "lam double, unit double")

@@ -121,6 +121,19 @@ def test_neighbours_edges(spark):
     assert not ann.nearest_neighbours(df.limit(0), F.lit(True)).count()
 
 
+def test_equal_vectors_by_id(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(2000, 37)).astype(np.float32)
+    vectors[[0, *np.flatnonzero(rng.random(2000) < 0.4)]] = vectors[0] * 3
+    copies = np.flatnonzero((vectors == vectors[0]).all(axis=1)).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>").repartition(5)
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 20 == 0, 20, block_rows=700).collect()
+    for q in (c for c in copies if c % 20 == 0):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        assert [i for _, i, _ in own] == [c for c in copies if c != q][:20]
+        assert len({s for _, _, s in own}) == 1
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [5, 2, 1], 300) == [187.5, 75.0, 37.5]
     assert mixing.targets([10, 1000, 90], [5, 2, 1], 1100) == pytest.approx([30.0, 800.0, 270.0])
@@ -140,6 +153,12 @@ def test_mix(spark):
     assert again == {r["doc_id"]: r["taken"] for r in rows}
 
 
+def test_mix_whatever_the_partitions(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    one, other = ({r["doc_id"]: tuple(r) for r in mixing.mix(d).collect()} for d in (docs, docs.repartition(13, "n_chars")))
+    assert one == other
+
+
 def test_mix_edges(documents):
     docs = documents(EDGES)
     rows = mixing.mix(docs).collect()
