@@ -134,6 +134,27 @@ def test_equal_vectors_by_id(spark):
         assert len({s for _, _, s in own}) == 1
 
 
+@pytest.mark.parametrize("norms", ["outlier", "mixed", "tiny"])
+def test_neighbours_of_unequal_norms(spark, norms):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(2000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if norms == "outlier":
+        vectors[7] *= 5
+    else:
+        vectors *= rng.lognormal(0, 0.5, size=(2000, 1)) * (1e-170 if norms == "tiny" else 1)
+    ids = np.arange(2000)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest_neighbours(df, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute_nearest(ids, vectors * (1e170 if norms == "tiny" else 1), lambda i: i % 20 == 0, 20)
+    if norms == "tiny":  # every product vanishes: ties go to the smaller id
+        want = {q: [(i, 0.0) for i in ids.tolist() if i != q][:20] for q in want}
+    assert all(len(x) == 20 for x in found.values())
+    assert np.mean([len(found[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [5, 2, 1], 300) == [187.5, 75.0, 37.5]
     assert mixing.targets([10, 1000, 90], [5, 2, 1], 1100) == pytest.approx([30.0, 800.0, 270.0])
