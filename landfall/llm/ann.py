@@ -20,7 +20,8 @@ Vectors are dealt into blocks by ranges of their norm (the ends of a range are
 a range of many vectors further by a hash of the row; the stated queries visit
 every block, in batches; each block returns its nearest, and the nearest of all
 blocks remain. A block holds at most about ``block_rows`` vectors, so a task's
-memory does not grow with the table.
+memory does not grow with the table. Equal rows (id and vector) count once
+before they are dealt, and a block's nearest are different ids.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part; vectors of different length are never compared; equal
@@ -80,6 +81,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.repeats = len(np.unique(ids)) < len(ids)
         n, dim = vectors.shape
         lengths = _length(vectors)
         self.longest = float(lengths.max())
@@ -104,6 +106,16 @@ class Block:
         at = at[self.ids[at] != query_id]
         return at, np.einsum("ij,j->i", self.vectors[at], query)  # row by row: equal vectors get equal bits, wherever they are
 
+    def best(self, at: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+        """Places in ``at`` of the ``k`` best different ids."""
+        near = np.arange(len(at))
+        if not self.repeats and len(at) > k:
+            near = np.flatnonzero(score >= np.partition(score, -k)[-k])
+        near = near[np.lexsort((self.ids[at[near]], -score[near]))]
+        if self.repeats:
+            near = near[np.sort(np.unique(self.ids[at[near]], return_index=True)[1])]
+        return near[:k]
+
     def candidates(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per query the verified vectors and their scores: those whose collisions exceed the threshold, once the block is done."""
         n = len(self.ids)
@@ -122,8 +134,9 @@ class Block:
             found, r = count > THRESHOLD, 0
             at, score = self.scores(query_id, query, np.flatnonzero(found))
             while max(low) > 0 or min(high) < n:
-                if found.sum() >= enough and len(score) >= k:
-                    last = np.partition(score, -k)[-k] / lengths[q] / self.longest
+                nearest = self.best(at, score, k) if found.sum() >= enough else ()
+                if len(nearest) >= k:
+                    last = score[nearest[-1]] / lengths[q] / self.longest
                     if START * GROWTH ** r * self.spread >= REACH * math.sqrt(max(0.0, 2 - 2 * last)):
                         break
                 r += 1
@@ -141,7 +154,7 @@ class Block:
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
         for query_id, (at, score) in zip(query_ids.tolist(), self.candidates(query_ids, queries, k)):
-            best = np.lexsort((self.ids[at], -score))[:k]
+            best = self.best(at, score, k)
             yield np.full(len(best), query_id), self.ids[at][best], score[best]
 
 
@@ -211,7 +224,8 @@ def nearest_neighbours(embeddings: DataFrame, queries: "F.Column", k: int = NEAR
                        vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: of every row that ``queries`` (a condition on vec_id) marks, its ``k`` nearest."""
     spark = embeddings.sparkSession
-    rows = materialise(_with_range(usable(embeddings, id_col, vector_col)), "vectors")
+    rows = usable(embeddings, id_col, vector_col).distinct()  # copies of a row would fill one block, and ask as often
+    rows = materialise(_with_range(rows), "vectors")
     sizes = rows.groupBy("dim", "norm_range").count().collect()  # doubles span some 6,400 ranges
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -155,6 +155,27 @@ def test_neighbours_of_unequal_norms(spark, norms):
     assert np.mean([len(found[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 16)).tolist()
+    schema, condition = "vec_id long, embedding array<double>", F.col("vec_id") % 20 == 0
+    once = spark.createDataFrame(list(enumerate(vectors)), schema)
+    rows = lambda df, **more: sorted(map(tuple, ann.nearest_neighbours(df, condition, 20, **more).collect()))
+    want = rows(once)
+    assert len(want) == 15 * 20 and rows(once.union(once)) == want
+    # Id 1 in 40 versions, all nearer to the queries than any other: it takes one place.
+    versions = [(1, (np.array(vectors[0]) * (9 + i / 40)).tolist()) for i in range(40)]
+    got = rows(once.where("vec_id <> 1").union(spark.createDataFrame(versions, schema)))
+    assert len(got) == 15 * 20 and all(len({i for q, _, i, _ in got if q == x}) == 20 for x in range(0, 300, 20))
+    # The same in a block that is not verified whole.
+    vectors = rng.normal(size=(1200, 16))
+    ids = np.concatenate([np.full(600, 1), np.arange(2, 602)])
+    vectors[:600] = vectors[700] * 3 + vectors[:600] / 10
+    block = ann.Block(ids, vectors)
+    (_, found, _), = block.nearest(np.array([-1]), vectors[700:701], 20)
+    assert len(set(found.tolist())) == 20
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [5, 2, 1], 300) == [187.5, 75.0, 37.5]
     assert mixing.targets([10, 1000, 90], [5, 2, 1], 1100) == pytest.approx([30.0, 800.0, 270.0])
