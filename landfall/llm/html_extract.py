@@ -11,8 +11,13 @@ paragraphs and lists also belong to it.
 
 Paths through page furniture (navigation, footers, asides, forms, scripts, and
 boxes whose class or id names menus, adverts, notices, comments ...) are no
-content. A box that is named so but holds the article element (or, on a page
-without one, half the page's text) is not believed.
+content. A box that is named so but holds the article element, or half the text
+of the article element around it (of the page, where there is none), is not
+believed. A name is a whole class or id. Names that are only a part of one
+(``related-work``), that also name topics (``discussion``), or that are ids
+inside an article, are believed of a box inside the article (or anywhere, where
+there is none) only if half its text is in links or its ratio is low. Headings
+are never furniture by name, paragraphs and the like not inside an article.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by two line breaks in page order.
@@ -59,12 +64,19 @@ _NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
           "commentlist", "disqus", "reply", "replies", "respond", "discussion", "cookie", "cookies", "consent", "gdpr", "notice",
           "notices", "alert", "alerts", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup",
           "login", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "widgets", "toolbar",
-          "pagination", "pager", "skip", "copyright", "search", "disclaimer", "hidden"}
+          "pagination", "pager", "skip", "copyright", "search", "disclaimer"}
+_TOPICS = {"promotion", "advertising", "banner", "navigation", "menu", "menus", "rail", "foot", "header", "reply", "replies",
+           "respond", "discussion", "notice", "notices", "alert", "alerts", "overlay", "subscribe", "subscription", "social",
+           "related", "skip", "search", "disclaimer"}   # of _NAMES, those that an article's own part may have
+_COMMENT = re.compile(r"(?:comments?|repl(?:y|ies))(?:[-_]?(?:item|body|content|text|\d+))?", re.I)
+_OWN_HEADER = {"entry", "post", "article", "content", "story", "title"}
+_SENTENCES = _HEADINGS | {"p", "pre", "blockquote", "figcaption", "caption", "summary"}
 _P_ENDS = {"p"}
 _IMPLIED = {"li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "td", "th", "tr"},
             "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "option": {"option"}}
 _PUNCTUATION = re.compile(r"[.,;:!?…，。、；：！？]")
-_MAJORITY = 0.5   # of the page's text: a box that holds so much is content, whatever its name
+_MAJORITY = 0.5   # of the text of the article or page: a box that holds so much is content, whatever its name
+_LOW = 0.5        # of the ratio of the article or page: a box below it is furniture if its name says so
 _MOST = 0.7       # of the content: the container that holds so much is the article's
 _SMOOTH = (0.25, 0.5, 0.25)
 
@@ -73,7 +85,7 @@ class Page:
     """Paths and text blocks of one page."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.kind = [-1], ["#root"], [0]   # kind 0: none, 1: furniture by name, 2: never content
+        self.parent, self.tag, self.kind = [-1], ["#root"], [0]   # kind 0: none, 1: perhaps furniture, 2: furniture by name, 3: never content
         self.paths: dict = {}
         self.blocks: list = []       # (path, text, characters in links, article)
         self._parts: list[str] = []
@@ -103,23 +115,24 @@ class Page:
 
     def _push(self, name: str, attributes: str) -> None:
         path, article = self._stack[-1][1:]
-        kind, sign = (2 if name in _NEVER else 0), name
+        kind, sign = (3 if name in _NEVER else 0), name
+        inside = bool(article or self._open.get("main") or name in ("article", "main"))
         if name == "header" and not self._open.get("article") and not self._open.get("main"):
-            kind = 1
+            kind = 2
         if attributes:
-            given = {}
-            for key, value in _ATTRIBUTE.findall(attributes):
-                given.setdefault(key.lower(), value.strip("\"'"))
+            given = _given(attributes)
             names = f"{given.get('class', '')} {given.get('id', '')}".strip()
             sign = f"{name} {names}"
-            if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(given.get("style", "")):
-                kind, sign = 2, sign + " #hidden"
-            elif name not in ("html", "body", "article", "main") or _named_comment(names):
+            if _hidden(given):
+                kind, sign = 3, sign + " #hidden"
+            elif name not in ("html", "body", "article", "main") or any(map(_COMMENT.fullmatch, names.split())):
                 role = given.get("role", "").lower()
                 if role in _ROLES:
-                    kind, sign = max(kind, 1), f"{sign} #{role}"
-                elif names and any(p.lower() in _NAMES for p in _NAME_PARTS.findall(names)):
-                    kind = max(kind, 1)
+                    kind, sign = max(kind, 2), f"{sign} #{role}"
+                elif name in ("article", "main"):
+                    kind = max(kind, 2)
+                elif name not in (_SENTENCES if inside else _HEADINGS):
+                    kind = max(kind, _named(given, inside, name in _SENTENCES))
         key = (path, sign)
         number = self.paths.get(key)
         if number is None:
@@ -177,9 +190,9 @@ class Page:
                     at = source.find(">", at) + 1 or size
                 continue
             if name == "span":
-                names = " ".join(v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes) if k.lower() in ("class", "id"))
-                plain = not any(p.lower() in _NAMES for p in _NAME_PARTS.findall(names))
-                if plain and not _HIDDEN.search(attributes) and "hidden" not in attributes.lower():
+                given = _given(attributes)
+                sentence = self._stack[-1][0] in _TEXTUAL or self._stack[-1][0] == "span"
+                if not _hidden(given) and (sentence or not _named(given, True, True)):
                     self._stack.append(("span", *self._stack[-1][1:]))
                     self._open["span"] = self._open.get("span", 0) + 1
                     continue
@@ -198,8 +211,31 @@ class Page:
             self._flush()
 
 
-def _named_comment(names: str) -> bool:
-    return any(p.lower() in ("comment", "comments", "reply") for p in _NAME_PARTS.findall(names))
+def _given(attributes: str) -> dict[str, str]:
+    given: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(attributes):
+        given.setdefault(key.lower(), value.strip("\"'"))
+    return given
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    return "hidden" in given or given.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(given.get("style", "")))
+
+
+def _named(given: dict[str, str], inside: bool, whole: bool) -> int:
+    """2 if a class or id is a name of furniture, 1 if it may be (not with ``whole``), else 0."""
+    kind = 0
+    for key in ("class", "id"):
+        for token in given.get(key, "").split():
+            name = token.lower()
+            if name in _NAMES and not (inside and (key == "id" or name in _TOPICS)) and name not in ("discussion", "related"):
+                return 2
+            if not whole:
+                parts = {p.lower() for p in _NAME_PARTS.findall(token)} & _NAMES
+                if parts == {"header"} and (inside or _OWN_HEADER & {p.lower() for p in _NAME_PARTS.findall(token)}):
+                    continue
+                kind = max(kind, bool(parts))
+    return kind
 
 
 def main_text(source: "str | None") -> str:
@@ -210,23 +246,41 @@ def main_text(source: "str | None") -> str:
     parent, tag, kind = page.parent, page.tag, page.kind
     n = len(parent)
     # Furniture, inherited along the path (a path's number is above its parent's).
-    under = [0.0] * n
+    under, links_under, blocks_under, marks_under = [0.0] * n, [0] * n, [0] * n, [0] * n
     hard = [False] * n
     for p in range(1, n):
-        hard[p] = kind[p] == 2 or hard[parent[p]]
+        hard[p] = kind[p] == 3 or hard[parent[p]]
     for path, text, links, _ in page.blocks:
         if not hard[path]:
             under[path] += len(text) - links
+            links_under[path] += links
+            blocks_under[path] += 1
+            marks_under[path] += len(_PUNCTUATION.findall(text))
     for p in range(n - 1, 0, -1):
-        under[parent[p]] += under[p]
+        for sums in (under, links_under, blocks_under, marks_under):
+            sums[parent[p]] += sums[p]
     articles = [tag[p] in ("article", "main") and not kind[p] and not hard[p] and under[p] > 0 for p in range(n)]
+    scope = [0] * n   # the article around a path
+    for p in range(1, n):
+        scope[p] = p if articles[p] else scope[parent[p]]
+
+    def ratio(p: int) -> float:
+        return under[p] / blocks_under[p] * (1 + marks_under[p] / blocks_under[p])
+
+    def furniture(p: int) -> bool:
+        """Whether a named box is believed to be furniture."""
+        if holds[0] and not scope[p]:
+            return not holds[p]
+        if kind[p] == 2:
+            return under[p] < _MAJORITY * under[scope[p]]
+        return not blocks_under[p] or links_under[p] >= under[p] or ratio(p) < _LOW * ratio(scope[p])
+
     holds = articles[:]
     for p in range(n - 1, 0, -1):
         holds[parent[p]] |= holds[p]
     out = hard[:]
     for p in range(1, n):
-        believed = not holds[p] if holds[0] else under[p] < _MAJORITY * under[0]
-        out[p] = out[p] or out[parent[p]] or (kind[p] == 1 and believed)
+        out[p] = out[p] or out[parent[p]] or (kind[p] in (1, 2) and furniture(p))
     blocks = [b for b in page.blocks if not out[b[0]]]
     if not blocks:
         return ""

@@ -74,6 +74,23 @@ def test_main_text(page, want):
     assert html_extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div><article><div class='overflow-hidden'>{PARAGRAPHS}</div></article></div>", TEXT),
+    (f"<article>{PARAGRAPHS}<section id='discussion'><h2>Discussion</h2>{PARAGRAPHS}</section></article>", f"{TEXT}\n\nDiscussion\n\n{TEXT}"),
+    (f"<article>{PARAGRAPHS}{PARAGRAPHS}<div class='related-work'>{PARAGRAPHS}</div></article>", "\n\n".join([TEXT] * 3)),
+    (f"<article><h2 id='how-to-search'>How to</h2>{PARAGRAPHS}</article>", "How to\n\n" + TEXT),
+    (f"<article><header class='entry-header'><h1>T</h1></header>{PARAGRAPHS}</article>", "T\n\n" + TEXT),
+    (f"<article><p>A <span class='search-term'>word</span> and <span class='overflow-hidden'>more</span>.</p>{PARAGRAPHS}</article>",
+     "A word and more.\n\n" + TEXT),
+    (f"<article><div class='ad'>{PARAGRAPHS}</div></article>", TEXT),
+    (f"<div class='content'>{PARAGRAPHS}{PARAGRAPHS}<section id='discussion'>{PARAGRAPHS}</section></div>", "\n\n".join([TEXT] * 3)),
+    (f"<article>{PARAGRAPHS}<div class='ad'>Buy this, please.</div><div class='related-posts'><a href=x>One, more.</a></div></article>", TEXT),
+    (f"<article>{PARAGRAPHS}<p style='display:none'>No.</p><span class='share'>Share</span></article>", TEXT),
+])
+def test_names_of_furniture(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", f"<article>{PARAGRAPHS}</article>", "x"), (None, None, None, None), (1, "u", "<a <", "t")],
                                   "page_id long, url string, html string, text string")
