@@ -24,7 +24,9 @@ blocks are joined by two line breaks in page order.
 
 Defined cases: null or empty html, or a page without text, gives an empty text;
 null and repeated ids and urls are passed on; unclosed and misnested tags and
-unclosed comments or scripts are read as far as the page goes; an empty table
+unclosed comments or scripts are read as far as the page goes, a tag whose
+quoted value never closes as far as the next ``>`` after its quote (quoted
+values may be of any length); an empty table
 gives an empty result; other columns are not read.
 """
 
@@ -41,9 +43,11 @@ from landfall.llm.common import slices, table
 
 BATCH_BYTES = 4 << 20
 
+# A quoted value begins after "=" only, and ends at the next such quote, however far.
+_TAG = r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+|(?=>)))*+)"""
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/](?![a-zA-Z])[^>]*+>?|<!(?=[a-zA-Z])[^>]*+>?
-    |<(/?)([a-zA-Z][^\s/>]*+)((?>(?:[^>"']|"[^"]{0,4096}+"|'[^']{0,4096}+')*)|[^>]*+)>""", re.S | re.X)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?")
+    |""" + _TAG + "()>", re.S | re.X)
+_LOOSE = re.compile(_TAG + "([^>]*+)>?")  # without a closing quote in the rest of the page, or without an end
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _RAW = {n: re.compile(rf"</{n}(?=[\s/>]|\Z)", re.I) for n in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed")}
@@ -162,7 +166,7 @@ class Page:
             at = m.end()
             if m.group(2) is None:
                 continue
-            close, name, attributes = m.group(1), m.group(2).lower(), m.group(3)
+            close, name, attributes = m.group(1), m.group(2).lower(), m.group(3) + m.group(4)
             if name == "a":
                 self._links = 0 if close else 1
                 continue

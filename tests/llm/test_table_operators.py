@@ -91,6 +91,18 @@ def test_names_of_furniture(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_long_attributes():
+    for quote, length in (('"', 5_000), ("'", 2_000_000)):
+        value = "<p>Not text, not this.</p>" * (length // 26)
+        page = f"<article><div data-props={quote}{value}{quote} class = 'x'>{PARAGRAPHS}</div></article>"
+        assert html_extract.main_text(page) == TEXT
+        assert html_extract.main_text(page.replace(f"props={quote}", f"props =\n{quote}")) == TEXT
+    assert html_extract.main_text(f'<article><p title="never closed>{BODY[0]}</p><p>{BODY[1]}</p></article>') == "\n\n".join(BODY[:2])
+    assert html_extract.main_text(f"<article><p title=''\">{BODY[0]}</p><p title='don\"t'>{BODY[1]}</p></article>") == "\n\n".join(BODY[:2])
+    for unit in ('<a b="', '<a b=">" c', """<a b=">" ' """, "<p x=\"'>t", "<a b=\"x'>\" c='"):
+        html_extract.main_text("<p>one</p>" + unit * 50_000)  # ends in reasonable time
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", f"<article>{PARAGRAPHS}</article>", "x"), (None, None, None, None), (1, "u", "<a <", "t")],
                                   "page_id long, url string, html string, text string")
