@@ -22,7 +22,7 @@ source and bin) reach the driver; the table of them is joined back, broadcast
 up to a checked number of sources.
 
 Defined cases: a null text has no words; null is a source of its own, the last;
-rows that share an id and source round alike; sources without words take
+rows that share an id, source and text are numbered, and round each by itself; sources without words take
 nothing; an empty table gives an empty result; other columns are not read.
 """
 
@@ -150,8 +150,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken (copies times size), row_hash."""
     spark = docs.sparkSession
-    sized = materialise(docs.select(id_key(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                                    F.xxhash64(text_col).alias("row_hash"), _n_words(F.col(text_col)).alias("size")), "sizes")
+    keys = ("id", "source", "row_hash", "size")
+    sized = docs.select(id_key(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+                                    F.xxhash64(text_col).alias("row_hash"), _n_words(F.col(text_col)).alias("size"))
+    # Equal rows are counted first, so that one key's rows are not gathered; nth tells them apart.
+    nth = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("nth")
+    sized = materialise(sized.groupBy(*keys).agg(F.count("*").alias("rows")).select(*keys, nth), "sizes")
     counts = materialise(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "size-counts")
     per_source = (counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n"))
                   .collect())
@@ -175,11 +179,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     exponent = (F.when(F.col("lam") == _ALL, F.lit(limit)).when(F.col("lam") == -_ALL, F.lit(-1e3))
                 .otherwise(F.least(F.col("lam") * F.col("size") * F.col("unit"), F.lit(limit))))
     rate = F.when(exponent >= limit, F.lit(float(most))).otherwise(F.exp(exponent))
-    uniform = F.pmod(F.xxhash64("id", "source", "row_hash", F.lit("mix")), F.lit(1 << 52)) / float(1 << 52)
+    draw = F.xxhash64("id", "source", "row_hash", F.lit("mix"))
+    draw = F.when(F.col("nth") == 1, draw).otherwise(F.xxhash64("id", "source", "row_hash", F.lit("mix"), "nth"))
+    uniform = F.pmod(draw, F.lit(1 << 52)) / float(1 << 52)
     rows = rows.withColumn("rate", rate).withColumn("sum", F.col("rate") + uniform)
     rows = rows.withColumn("copies", F.least(F.floor("sum"), F.lit(most)).cast("long"))
     rows = materialise(rows.withColumn("frac", F.col("sum") - F.floor("sum"))
-                       .select("id", "source", "row_hash", "size", "k", "source_size", "target", "rate", "copies", "frac"), "rates")
+                       .select("id", "source", "row_hash", "nth", "size", "k", "source_size", "target", "rate", "copies", "frac"), "rates")
 
     # First: the threshold. Documents nearest to their next whole copy gain it, or those that just reached theirs lose it.
     def short(of: DataFrame) -> dict:
@@ -208,18 +214,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         signed = _joined(rows, {k: (1 if v > 0 else -1,) for k, v in open_.items()}, "way int")
         able = (F.col("size") > 0) & F.when(F.col("way") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
         few = signed.where(able).withColumn("class", F.floor(F.log2(F.col("size").cast("double"))).cast("int"))
-        order = Window.partitionBy("k", "class").orderBy("frac", "id", "row_hash")
-        few = few.withColumn("nth", F.row_number().over(order)).where("nth <= 4")
+        order = Window.partitionBy("k", "class").orderBy("frac", "id", "row_hash", "nth")
+        few = few.withColumn("place", F.row_number().over(order)).where("place <= 4")
         picked = []
-        best = few.select("k", "class", "size", "id", "row_hash").orderBy("k", F.desc("class"), F.desc("size"), "id", "row_hash").collect()
+        best = few.select("k", "class", "size", "id", "row_hash", "nth").orderBy("k", F.desc("class"), F.desc("size"), "id", "row_hash", "nth").collect()
         for r in best:
             if r["size"] <= abs(open_[r["k"]]):
                 way = 1 if open_[r["k"]] > 0 else -1
                 open_[r["k"]] -= way * r["size"]
-                picked.append((r["k"], r["id"], r["row_hash"], way))
+                picked.append((r["k"], r["id"], r["row_hash"], r["nth"], way))
         if picked:  # at most four per source and size class
             picked = sorted(set(picked))
-            rows = rows.join(small_table(spark, picked, "k int, id long, row_hash long, more int"), ["k", "id", "row_hash"], "left").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
+            rows = rows.join(small_table(spark, picked, "k int, id long, row_hash long, nth long, more int"), ["k", "id", "row_hash", "nth"], "left").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
     return rows.select(from_id_key("id").alias("doc_id"), "source", "size", "source_size", "target", "rate",
                        "copies", (F.col("copies") * F.col("size")).alias("taken"), "row_hash")
 
@@ -227,13 +233,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix, each as many times as it has copies, with all their columns."""
     mixed = mix(docs, id_col, text_col, source_col)
+    # Per key its rows, and how many of them have at least 1, 2, ... copies.
+    least = [f"__{c}" for c in range(1, MOST + 1)]
     take = (mixed.groupBy(id_key("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("row_hash").alias("__hash"))
-            .agg(F.max("copies").alias("__copies")).where("__copies > 0"))
+            .agg(F.count("*").alias("__rows"), *(F.count_if(F.col("copies") >= c).alias(n) for c, n in enumerate(least, 1))))
+    take = materialise(take.where("__1 > 0"), "copies")
+    alike = F.lit(True)
+    for n in least:
+        alike = alike & F.col(n).isin(0, F.col("__rows"))
     keyed = docs.withColumns({"__id": id_key(id_col), "__hash": F.xxhash64(text_col)})
-    same = ((keyed["__id"] == take["__id"]) & (keyed["__hash"] == take["__hash"])
-            & keyed[source_col].cast("string").eqNullSafe(take["__source"]))
-    return (keyed.join(take, same).withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
-            .select(*(keyed[c] for c in docs.columns)))
+
+    def taken(keys: DataFrame, place: "F.Column | None") -> DataFrame:
+        same = ((keyed["__id"] == keys["__id"]) & (keyed["__hash"] == keys["__hash"])
+                & keyed[source_col].cast("string").eqNullSafe(keys["__source"]))
+        rows = keyed.join(keys, same).drop(keys["__id"], keys["__hash"])
+        rows = rows.withColumn("__place", F.lit(1) if place is None else place)
+        copies = sum((F.when(F.col("__place") <= F.col(n), 1).otherwise(0) for n in least), F.lit(0))
+        return (rows.withColumn("__copies", copies).where("__copies > 0")
+                .withColumn("__n", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns))
+
+    out = taken(take.where(alike), None)
+    if take.where(~alike).isEmpty():
+        return out
+    # Only keys whose rows differ in copies need numbers: by a hash of all columns.
+    everything = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))))
+    order = Window.partitionBy("__id", "__source", "__hash").orderBy(everything)
+    return out.unionByName(taken(take.where(~alike), F.row_number().over(order)))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

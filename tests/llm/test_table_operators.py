@@ -240,6 +240,21 @@ def test_mix_edges(documents):
     assert mixing.mix(documents([(1, None), (2, "")])).agg(F.sum("taken")).first()[0] == 0
 
 
+def test_mix_of_repeated_rows(documents):
+    rows = [(i, f"text number {i}", "a") for i in range(60)]
+    rows += [(None, "one text of ten words that has no id here", "b")] * 300 + [(7, "two words", "c")] * 200
+    docs = documents(rows)
+    mixed = mixing.mix(docs).collect()
+    taken, target = {}, {r["source"]: r["target"] for r in mixed}
+    for r in mixed:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    assert len(mixed) == len(rows) and all(abs(taken[s] - target[s]) <= 10 for s in target)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert dict(map(tuple, out.groupBy("source").count().collect())) == {
+        s: sum(r["copies"] for r in mixed if r["source"] == s) for s in target}
+
+
 def check_shards(rows):
     place = {}
     for r in rows:
