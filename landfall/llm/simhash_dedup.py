@@ -5,10 +5,9 @@ most ``max_bits`` bits differ in at most so many bytes, so they share at least
 ``8 - max_bits`` positional bytes: the guaranteed minimum. Postings of single
 bytes hold 1/256 of the corpus each, and tallying their pairs would be
 quadratic; the index is therefore kept by every set of ``8 - max_bits``
-positions with the bytes there (56 sets of five for three bits). A pair is
-tallied where it meets: its shared positional bytes are counted, pairs below
-the minimum go, each pair is taken up only in the posting of its first five
-shared positions, and it is verified by the bit distance.
+positions with the bytes there (56 sets of five for three bits), in place of a
+tally: every pair that meets shares the minimum. It is verified by the bit
+distance, and taken up only in the posting of its first five shared positions.
 
 Equal fingerprints are one entry, so a posting holds different fingerprints
 only. Inside a posting no more than a spanning forest of its links leaves the
