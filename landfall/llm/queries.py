@@ -5,6 +5,7 @@ from __future__ import annotations
 from landfall.llm.ann import op7_nearest_neighbours
 from landfall.llm.byte_bpe import op8_byte_bpe
 from landfall.llm.common import ship_package
+from landfall.llm.conversation_repair import op12_conversation_repair
 from landfall.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from landfall.llm.filter_audit import OP13_SQL, op13_filter_audit
 from landfall.llm.html_extract import op6_html_extraction
@@ -26,6 +27,7 @@ def _shipped(fn):
 
 LLM_QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_substring_dedup, op2_exact_dedup, op3_token_counts, op4_quality_classifier, op5_simhash_near_dedup,
-    op6_html_extraction, op7_nearest_neighbours, op8_byte_bpe, op9_mixing, op10_sharding, op13_filter_audit)}
+    op6_html_extraction, op7_nearest_neighbours, op8_byte_bpe, op9_mixing, op10_sharding, op12_conversation_repair,
+    op13_filter_audit)}
 
 LLM_SQL = {"op1_substring_dedup": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op13_filter_audit": OP13_SQL}
