@@ -8,15 +8,17 @@ the encoded text.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.session import scratch_path
+from landfall.session import scratch_path, shared_dir
 
 # Separator class of the contracts, for regexp functions.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -40,6 +42,35 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a working table that ``materialise`` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    shared = shared_dir(spark)
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        inside = spark._jvm.org.apache.hadoop.fs.Path(shared).toUri().getPath()
+        if not path.toUri().getPath().startswith(inside + "/"):
+            raise ValueError(f"{folder} is not a working table")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to differ from every one of ``columns``."""
+    taken = {c.lower() for c in columns}  # Spark tells names apart by letters, not by case
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every_column(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def id_key(col: "str | Column" = "doc_id") -> Column:
     """The id as a non-null long; null ids come last."""
     return F.coalesce(F.col(col).cast("long") if isinstance(col, str) else col, F.lit(NULL_ID))
@@ -65,6 +96,48 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             at = to
 
 
+BUCKET_BYTES = 16 << 20     # text in one bucket of a chunk table
+_CHUNK = "chunk long, measure long, ids array<long>, texts array<binary>"
+
+
+def _pack_chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int,
+                 measure: Callable[[list[bytes]], int]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("chunk", pa.int64()), ("measure", pa.int64()), ("ids", pa.list_(pa.int64())),
+                        ("texts", pa.list_(pa.binary()))])
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in slices(batches, "text", chunk_bytes):
+        ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy()
+        texts = byte_texts(batch.column("text"))
+        order = np.argsort(ids, kind="stable")
+        texts = [texts[i] for i in order]
+        yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([measure(texts)]), pa.array([ids[order].tolist()]),
+                                          pa.array([texts], pa.list_(pa.binary()))], schema=schema)
+        chunk += 1
+
+
+def bucket_count(size: int, bucket_bytes: int, most: int) -> int:
+    """Buckets for ``size`` bytes: at least 8, and never more than Spark allows (they grow instead)."""
+    return min(most, max(8, -(-size // bucket_bytes)))
+
+
+def chunk_table(docs: DataFrame, chunk_bytes: int, measure: Callable[[list[bytes]], int] = len,
+                bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
+    """Texts (doc_id, text) packed into rows of up to ``chunk_bytes``, in the order of their ids; and their bytes.
+
+    Written once to the shared folder, in a table bucketed by chunk: answers are
+    joined to it without moving a text. ``measure`` is a number kept for a chunk.
+    """
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = bucket_count(size, bucket_bytes, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    name = f"llm_chunks_{uuid.uuid4().hex}"
+    packed = docs.mapInArrow(lambda it: _pack_chunks(it, chunk_bytes, measure), _CHUNK)
+    packed.write.option("path", scratch_path(spark, "chunks")).bucketBy(buckets, "chunk").saveAsTable(name)
+    chunks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the catalog entry; the files stay
+    return chunks, size
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return column.cast(pa.binary()).fill_null(b"").to_pylist()

@@ -14,6 +14,7 @@ from landfall.llm.quality_fm import op4_quality_classifier
 from landfall.llm.sharding import op10_sharding
 from landfall.llm.simhash_dedup import op5_simhash_near_dedup
 from landfall.llm.substring_dedup import OP1_SQL, op1_substring_dedup
+from landfall.llm.suffix_dedup import op11_suffix_dedup
 from landfall.llm.token_counts import op3_token_counts
 
 
@@ -27,7 +28,7 @@ def _shipped(fn):
 
 LLM_QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_substring_dedup, op2_exact_dedup, op3_token_counts, op4_quality_classifier, op5_simhash_near_dedup,
-    op6_html_extraction, op7_nearest_neighbours, op8_byte_bpe, op9_mixing, op10_sharding, op12_conversation_repair,
+    op6_html_extraction, op7_nearest_neighbours, op8_byte_bpe, op9_mixing, op10_sharding, op11_suffix_dedup, op12_conversation_repair,
     op13_filter_audit)}
 
 LLM_SQL = {"op1_substring_dedup": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op13_filter_audit": OP13_SQL}
