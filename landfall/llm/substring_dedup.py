@@ -27,51 +27,33 @@ gives an empty result; only the two named columns are read.
 A chunk sends one piece of its sketch to every slice it touches, so pieces get
 small as slices get many. The defaults (a task of under 1 GB) keep a few dozen
 windows a piece up to about 1 TB of text; for 100 TB give ``chunk_bytes`` of
-16 MB and ``slice_windows`` of 64 million. The rows are the same.
+16 MB and ``slice_windows`` of 64 million. The rows are the same. Buckets of the
+chunk table grow where ``bucket_bytes`` would ask for more of them than Spark
+allows (``spark.sql.sources.bucketing.maxBuckets``).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.llm.common import NULL_ID, Words, byte_texts, materialise, pack, slices, table, unpack
-from landfall.session import scratch_path
+from landfall.llm.common import BUCKET_BYTES, NULL_ID, Words, chunk_table, materialise, pack, table, unpack
 
 WINDOW = 20
 CHUNK_BYTES = 4 << 20       # text in one chunk
 SLICE_WINDOWS = 4 << 20     # windows merged by one task
 CELLS_PER_WINDOW = 16       # of one sketch row
 CELL_BITS = (SLICE_WINDOWS * CELLS_PER_WINDOW - 1).bit_length()
-BUCKET_BYTES = 16 << 20     # text in one bucket of the chunk table
 
-_CHUNK = "chunk long, n_windows long, ids array<long>, texts array<binary>"
 _PIECE = "part int, chunk long, cells binary, many binary"
 _ANSWER = "chunk long, part int, bits binary"
 _ENTRY = "part int, chunk long, keys binary, ids binary, many binary"
 _KEPT = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<from:long,to:long>>"
 
 
-def _pack_chunks(batches: Iterator[pa.RecordBatch], window: int, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("chunk", pa.int64()), ("n_windows", pa.int64()), ("ids", pa.list_(pa.int64())),
-                        ("texts", pa.list_(pa.binary()))])
-    chunk = TaskContext.get().partitionId() << 32
-    for batch in slices(batches, "text", chunk_bytes):
-        ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy()
-        texts = byte_texts(batch.column("text"))
-        order = np.argsort(ids, kind="stable")
-        texts = [texts[i] for i in order]
-        n = sum(max(0, len(t.split()) - window + 1) for t in texts)
-        yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([n]), pa.array([ids[order].tolist()]),
-                                          pa.array([texts], pa.list_(pa.binary()))], schema=schema)
-        chunk += 1
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -250,17 +232,8 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int, n_slices: int,
             names=["doc_id", "n_words", "n_removed", "kept", "removed"])
 
 
-def _chunk_table(docs: DataFrame, window: int, chunk_bytes: int) -> DataFrame:
-    """The texts packed into chunk rows, written once to the shared folder, bucketed by chunk."""
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    name = f"llm_chunks_{uuid.uuid4().hex}"
-    packed = docs.mapInArrow(lambda it: _pack_chunks(it, window, chunk_bytes), _CHUNK)
-    (packed.write.option("path", scratch_path(spark, "chunks"))
-     .bucketBy(max(8, -(-size // BUCKET_BYTES)), "chunk").saveAsTable(name))
-    chunks = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # only the catalog entry; the files stay
-    return chunks
+def _n_windows(texts: list[bytes], window: int) -> int:
+    return sum(max(0, len(t.split()) - window + 1) for t in texts)
 
 
 def _by_chunk(answers: DataFrame, name: str) -> DataFrame:
@@ -268,11 +241,12 @@ def _by_chunk(answers: DataFrame, name: str) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    chunk_bytes: int = CHUNK_BYTES, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
+                    chunk_bytes: int = CHUNK_BYTES, slice_windows: int = SLICE_WINDOWS,
+                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one space), removed (spans of word numbers)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chunks = _chunk_table(docs, window, chunk_bytes)
-    windows = chunks.agg(F.sum("n_windows")).first()[0] or 0
+    chunks, _ = chunk_table(docs, chunk_bytes, lambda texts: _n_windows(texts, window), bucket_bytes)
+    windows = chunks.agg(F.sum("measure")).first()[0] or 0
     n = max(1, -(-windows // slice_windows))
     bits = min(32, (slice_windows * CELLS_PER_WINDOW - 1).bit_length())
     pieces = chunks.select("chunk", "texts").mapInArrow(lambda it: _sketch(it, window, n, bits), _PIECE)
