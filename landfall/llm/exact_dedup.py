@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.llm.common import SPACES, from_id_key, id_key, materialise, table
+from landfall.llm.common import SPACES, every_column, fresh, from_id_key, id_key, materialise, table
 
 
 def normalised(text: "str | Column") -> Column:
@@ -62,12 +62,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names."""
+    own, sha = fresh(docs.columns, "own", "sha")
     kept = exact_groups(docs, id_col, text_col).where("kept")
-    kept = kept.select(id_key("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    keyed = docs.withColumns({"__id": id_key(id_col), "__sha": F.sha2(normalised(text_col), 256)})
+    kept = kept.select(id_key("doc_id").alias(own), F.col("text_sha256").alias(sha))
+    keyed = docs.withColumns({own: id_key(id_col), sha: F.sha2(normalised(text_col), 256)})
     # Rows that repeat id and text meet here; the join has already dealt them out by these two columns.
-    return keyed.join(kept, ["__id", "__sha"]).dropDuplicates(["__id", "__sha"]).select(*docs.columns)
+    return keyed.join(kept, [own, sha]).dropDuplicates([own, sha]).select(*every_column(docs))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

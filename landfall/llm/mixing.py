@@ -32,7 +32,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from landfall.llm.common import WORD, from_id_key, id_key, materialise, small_table, table
+from landfall.llm.common import WORD, every_column, fresh, from_id_key, id_key, materialise, small_table, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3             # copies of one document, and target over source size
@@ -231,33 +231,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The documents of the mix, each as many times as it has copies, with all their columns."""
+    """The documents of the mix, each as many times as it has copies, with all their columns, whatever their names."""
     mixed = mix(docs, id_col, text_col, source_col)
+    own, text_hash, source, rows_of, place, copies, nth, *least = fresh(
+        docs.columns, "own", "text_hash", "own_source", "rows_of", "place", "copies", "nth",
+        *(f"least_{c}" for c in range(1, MOST + 1)))
     # Per key its rows, and how many of them have at least 1, 2, ... copies.
-    least = [f"__{c}" for c in range(1, MOST + 1)]
-    take = (mixed.groupBy(id_key("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("row_hash").alias("__hash"))
-            .agg(F.count("*").alias("__rows"), *(F.count_if(F.col("copies") >= c).alias(n) for c, n in enumerate(least, 1))))
-    take = materialise(take.where("__1 > 0"), "copies")
+    take = (mixed.groupBy(id_key("doc_id").alias(own), F.col("source").alias(source), F.col("row_hash").alias(text_hash))
+            .agg(F.count("*").alias(rows_of), *(F.count_if(F.col("copies") >= c).alias(n) for c, n in enumerate(least, 1))))
+    take = materialise(take.where(F.col(least[0]) > 0), "copies")
     alike = F.lit(True)
     for n in least:
-        alike = alike & F.col(n).isin(0, F.col("__rows"))
-    keyed = docs.withColumns({"__id": id_key(id_col), "__hash": F.xxhash64(text_col)})
-
-    def taken(keys: DataFrame, place: "F.Column | None") -> DataFrame:
-        same = ((keyed["__id"] == keys["__id"]) & (keyed["__hash"] == keys["__hash"])
-                & keyed[source_col].cast("string").eqNullSafe(keys["__source"]))
-        rows = keyed.join(keys, same).drop(keys["__id"], keys["__hash"])
-        rows = rows.withColumn("__place", F.lit(1) if place is None else place)
-        copies = sum((F.when(F.col("__place") <= F.col(n), 1).otherwise(0) for n in least), F.lit(0))
-        return (rows.withColumn("__copies", copies).where("__copies > 0")
-                .withColumn("__n", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns))
+        alike = alike & F.col(n).isin(0, F.col(rows_of))
+    keyed = docs.withColumns({own: id_key(id_col), text_hash: F.xxhash64(text_col)})
+
+    def taken(keys: DataFrame, number: "F.Column | None") -> DataFrame:
+        same = ((keyed[own] == keys[own]) & (keyed[text_hash] == keys[text_hash])
+                & keyed[source_col].cast("string").eqNullSafe(keys[source]))
+        rows = keyed.join(keys, same).drop(keys[own], keys[text_hash])
+        rows = rows.withColumn(place, F.lit(1) if number is None else number)
+        times = sum((F.when(F.col(place) <= F.col(n), 1).otherwise(0) for n in least), F.lit(0))
+        return (rows.withColumn(copies, times).where(F.col(copies) > 0)
+                .withColumn(nth, F.explode(F.sequence(F.lit(1), copies))).select(*every_column(docs)))
 
     out = taken(take.where(alike), None)
     if take.where(~alike).isEmpty():
         return out
     # Only keys whose rows differ in copies need numbers: by a hash of all columns.
-    everything = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))))
-    order = Window.partitionBy("__id", "__source", "__hash").orderBy(everything)
+    everything = F.xxhash64(F.to_json(F.struct(*every_column(docs))))
+    order = Window.partitionBy(own, source, text_hash).orderBy(everything)
     return out.unionByName(taken(take.where(~alike), F.row_number().over(order)))
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landfall.llm.common import Words, byte_texts, from_id_key, id_key, materialise, slices, table
+from landfall.llm.common import Words, byte_texts, every_column, fresh, from_id_key, id_key, materialise, slices, table
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -224,12 +224,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                max_bits: int = MAX_BITS) -> DataFrame:
-    """The first document of every component, with all its columns."""
+    """The first document of every component, with all its columns, whatever their names."""
+    own, th = fresh(docs.columns, "own", "th")
     found = simhash_components(docs, id_col, text_col, shingle, max_bits)
     kept = (found.where((F.col("lead.id") == F.col("id")) & (F.col("lead.th") == F.col("th")))
-            .select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct())
-    keyed = docs.withColumns({"__id": id_key(id_col), "__th": F.xxhash64(text_col)})
-    return keyed.join(kept, ["__id", "__th"]).dropDuplicates(["__id", "__th"]).select(*docs.columns)
+            .select(F.col("id").alias(own), F.col("th").alias(th)).distinct())
+    keyed = docs.withColumns({own: id_key(id_col), th: F.xxhash64(text_col)})
+    return keyed.join(kept, [own, th]).dropDuplicates([own, th]).select(*every_column(docs))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
