@@ -18,9 +18,10 @@ of a document is an anchor too, and its last phrase ends with the document.
    reach past the strings that start in its own phrase. Of each class that got
    there, all members but the first hold only strings that also start earlier.
 3. *What is left* are strings that start in first members and unique anchors.
-   Equal ones among them share the base rank of their first inner anchor, so only
-   where two such anchors share it are the strings themselves grouped, by a
-   128-bit key. The first stays, the others start earlier elsewhere.
+   Equal ones among them have their first inner anchor at the same place and, from
+   it on, the 55 bytes that all strings with this anchor hold. Only where two such
+   anchors share those are the strings themselves grouped, by a 128-bit key. The
+   first stays, the others start earlier elsewhere.
 
 Texts are packed into chunks, one row each, in a table bucketed by chunk. In
 every exchange a chunk sends each slice of the ranks at most one entry per
@@ -37,13 +38,11 @@ told apart (about 1e-13 for 1e13 of them).
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from landfall.llm.common import NULL_ID, chunk_table, discard, materialise, pack, table, unpack
@@ -52,7 +51,8 @@ LENGTH = 100
 CHUNK_BYTES = 2 << 20    # text in one chunk
 SLICE_BYTES = 32 << 20   # text whose ranks one task sorts
 GRAM = 8
-SEGMENT = 1 << 20        # positions looked at together
+SEGMENT = 1 << 16        # positions looked at together
+BLOCK = 1 << 15          # keys made together
 
 _ENTRY = "part int, chunk long, keys binary, ids binary, many binary"
 _RANKS = "chunk long, part int, ranks binary"
@@ -73,116 +73,114 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class _Rolling:
-    """Polynomial hashes of byte ranges, from prefix sums modulo 2**64."""
-
-    def __init__(self, seed: int, base: int):
-        self.of_byte = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed) for b in range(256)], np.uint64)
-        self.base, self.powers = base, {}
-
-    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n not in self.powers:
-            self.powers.clear()
-            factors = np.empty((2, n), np.uint64)
-            factors[0], factors[1] = np.uint64(self.base), np.uint64(pow(self.base, -1, 1 << 64))
-            factors[:, 0] = 1
-            self.powers[n] = tuple(np.cumprod(factors, axis=1, dtype=np.uint64))
-        return self.powers[n]
-
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        up, down = self._powers(-(-len(data) // 65536) * 65536)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.of_byte[data] * up[:len(data)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * down[starts]
-
-
-_ROLLING = (_Rolling(1, 0x9E3779B97F4A7C15), _Rolling(2, 0xC2B2AE3D27D4EB4F))
-
-
-def range_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, mark: "np.ndarray | None" = None) -> tuple:
-    """Two 64-bit halves of a key of every byte range (``starts`` sorted), its length and its ``mark``."""
-    halves = []
-    tail = (ends - starts).astype(np.uint64) * np.uint64(2) + (0 if mark is None else mark.astype(np.uint64))
-    cuts = np.searchsorted(starts, np.arange(0, len(data) + SEGMENT, SEGMENT))
-    for rolling in _ROLLING:
-        key = np.zeros(len(starts), np.uint64)
-        for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if i < j:
-                at = k * SEGMENT
-                key[i:j] = rolling(data[at:int(ends[i:j].max())], starts[i:j] - at, ends[i:j] - at)
-        halves.append(_mix(key + _mix(tail + np.uint64(rolling.base & 0xFFFF))))
-    return tuple(halves)
+def range_keys(words: np.ndarray, starts: np.ndarray, sizes: "np.ndarray | int", longest: int,
+               mark: "np.ndarray | None" = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit halves of a key of byte ranges of ``GRAM`` to ``longest`` bytes, of their sizes and marks.
+
+    ``words`` has the 8 bytes at every position as one number. Every key takes
+    as many of them; the last ones of a short range are its last 8 bytes again.
+    """
+    halves = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    sizes = np.broadcast_to(sizes, len(starts))
+    for i in range(0, len(starts), BLOCK):
+        own = slice(i, i + BLOCK)
+        at, size = starts[own], sizes[own]
+        seed = size.astype(np.uint64) * np.uint64(2) + (0 if mark is None else mark[own].astype(np.uint64))
+        k0, k1 = _mix(seed + np.uint64(1)), _mix(seed + np.uint64(1 << 32))
+        for step in range(0, longest, GRAM):
+            word = words[at + np.minimum(step, size - GRAM)]
+            k0 = (k0 ^ (k0 >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word
+            k1 = (k1 ^ (k1 >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + word
+        halves[0][own], halves[1][own] = _mix(k0), _mix(k1)
+    return halves
 
 
 # ------------------------------------------------------------------ chunks and anchors
 
 class Chunk:
-    """The texts of a chunk, joined; ``bounds[d]:bounds[d + 1]`` is text d."""
+    """The texts of a chunk, joined; ``bounds[d]:bounds[d + 1]`` is text d, ``words[p]`` the 8 bytes from p on."""
 
     def __init__(self, ids: list, texts: list, length: int):
         self.ids = np.array(ids, np.int64)
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.data = np.frombuffer(b"".join([*texts, bytes(GRAM)]), np.uint8)
+        self.size = len(self.data) - GRAM
+        self.words = np.ndarray((self.size + 1,), "<u8", self.data, strides=(1,))
         self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         self.length, self.w = length, window_of(length)
 
-    def ends(self, at: np.ndarray) -> np.ndarray:
-        """The end of the text that holds each position."""
-        return self.bounds[np.searchsorted(self.bounds, at, "right")]
-
-    def first_anchors(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of [begin, end) with ``w`` anchor candidates in their text, and the anchor of each."""
-        x = self.data[begin:min(end + self.w + GRAM - 2, len(self.data))].astype(np.uint64)
-        for shift in (1, 2, 4):  # the next 8 bytes of every position as one number
-            x = (x[:-shift] << np.uint64(8 * shift)) | x[shift:]
-        if len(x) < self.w:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        low = np.uint64(0xFFFFFFFF)
-        least = (_mix(x) & ~low) | np.arange(len(x), dtype=np.uint64)  # ties: the leftmost
-        width = 1
-        while width < self.w:
-            step = min(width, self.w - width)
-            least = np.minimum(least[:-step], least[step:])
-            width += step
-        at = np.arange(begin, begin + len(least))
-        room = at + (self.w + GRAM - 1) <= self.ends(at)
-        return at[room], (least[room] & low).astype(np.int64) + begin
-
-    def segments(self) -> Iterator[tuple[int, int]]:
-        for begin in range(0, len(self.data), SEGMENT):
-            yield begin, min(begin + SEGMENT, len(self.data))
-
-    def anchors(self) -> np.ndarray:
-        found = [np.zeros(0, np.int64)]
-        for begin, end in self.segments():
-            _, anchor = self.first_anchors(begin, end)
-            found.append(anchor[np.diff(anchor, prepend=-1) != 0])
-        inner = np.concatenate(found)
-        inner = inner[np.diff(inner, prepend=-1) != 0]
-        starts = self.bounds[np.unique(np.searchsorted(self.bounds, inner, "right") - 1)]
-        return np.unique(np.concatenate([inner, starts]))
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors, and for each the first position that has it (positions of one anchor are neighbours)."""
+        need, low = self.w + GRAM - 1, np.uint64(0xFFFFFFFF)  # bytes from which a position's anchor is chosen
+        found, since = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        previous = -1
+        for begin in range(0, self.size, SEGMENT):
+            x = self.words[begin:min(begin + SEGMENT + self.w - 1, self.size)].copy()
+            if len(x) < self.w:
+                break
+            least = (_mix(x) & ~low) | np.arange(len(x), dtype=np.uint64)  # ties: the leftmost
+            width = 1
+            while width < self.w:
+                step = min(width, self.w - width)
+                least = np.minimum(least[:-step], least[step:])
+                width += step
+            # Positions with fewer bytes than that left in their text have none.
+            d = np.arange(max(0, np.searchsorted(self.bounds, begin, "right") - 1), np.searchsorted(self.bounds, begin + len(least)))
+            short = np.zeros(len(least) + 1, np.int32)
+            np.add.at(short, np.clip(np.maximum(self.bounds[d], self.bounds[d + 1] - need + 1) - begin, 0, len(least)), 1)
+            np.add.at(short, np.clip(self.bounds[d + 1] - begin, 0, len(least)), -1)
+            at = np.flatnonzero(np.cumsum(short[:-1]) == 0)
+            anchor = (least[at] & low).astype(np.int64) + begin
+            new = np.flatnonzero(np.diff(anchor, prepend=previous))
+            if len(at):
+                previous = anchor[-1]
+            found.append(anchor[new])
+            since.append(at[new] + begin)
+        return np.concatenate(found), np.concatenate(since)
 
 
 class State:
-    """Anchors of a chunk with their ranks: ``rank`` 0 is unique; ``copied``: an earlier member of the class exists."""
+    """Anchors of a chunk with their ranks.
+
+    ``lo``: the first position that has the anchor as its first inner one.
+    ``rank`` 0 is unique; ``copied``: an earlier member of the class exists.
+    """
 
-    def __init__(self, ids, at, text, last_end, base, rank, copied, h=1):
-        self.ids, self.at, self.text, self.last_end = ids, at, text, last_end
+    def __init__(self, ids, at, lo, text, last_end, base, rank, copied, h=1):
+        self.ids, self.at, self.lo, self.text, self.last_end = ids, at, lo, text, last_end
         self.base, self.rank, self.copied, self.h = base, rank, copied, h
 
     @classmethod
     def of(cls, chunk: Chunk) -> "State":
-        at = chunk.anchors()
+        inner, lo = chunk.anchors()
+        # The start of a text with anchors is one too, of no position's strings.
+        starts = np.setdiff1d(chunk.bounds[np.unique(np.searchsorted(chunk.bounds, inner, "right") - 1)], inner)
+        at, lo = np.concatenate([starts, inner]), np.concatenate([starts, lo])
+        order = np.argsort(at)
+        at, lo = at[order], lo[order]
         text = np.searchsorted(chunk.bounds, at, "right") - 1
         none = np.zeros(len(at), np.uint64)
-        return cls(chunk.ids, at, text, chunk.bounds[text + 1], none, none.copy(), np.zeros(len(at), bool))
+        return cls(chunk.ids, at, lo, text, chunk.bounds[text + 1], none, none.copy(), np.zeros(len(at), bool))
 
-    def is_last(self) -> np.ndarray:
-        return np.append(self.text[1:] != self.text[:-1], [True][:len(self.text)])
+    def _until(self, place: np.ndarray, at_end: np.ndarray) -> np.ndarray:
+        """``place`` of the next anchor; ``at_end`` for the last one of a text."""
+        last = np.append(self.text[1:] != self.text[:-1], [True][:len(self.text)])
+        return np.where(last, at_end, np.append(place[1:], 0)[:len(place)])
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ends of the phrases, and which of them end with their text."""
-        last = self.is_last()
-        return np.where(last, self.last_end, np.append(self.at[1:], 0)[:len(self.at)] + GRAM), last
+        """Sizes of the phrases, and which of them end with their text."""
+        following = self._until(self.at, np.full(len(self.at), -1))
+        last = following < 0
+        return np.where(last, self.last_end, following + GRAM) - self.at, last
+
+    def strings(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the whole strings in each anchor's own phrase, as ranges."""
+        end = np.minimum(self._until(self.at, self.last_end), self.last_end - length + 1)
+        return self.at, np.maximum(end, self.at)
+
+    def inner(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the whole strings whose first inner anchor this is, as ranges."""
+        end = np.minimum(self._until(self.lo, self.last_end), self.last_end - length + 1)
+        return self.lo, np.maximum(end, self.lo)
 
     def active(self, length: int) -> np.ndarray:
         """Indexes of anchors that are not unique and whose ``h`` phrases do not yet reach far enough."""
@@ -194,27 +192,46 @@ class State:
         return j[inside & (self.at[beyond] + GRAM < following + length - 1)]
 
     def dump(self) -> bytes:
-        return pickle.dumps((pack(self.ids), pack(np.diff(self.at, prepend=0).astype(np.uint32)), pack(np.diff(self.text, prepend=0).astype(np.uint32)),
-                             pack((self.last_end - self.at).astype(np.uint32)), pack(self.base), pack(self.rank),
-                             np.packbits(self.copied).tobytes(), self.h))
+        deltas = [pack(np.diff(x, prepend=0).astype(np.uint32)) for x in (self.at, self.text)]
+        nears = [pack(x.astype(np.uint32)) for x in (self.last_end - self.at, self.at - self.lo)]
+        return pickle.dumps((pack(self.ids), deltas, nears, pack(self.base), pack(self.rank), np.packbits(self.copied).tobytes(), self.h))
 
     @classmethod
     def load(cls, data: bytes) -> "State":
-        ids, at, text, room, base, rank, copied, h = pickle.loads(data)
-        at, text = (np.cumsum(unpack(x, np.uint32).astype(np.int64)) for x in (at, text))
-        return cls(unpack(ids, np.int64), at, text, at + unpack(room, np.uint32), unpack(base, np.uint64), unpack(rank, np.uint64),
+        ids, deltas, nears, base, rank, copied, h = pickle.loads(data)
+        at, text = (np.cumsum(unpack(x, np.uint32).astype(np.int64)) for x in deltas)
+        room, back = (unpack(x, np.uint32).astype(np.int64) for x in nears)
+        return cls(unpack(ids, np.int64), at, at - back, text, at + room, unpack(base, np.uint64), unpack(rank, np.uint64),
                    np.unpackbits(np.frombuffer(copied, np.uint8), count=len(at)).astype(bool), h)
 
 
+def covered(size: int, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of ``size`` positions lie in one of the ranges, which are sorted and do not overlap."""
+    edges = np.stack([begin, end], 1).ravel()
+    return np.repeat(np.arange(len(edges) + 1) % 2 == 1, np.diff(edges, prepend=0, append=size))
+
+
 # ------------------------------------------------------------------ one exchange: keys out, ranks back
 
+def _slice(key: np.ndarray, n_slices: int) -> np.ndarray:
+    return (((key >> np.uint64(40)) * np.uint64(n_slices)) >> np.uint64(24)).astype(np.int32)
+
+
 class Keys:
     """The keys that a chunk sends: sorted by slice and key, equal ones together, in the order of position."""
 
-    def __init__(self, k0: np.ndarray, k1: np.ndarray, n_slices: int):
-        part = (((_mix(k0 * np.uint64(3) + k1) >> np.uint64(40)) * np.uint64(n_slices)) >> np.uint64(24)).astype(np.int32)
-        self.order = np.lexsort((k1, k0, part))  # stable
-        self.k0, self.k1, self.part = k0[self.order], k1[self.order], part[self.order]
+    def __init__(self, k0: np.ndarray, k1: np.ndarray, n_slices: int, hashed: bool = True):
+        if hashed:  # slices are ranges of the first half
+            part = _slice(k0, n_slices)
+            self.order = np.argsort(k0, kind="stable")
+            a, b = k0[self.order], k1[self.order]
+            if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+                self.order = np.lexsort((k1, k0))
+        else:
+            part = _slice(_mix(k0 * np.uint64(3) + k1), n_slices)
+            self.order = np.lexsort((k1, k0, part))
+        self.k0, self.k1, part = k0[self.order], k1[self.order], part[self.order]
+        self.part = part
         new = np.ones(len(part), bool)
         new[1:] = (self.k0[1:] != self.k0[:-1]) | (self.k1[1:] != self.k1[:-1])
         self.first = np.flatnonzero(new)
@@ -259,16 +276,18 @@ def _rank(slice_: pa.Table, n_slices: int, round_: int) -> pa.Table:
     k0, k1 = np.concatenate(k0), np.concatenate([unpack(b, np.uint64) for _, b in split])
     ids = np.concatenate([unpack(x, np.int64) for x in slice_.column("ids").to_pylist()])
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(slice_.column("many").to_pylist(), sizes)])
-    order = np.lexsort((np.repeat(slice_.column("chunk").to_numpy(), sizes), ids, k1, k0))
-    k0, k1 = k0[order], k1[order]
+    value = np.zeros(len(k0), np.uint64)
+    by_key = np.argsort(k0)
+    again = np.zeros(len(k0), bool)
+    again[1:] = k0[by_key][1:] == k0[by_key][:-1]
+    some = by_key[again | np.append(again[1:], [False][:len(again)]) | (many[by_key] == 1)]  # the others occur once
+    order = some[np.lexsort((np.repeat(slice_.column("chunk").to_numpy(), sizes)[some], ids[some], k1[some], k0[some]))]
     new = np.ones(len(order), bool)
-    new[1:] = (k0[1:] != k0[:-1]) | (k1[1:] != k1[:-1])
+    new[1:] = (k0[order][1:] != k0[order][:-1]) | (k1[order][1:] != k1[order][:-1])
     count = np.diff(np.flatnonzero(new), append=len(order))
-    repeated = np.repeat(count, count) > 1
     number = np.cumsum(new, dtype=np.uint64) * np.uint64(n_slices) + np.uint64(slice_.column("part")[0].as_py())
     number = number * np.uint64(64) + np.uint64(round_)  # ranks of different rounds differ
-    value = np.empty(len(order), np.uint64)
-    value[order] = np.where(repeated | (many[order] == 1), number * np.uint64(2) + (~new).astype(np.uint64), np.uint64(0))
+    value[order] = np.where((np.repeat(count, count) > 1) | (many[order] == 1), number * np.uint64(2) + (~new).astype(np.uint64), np.uint64(0))
     cuts = np.cumsum([0, *sizes])
     return pa.table({"chunk": slice_.column("chunk"), "part": slice_.column("part"),
                      "ranks": pa.array([pack(value[i:j]) for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())})
@@ -300,8 +319,8 @@ def _exchange(rows: DataFrame, keys_of, name: str, n_slices: int, round_: int) -
 def _phrase_keys(row: dict, length: int, n: int):
     chunk = Chunk(row["ids"], row["texts"], length)
     state = State.of(chunk)
-    ends, last = state.phrases()
-    return Keys(*range_keys(chunk.data, state.at, ends, last), n), chunk.ids[state.text], state
+    sizes, last = state.phrases()
+    return Keys(*range_keys(chunk.words, state.at, sizes, chunk.w + GRAM, last), n), chunk.ids[state.text], state
 
 
 def _based(batches, length: int, n: int):
@@ -325,7 +344,7 @@ def _pairs(row: dict, length: int, n: int):
     j = state.active(length)
     after = state.rank[j + state.h]
     alone, j, after = j[after == 0], j[after != 0], after[after != 0]
-    return Keys(state.rank[j], after, n), state.ids[state.text[j]], j, alone, state
+    return Keys(state.rank[j], after, n, hashed=False), state.ids[state.text[j]], j, alone, state
 
 
 def _doubled(batches, length: int, n: int):
@@ -338,51 +357,47 @@ def _doubled(batches, length: int, n: int):
         yield _state_row(row["chunk"], state, length)
 
 
-def _strings(chunk: Chunk, state: State) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By segments: starts of strings, whether they start earlier elsewhere (by step 2), index of their first inner anchor."""
-    for begin, end in chunk.segments():
-        at, anchor = chunk.first_anchors(begin, end)
-        whole = at + chunk.length <= chunk.ends(at)
-        at, anchor = at[whole], anchor[whole]
-        yield at, state.copied[np.searchsorted(state.at, at, "right") - 1], np.searchsorted(state.at, anchor)
-
-
 def _inner_keys(row: dict, length: int, n: int):
-    """Base ranks of the anchors of strings not settled by step 2, one key per anchor."""
+    """Of anchors that are the first inner one of strings not settled by step 2: the bytes that all its strings hold."""
     chunk, state = Chunk(row["ids"], row["texts"], length), State.load(row["state"])
-    marked = np.zeros(len(state.at), bool)
-    for _, copied, inner in _strings(chunk, state):
-        marked[inner[~copied]] = True
-    inner = np.flatnonzero(marked & (state.base != 0))
-    return Keys(state.base[inner], np.zeros(len(inner), np.uint64), n), chunk.ids[state.text[inner]], inner, chunk, state
+    begin, end = state.strings(length)
+    left = covered(chunk.size, begin[~state.copied], end[~state.copied])
+    upto = np.concatenate([[0], np.cumsum(left, dtype=np.int32)])
+    lo, hi = state.inner(length)
+    inner = np.flatnonzero((upto[hi] > upto[lo]) & (state.base != 0))
+    common = length - chunk.w + 1
+    return Keys(*range_keys(chunk.words, state.at[inner], common, common), n), state.ids[state.text[inner]], inner, chunk, state, left
 
 
 def _open_strings(row: dict, length: int, n: int):
-    """The strings to be grouped: not settled, and their inner anchor's base rank is shared among such anchors."""
-    keys, _, inner, chunk, state = _inner_keys(row, length, n)
-    shared = np.zeros(len(state.at), bool)
-    shared[inner] = keys.ranks(row["inner"])[0] != 0
-    at = np.concatenate([np.zeros(0, np.int64)] + [a[~copied & shared[i]] for a, copied, i in _strings(chunk, state)])
+    """The strings to be grouped: not settled, and what their first inner anchor's strings all hold occurs elsewhere."""
+    keys, _, inner, chunk, state, left = _inner_keys(row, length, n)
+    inner = inner[keys.ranks(row["inner"])[0] != 0]
+    lo, hi = state.inner(length)
+    at = np.flatnonzero(left & covered(chunk.size, lo[inner], hi[inner]))
     text = np.searchsorted(chunk.bounds, at, "right") - 1
-    return Keys(*range_keys(chunk.data, at, at + length), n), chunk.ids[text], at, chunk, state
+    return Keys(*range_keys(chunk.words, at, length, length), n), chunk.ids[text], at, chunk, state
 
 
 def _removed(batches, length: int, n: int):
     for row in _rows(batches):
         keys, _, at, chunk, state = _open_strings(row, length, n)
-        cover = np.zeros(len(chunk.data) + 1, np.int32)
+        cover = np.zeros(chunk.size + 1, np.int32)
         later = at[keys.ranks(row["strings"])[1]]
-        for begin in [later] + [a[copied] for a, copied, _ in _strings(chunk, state)]:
-            np.add.at(cover, begin, 1)
-            np.add.at(cover, begin + length, -1)
+        begin, end = state.strings(length)
+        copied = state.copied & (end > begin)
+        for first, behind in ((later, later + 1), (begin[copied], end[copied])):
+            np.add.at(cover, first, 1)
+            np.add.at(cover, behind - 1 + length, -1)
         gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
         out = []
         for d, i in enumerate(row["ids"]):
             a, b = chunk.bounds[d], chunk.bounds[d + 1]
             g = gone[a:b]
-            n_removed = int(g.sum())
+            n_removed = int(np.count_nonzero(g))
             kept = chunk.data[a:b][~g].tobytes() if n_removed else row["texts"][d]
-            out.append((None if i == NULL_ID else i, int(b - a), n_removed, int((np.diff(g.astype(np.int8), prepend=0) == 1).sum()), kept))
+            spans = int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n_removed else 0
+            out.append((None if i == NULL_ID else i, int(b - a), n_removed, spans, kept))
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), [*[pa.int64()] * 4, pa.binary()])],
                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 

@@ -78,37 +78,50 @@ def test_given_table(spark):
 
 def test_equal_strings_have_equal_anchors():
     rng = random.Random(1)
-    same = "".join(rng.choices("abcd", k=100)).encode()
+    same = bytes(rng.choices(b"abcd", k=100))
     chunk = X.Chunk([1, 2], [b"".join([bytes(rng.choices(b"abcd", k=77)), same, bytes(rng.choices(b"abcd", k=300))]),
                              b"".join([bytes(rng.choices(b"abcd", k=350)), same])], 100)
-    at, anchor = chunk.first_anchors(0, len(chunk.data))
-    anchor = dict(zip(at.tolist(), anchor.tolist()))
+    every, lo = chunk.anchors()
     a, b = 77, int(chunk.bounds[1]) + 350
-    assert anchor[a] - a == anchor[b] - b
-    every = chunk.anchors()
-    assert every[np.searchsorted(every, anchor[a]) + 1] - a == every[np.searchsorted(every, anchor[b]) + 1] - b <= 100 - X.GRAM
-
-
-def test_segments_give_the_same_anchors(monkeypatch):
-    text = bytes(random.Random(2).choices(b"abcdef", k=5_000))
-    whole = X.Chunk([1, 2], [text, b"z" * 700], 100)
-    anchors = whole.anchors()
-    starts = np.arange(5_600)
-    keys = X.range_keys(whole.data, starts, starts + 100)
+    i, j = (np.searchsorted(lo, p, "right") - 1 for p in (a, b))
+    assert 0 <= every[i] - a == every[j] - b < chunk.w
+    assert every[i + 1] - a == every[j + 1] - b <= 100 - X.GRAM
+
+
+def test_segments_and_blocks_give_the_same(monkeypatch):
+    texts = [bytes(random.Random(2).choices(b"abcdef", k=5_000)), b"z" * 700, b"", b"short", bytes(range(256)) * 2]
+    whole = X.Chunk([1, 2, 3, 4, 5], texts, 100)
+    anchors, starts = whole.anchors(), np.arange(0, whole.size - 100)
+    keys = X.range_keys(whole.words, starts, 100, 100)
+    # The definition, position by position.
+    want = {}
+    for d, text in enumerate(texts):
+        for p in range(len(text) - (whole.w + X.GRAM - 1) + 1):
+            at = whole.bounds[d] + p + np.arange(whole.w)
+            h = X._mix(whole.words[at]) >> np.uint64(32)
+            want.setdefault(int(at[np.argmin(h)]), int(whole.bounds[d]) + p)
+    assert dict(zip(*(x.tolist() for x in anchors))) == want
     monkeypatch.setattr(X, "SEGMENT", 333)
-    assert (whole.anchors() == anchors).all()
-    assert all((a == b).all() for a, b in zip(keys, X.range_keys(whole.data, starts, starts + 100)))
+    monkeypatch.setattr(X, "BLOCK", 77)
+    assert all((a == b).all() for a, b in zip(anchors, whole.anchors()))
+    assert all((a == b).all() for a, b in zip(keys, X.range_keys(whole.words, starts, 100, 100)))
 
 
 def test_both_halves_of_a_key_follow_the_bytes():
     rng = random.Random(4)
     same = bytes(rng.choices(range(256), k=400))
-    data = np.frombuffer(bytes(rng.choices(range(256), k=123)) + same + b"?" * 77 + same, np.uint8)
-    a = np.arange(123, 423)
-    first, second = X.range_keys(data, a, a + 100), X.range_keys(data, a + 477, a + 577)
-    assert all((x == y).all() and len(set(x.tolist())) == 300 for x, y in zip(first, second))
-    longer = X.range_keys(data, a, a + 99)
-    assert not any((x == y).any() for x, y in zip(first, longer))
+    words = X.Chunk([1], [bytes(rng.choices(range(256), k=123)) + same + b"?" * 77 + same], 100).words
+    a, sizes = np.arange(123, 423), np.arange(300) % 93 + 8
+    for size in (100, sizes):
+        first, second = X.range_keys(words, a, size, 100), X.range_keys(words, a + 477, size, 100)
+        assert all((x == y).all() and len(set(x.tolist())) == 300 for x, y in zip(first, second))
+    longer, marked = X.range_keys(words, a, sizes + 1, 104), X.range_keys(words, a, sizes, 100, np.ones(300, bool))
+    assert not any((x == y).any() for x, y in zip(first, longer)) and not any((x == y).any() for x, y in zip(first, marked))
+
+
+def test_covered():
+    assert X.covered(7, np.array([1, 4]), np.array([3, 4])).tolist() == [False, True, True, False, False, False, False]
+    assert X.covered(2, np.zeros(0, int), np.zeros(0, int)).tolist() == [False, False]
 
 
 def test_bucket_count():
