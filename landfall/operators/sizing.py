@@ -15,10 +15,11 @@ import uuid
 from dataclasses import dataclass
 from typing import Optional, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from landfall.session import hadoop_path, scratch_path
+
 # Per-row overhead added to the key bytes when estimating a broadcast
 # (UnsafeRow header, null bits, offsets, hash-table slot).
 ROW_OVERHEAD_BYTES = 48
@@ -43,30 +44,30 @@ class SizedSide:
     rows: int
     bytes: int
     broadcast: bool
+    folder: str
 
     def for_join(self) -> DataFrame:
         """The side with its join hint: broadcast under the limit, sort-merge above it."""
         return F.broadcast(self.df) if self.broadcast else self.df.hint("merge")
 
     def release(self) -> None:
-        self.df.unpersist()
+        """Remove the written table, once no frame that reads it is used any more."""
+        fs, path = hadoop_path(self.df.sparkSession, self.folder)
+        fs.delete(path, True)
 
 
 def measure(df: DataFrame, columns: Sequence[str], limit: Optional[int] = None) -> SizedSide:
-    """Persist ``df`` and fill the cache with one no-op write that also observes
-    its rows and key bytes; decide on broadcast from those numbers."""
+    """Write ``df`` to the shared folder, observing its rows and key bytes, and
+    decide on broadcast from those numbers. A lost executor costs a reread."""
+    spark = df.sparkSession
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
     obs = Observation(f"size_{uuid.uuid4().hex[:12]}")
-    cached = df.observe(obs, F.count(F.lit(1)).alias("n"),
-                        F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")) \
-               .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cached.write.format("noop").mode("overwrite").save()
-    except BaseException:
-        cached.unpersist()
-        raise
+    folder = scratch_path(spark, "side")
+    df.observe(obs, F.count(F.lit(1)).alias("n"),
+               F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")).write.parquet(folder)
     m = obs.get
     rows, key_bytes = int(m["n"]), int(m["b"])
     size = key_bytes + rows * ROW_OVERHEAD_BYTES
-    lim = broadcast_limit(df.sparkSession, limit)
-    return SizedSide(cached, rows, size, broadcast=0 <= size <= lim and lim > 0)
+    lim = broadcast_limit(spark, limit)
+    written = spark.read.schema(df.schema).parquet(folder)
+    return SizedSide(written, rows, size, broadcast=0 <= size <= lim and lim > 0, folder=folder)

@@ -67,15 +67,21 @@ def _key_names(keys: Sequence[str]) -> list[str]:
 
 
 def duplicate_side(df: DataFrame, keys: Sequence[str], load_date_col: Optional[str] = "load_dt",
-                   limit: Optional[int] = None, drop_headers: bool = True) -> SizedSide:
+                   limit: Optional[int] = None, drop_headers: bool = True, one_scan: bool = False) -> SizedSide:
     """Materialise and measure the duplicate keys of ``df`` (header rows excluded).
 
+    ``one_scan`` is for rows that are parsed whole anyway (text): header rows are
+    then left out in the scan of the keys instead of counted by a second one.
+
     The result decides the join of ``mark_duplicates``: broadcast when its
     measured size is under ``limit``, a shuffle join otherwise.
     """
     cols = data_columns(df, load_date_col)
     renamed = _key_names(keys)
-    dups = repeated_keys(df, cols, keys) if drop_headers else duplicate_keys(df, keys)
+    if drop_headers and not one_scan:
+        dups = repeated_keys(df, cols, keys)
+    else:
+        dups = duplicate_keys(drop_header_rows(df, cols) if drop_headers else df, keys)
     dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)],
                                              F.lit(True).alias(_DUP))
     return measure(dups, renamed, limit)

@@ -3,16 +3,17 @@
 Per file and load date:
 
 1. validate the landing rows (one lazy plan, ``operators.validate``);
-2. persist the validated rows once (memory, spilling to disk) and write the
-   clean rows to staging and the rejects to the reject table, each a static
-   overwrite of the date; the audit counts are observed during the first
-   write instead of separate count jobs;
-3. the same for the delete-key feed when the file has one;
-4. staging -> ODS: hard-delete join, audit columns, typed cast, and the
+2. write the clean rows and the rejects in one pass, each layer to a new folder
+   of its own, and observe the four audit counts during that write;
+3. point the staging and the reject partition of the date at the new folders,
+   both or neither (``operators.publish``);
+4. the same for the delete-key feed when the file has one;
+5. staging -> ODS: hard-delete join, audit columns, typed cast, and the
    write strategy of the file.
 
-Independent files run concurrently from a small thread pool; each Spark action
-is thread-safe and the scheduler interleaves their stages.
+Files run concurrently from a small thread pool, those with most landed bytes
+first. A failed stage is tried once more; with a ledger (``plans.ledger``) a
+later run resumes after the stages that were finished.
 """
 
 from __future__ import annotations
@@ -30,27 +31,20 @@ from pyspark.sql import functions as F
 
 from landfall import spec as S
 from landfall.operators import ods as O
-from landfall.operators import sinks
-from landfall.operators.split import audit_exprs, clean_rows, reject_rows
+from landfall.operators import publish, sinks
+from landfall.operators.split import audit_exprs, is_clean, is_reject
 from landfall.operators.validate import FLAG, check_schema, data_columns, duplicate_side, validate
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
+from landfall.plans.ledger import Ledger, SplitCounts
 from landfall.session import apply_runtime_conf, restore_conf, runtime_conf, set_scheduler_pool
 from landfall.sources import landing as L
 
 
-@dataclass
-class SplitCounts:
-    total: int
-    clean: int
-    rejected: int
-    blank: int
-
-
 @dataclass
 class LoadResult:
     """Outcome of one file: split counts of the main and delete feeds, what the
-    ODS step did, and ``extra`` (elapsed seconds per stage, cache choice)."""
+    ODS step did, and ``extra`` (elapsed seconds and tries per stage, landed bytes)."""
 
     file_name: str
     main: Optional[SplitCounts] = None
@@ -69,51 +63,60 @@ class LoadError(RuntimeError):
         super().__init__("; ".join(f"{r.file_name}: {r.error}" for r in failed))
 
 
+CLEAN, REJECT = "clean", "reject"
+
+
 def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[S.ColumnRule],
                        keys: Sequence[str], stg_table: str, rej_table: str, load_dt: str,
                        profile: "str | S.Profile" = "v2", load_date_col: str = "load_dt",
-                       message_style: str = "native", persist: bool = True,
-                       broadcast_limit: Optional[int] = None, cache_landing: bool = False) -> SplitCounts:
-    """PIPE-1 / PIPE-2: validate one landing frame and write its two outputs for ``load_dt``.
-
-    ``cache_landing`` (for sources that are expensive to read, such as CSV):
-    the day's landing rows are cached once and feed both the duplicate-key
-    aggregate and the validation. When the duplicate keys are broadcast the
-    reject write re-derives from that cache (checks + broadcast probe) instead
-    of keeping a second cache of the validated rows. Whatever the source, the
-    validated rows are cached only when whole rows were shuffled for the
-    uniqueness join (the landing cache is then dropped once that is filled).
+                       message_style: str = "native", broadcast_limit: Optional[int] = None,
+                       cache_landing: bool = False) -> SplitCounts:
+    """PIPE-1 / PIPE-2: validate one landing frame and publish its two outputs for ``load_dt``.
+
+    The landing rows are scanned once in full: one write puts clean rows and
+    rejects into a staged folder, a sub-folder each, and the two partitions are
+    then changed together. Only the key columns are read before, for the
+    duplicate keys. ``cache_landing`` keeps the day's rows for both reads (for
+    sources that are dear to read twice). When the frame carries a
+    ``header_check`` (CSV read by ``landing.read_landing_csv``), it is made
+    before anything is published.
     """
+    header_check = getattr(landing, "header_check", None)
     landing = L.for_load_date(landing, load_dt, load_date_col) if load_date_col in landing.columns else landing
     check_schema(data_columns(landing, load_date_col), rules, keys)   # before any job
-    cached: list = []
-    dups = None
+    fmt = publish.table_facts(spark, stg_table)["Provider"]
+    folder = publish.version_folder(spark, stg_table, load_dt)
+    dups = cached = None
     try:
         if cache_landing:
-            landing = landing.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(landing)
+            cached = landing = landing.persist(StorageLevel.MEMORY_AND_DISK)
         if keys:
-            dups = duplicate_side(landing, keys, load_date_col, broadcast_limit)
+            dups = duplicate_side(landing, keys, load_date_col, broadcast_limit, one_scan=header_check is not None)
+            if header_check is not None:
+                header_check()
         validated = validate(landing, rules, keys, profile, load_date_col, message_style, duplicates=dups)
         cols = [r.name for r in rules]
-        # Without a shuffle of whole rows the reject write redoes a scan and a
-        # projection; only a merge join's rows are worth keeping.
-        keep_validated = persist and dups is not None and dups.rows > 0 and not dups.broadcast
-        if keep_validated:
-            validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(validated)
         obs = Observation(f"audit_{uuid.uuid4().hex[:12]}")
+        name = publish.layer_name([*cols, FLAG])
+        layer = F.when(is_clean(), CLEAN).when(is_reject(cols, profile), REJECT).alias(name)
         observed = validated.observe(obs, *audit_exprs(cols, profile))
-        sinks.overwrite_partition(spark, clean_rows(observed, cols), stg_table, load_date_col, load_dt, cols)
-        if keep_validated and cache_landing:
-            landing.unpersist()        # the validated cache now holds everything the reject write needs
-        sinks.overwrite_partition(spark, reject_rows(validated, cols, profile), rej_table, load_date_col, load_dt,
-                                  cols + [FLAG], rebalance=True)
+        # Clean rows have an empty flag, which is not stored with them.
+        rows = observed.select(*cols, F.when(~is_clean(), F.col(FLAG)).alias(FLAG), layer)
+        publish.stage_layers(rows, name, folder, fmt)
+        if header_check is not None:
+            header_check()
         m = obs.get
+        clean = publish.layer_folder(spark, folder, name, CLEAN)
+        reject = publish.compacted(spark, publish.layer_folder(spark, folder, name, REJECT), fmt)
+        publish.publish(spark, [publish.Target(stg_table, clean, load_date_col, load_dt),
+                                publish.Target(rej_table, reject, load_date_col, load_dt)])
         return SplitCounts(total=m["total"], clean=m["clean"], rejected=m["rejected"], blank=m["blank"])
+    except BaseException:
+        publish.remove(spark, folder)
+        raise
     finally:
-        for df in cached:
-            df.unpersist()
+        if cached is not None:
+            cached.unpersist()
         if dups is not None:
             dups.release()
 
@@ -144,64 +147,91 @@ def landing_reader(spark: SparkSession, landing_root: Optional[str], load_date_c
     CSV files are always read with empty and missing fields told apart, and
     only the folder of ``load_dt`` is listed; it need not be in the catalog.
 
-    The reader's ``parses_csv(spec)`` tells the load job which sources are
-    parsed from text, whose rows it caches instead of parsing them twice.
+    The reader's ``by_position(spec, is_key_feed)`` reads CSV files whose first
+    lines are not their column names (``read_landing_csv``).
     """
     def parses_csv(spec: S.FileSpec) -> bool:
         return spec.file_type.upper() == "CSV"
 
-    def read(spec: S.FileSpec, pk: bool) -> DataFrame:
+    def read(spec: S.FileSpec, pk: bool, header_by: str = "name") -> DataFrame:
         cols = list(spec.keys) if pk else spec.columns
         kind, path = L.table_storage(spark, spec.tables.ldg_pk if pk else spec.tables.ldg)
         if landing_root and (fmt is not None or parses_csv(spec)):   # files under the landing root
             kind, path = fmt, f"{landing_root}/{spec.source_system}/{spec.ddl_name}{'_pk' if pk else ''}"
         if parses_csv(spec):
-            return L.read_landing_csv(spark, path, cols, load_date_col, load_dt=load_dt)
+            return L.read_landing_csv(spark, path, cols, load_date_col, load_dt=load_dt, header_by=header_by)
         return L.read_landing(spark, path, kind, cols, load_date_col, load_dt)
-    read.parses_csv = parses_csv
+    read.by_position = lambda spec, pk: read(spec, pk, "position")
     return read
 
 
 def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
               read: Callable[[S.FileSpec, bool], DataFrame], profile: "str | S.Profile" = "v2",
               load_ts: Optional[str] = None, load_date_col: str = "load_dt", message_style: str = "native",
-              stages: Sequence[str] = ("validate", "ods"), cache_landing: Optional[bool] = None,
-              scheduler_pool: Optional[str] = None) -> LoadResult:
+              stages: Sequence[str] = ("validate", "ods"), cache_landing: bool = False,
+              scheduler_pool: Optional[str] = None, ledger: "Optional[Ledger]" = None, attempts: int = 2) -> LoadResult:
     """All stages of one file for one date.
 
-    ``cache_landing=None`` caches the landing rows when the reader parses them
-    from CSV text (so they are parsed once); other sources are scanned twice.
+    A stage that fails is tried again, ``attempts`` times in all. With a
+    ``ledger``, stages that its run has finished are not done again (their counts
+    are the recorded ones) and every stage is recorded when it ends.
     """
     res = LoadResult(spec.file_name)
     t = spec.tables
-    started = time.perf_counter()
-    if cache_landing is None:
-        cache_landing = bool(getattr(read, "parses_csv", lambda _: False)(spec))
-    if "validate" in stages:
-        def main() -> SplitCounts:
-            return validate_and_split(spark, read(spec, False), spec.rules, spec.keys, t.stg, t.rej, load_dt,
-                                      profile, load_date_col, message_style, cache_landing=cache_landing)
+    res.extra["tries"] = {}
 
-        def feed() -> SplitCounts:
-            return validate_and_split(spark, read(spec, True), spec.key_rules(), spec.keys,
-                                      t.stg_pk, t.rej_pk, load_dt, profile, load_date_col, message_style,
-                                      cache_landing=cache_landing)
+    def split(pk: bool) -> SplitCounts:
+        rules = spec.key_rules() if pk else spec.rules
+        stg, rej = (t.stg_pk, t.rej_pk) if pk else (t.stg, t.rej)
 
-        def pooled(run: Callable[[], SplitCounts]) -> SplitCounts:
-            set_scheduler_pool(spark, scheduler_pool)   # a pool is a setting of the thread
-            return run()
+        def of(landing: DataFrame) -> SplitCounts:
+            return validate_and_split(spark, landing, rules, spec.keys, stg, rej, load_dt, profile, load_date_col,
+                                      message_style, cache_landing=cache_landing)
+        try:
+            return of(read(spec, pk))
+        except L.HeaderMismatch:          # nothing is published yet
+            if not hasattr(read, "by_position"):
+                raise
+            return of(read.by_position(spec, pk))
+
+    def stage(name: str, run: Callable):
+        """``run`` unless the ledger has it; tried again when it fails, and recorded."""
+        done = ledger.finished(spec.file_name, name) if ledger else None
+        if done is not None:
+            res.extra["tries"][name] = 0
+            return done.counts if name != "ods" else done.note
+        set_scheduler_pool(spark, scheduler_pool)   # a pool is a setting of the thread
+        for attempt in range(1, attempts + 1):
+            res.extra["tries"][name] = attempt
+            started = time.perf_counter()
+            try:
+                out = run()
+            except Exception as e:
+                if ledger:
+                    ledger.record(spec.file_name, name, "failed", note=f"{type(e).__name__}: {e}"[:2000])
+                if attempt == attempts or isinstance(e, (ValueError, FileNotFoundError)):   # the same again
+                    raise
+                continue
+            seconds = round(time.perf_counter() - started, 3)
+            if ledger:
+                counts = out if isinstance(out, SplitCounts) else None
+                ledger.record(spec.file_name, name, "done", counts, "" if counts else out, seconds)
+            return out
 
+    started = time.perf_counter()
+    if "validate" in stages:
         if t.has_delete_feed and S.Profile.of(profile).validate_delete_feed:
             # independent jobs: submit both, the scheduler interleaves them
             with ThreadPoolExecutor(max_workers=2) as pool:
-                f_main, f_feed = pool.submit(pooled, main), pool.submit(pooled, feed)
+                f_main = pool.submit(stage, "validate", lambda: split(False))
+                f_feed = pool.submit(stage, "validate_feed", lambda: split(True))
                 res.main, res.delete_feed = f_main.result(), f_feed.result()
         else:
-            res.main = main()
+            res.main = stage("validate", lambda: split(False))
         res.extra["validate_sec"] = round(time.perf_counter() - started, 3)
     if "ods" in stages:
         before = time.perf_counter()
-        res.ods = load_to_ods(spark, spec, load_dt, load_ts, load_date_col)
+        res.ods = stage("ods", lambda: load_to_ods(spark, spec, load_dt, load_ts, load_date_col))
         res.extra["ods_sec"] = round(time.perf_counter() - before, 3)
     res.extra["cache_landing"] = bool(cache_landing)
     return res
@@ -212,6 +242,19 @@ def _tables_of(spec: S.FileSpec) -> list[str]:
     return [x for x in (t.ldg, t.stg, t.rej, t.ods, t.ldg_pk, t.stg_pk, t.rej_pk) if x]
 
 
+def landed_bytes(read: Callable[[S.FileSpec, bool], DataFrame], spec: S.FileSpec, load_dt: str,
+                 load_date_col: str = "load_dt") -> int:
+    """Bytes of the files behind a file's landing rows of one date, from the planner's listing; 0 if they cannot be read."""
+    try:
+        frame = read(spec, False)
+        if load_date_col in frame.columns:
+            frame = L.for_load_date(frame, load_dt, load_date_col)
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:       # an absent day or a failing source is reported by the load itself
+        return 0
+
+
 def default_load_date(today: Optional[_dt.date] = None) -> str:
     """FN-15 / B17: yesterday as ``yyyy-MM-dd`` (the caller normally passes the date)."""
     return ((today or _dt.date.today()) - _dt.timedelta(days=1)).isoformat()
@@ -245,9 +288,16 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
              drop_create: Optional[Sequence[bool]] = None, generate_ddl: Optional[Sequence[bool]] = None,
              stages: Sequence[str] = ("validate", "ods"), load_date_col: str = "load_dt",
              message_style: str = "native", max_parallel: int = 4,
-             cache_landing: Optional[bool] = None, landing_format: Optional[str] = None) -> list[LoadResult]:
+             cache_landing: bool = False, landing_format: Optional[str] = None, recreate: bool = False,
+             ledger: Optional[str] = None, resume: bool = False, attempts: int = 2) -> list[LoadResult]:
     """PIPE-4 / PIPE-5: create tables and load the selected files for ``load_dt``.
 
+    Tables are created where they are missing. Those that exist are compared with
+    the metadata: added fields become columns, a changed type or partitioning is
+    refused (``schema.SchemaChange``), and nothing is ever dropped, whatever a
+    file's drop flag says, unless ``recreate`` is given: then the tables of
+    files with the flag set are dropped and made again, their rows with them.
+
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
     Landing data comes from ``landing`` (a callable ``(spec, is_key_feed) ->
     DataFrame``), else from CSV folders under ``landing_root`` for CSV files and
@@ -264,10 +314,11 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
     specs = M.file_specs(metadata, names, dbs)     # uniqueness key: primary key first, in both profiles
 
     SC.create_databases(spark, dbs, warehouse_root)
-    # The DDL job runs only when something must be (re)created or written out;
-    # a daily run over existing tables needs catalog lookups only.
+    # The DDL job runs only when something must be created or written out; a
+    # daily run over existing tables needs catalog lookups only.
     missing = [s.file_name for s in specs if not all(spark.catalog.tableExists(t) for t in _tables_of(s))]
-    to_create = [n for n in names if flags[n][0] or n in missing]
+    dropped = [n for n in names if recreate and flags[n][0]]
+    to_create = [n for n in names if n in dropped or n in missing]
     to_write = [n for n in names if flags[n][1]] if ddl_path else []
     if to_create or to_write:
         ddl = SC.ddl_frame(metadata, dbs, landing_root or "landing", load_date_col,
@@ -276,33 +327,51 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
         scripts = {r["file_name"]: r["script"] for r in
                    SC.ddl_scripts(ddl.where(F.col("file_name").isin(to_create))).collect()} if to_create else {}
         landing_tables = {t for s in specs for t in (s.tables.ldg, s.tables.ldg_pk) if t}
-        SC.create_tables(spark, [scripts[n] for n in to_create if flags[n][0]], recreate=True, landing=landing_tables)
-        SC.create_tables(spark, [scripts[n] for n in to_create if not flags[n][0]], recreate=False)
+        SC.create_tables(spark, [scripts[n] for n in to_create if n in dropped], recreate=True, landing=landing_tables)
+        SC.create_tables(spark, [scripts[n] for n in to_create if n not in dropped], recreate=False)
         if to_write:
             SC.write_ddl_text(ddl.where(F.col("file_name").isin(to_write)), ddl_path, load_dt)
+    refused = {}
+    for s in specs:
+        try:
+            SC.extend_tables(spark, s, load_date_col)
+        except SC.SchemaChange as e:
+            refused[s.file_name] = LoadResult(s.file_name, ods="failed", error=e)
     if create_only:
+        if refused:
+            raise LoadError([refused.get(n, LoadResult(n, ods="tables only")) for n in names])
         return [LoadResult(n, ods="tables only") for n in names]
 
     read = landing or landing_reader(spark, landing_root, load_date_col, landing_format, load_dt)
+    records = Ledger(spark, ledger, load_dt, resume) if ledger else None
 
     def one(spec: S.FileSpec) -> LoadResult:
         # One scheduler pool per file: under FAIR scheduling a large file does
         # not hold back the small ones (ignored under FIFO).
         pool = f"landfall_{spec.ddl_name}"
         set_scheduler_pool(spark, pool)
+        began = time.perf_counter()
         try:
-            return load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages,
-                             cache_landing, pool)
+            res = load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages,
+                            cache_landing, pool, records, attempts)
         except Exception as e:
-            return LoadResult(spec.file_name, ods="failed", error=e)
+            res = LoadResult(spec.file_name, ods="failed", error=e)
         finally:
             set_scheduler_pool(spark, None)
-
-    if max_parallel <= 1 or len(specs) <= 1:
-        results = [one(s) for s in specs]
+        res.extra.update(landed_bytes=landed.get(spec.file_name), began=began)
+        return res
+
+    # Most landed bytes first: the longest file does not begin last.
+    queue = [s for s in specs if s.file_name not in refused]
+    landed = {s.file_name: landed_bytes(read, s, load_dt, load_date_col) for s in queue} if len(queue) > 1 else {}
+    queue.sort(key=lambda s: -landed.get(s.file_name, 0))
+    if max_parallel <= 1 or len(queue) <= 1:
+        loaded = [one(s) for s in queue]
     else:
-        with ThreadPoolExecutor(max_workers=min(max_parallel, len(specs))) as pool:
-            results = list(pool.map(one, specs))
+        with ThreadPoolExecutor(max_workers=min(max_parallel, len(queue))) as pool:
+            loaded = list(pool.map(one, queue))
+    by_name = {r.file_name: r for r in loaded} | refused
+    results = [by_name[s.file_name] for s in specs]
     failed = [r for r in results if r.error is not None]
     if failed:
         raise LoadError(results) from failed[0].error

@@ -237,6 +237,58 @@ def create_tables(spark: SparkSession, statements: list[str], recreate: bool = T
             spark.sql(stmt)
 
 
+class SchemaChange(ValueError):
+    """A table in the catalog differs from its metadata in a way that rows already in it do not allow."""
+
+
+def layer_tables(spec: S.FileSpec) -> dict:
+    """The tables of a file that hold loaded rows, by layer."""
+    t = spec.tables
+    return {layer: table for layer, table in (("stg", t.stg), ("rej", t.rej), ("ods", t.ods), ("stg_pk", t.stg_pk),
+                                              ("rej_pk", t.rej_pk)) if table}
+
+
+def table_change(spark: SparkSession, spec: S.FileSpec, layer: str, table: str,
+                 load_date_col: str = "load_dt") -> list:
+    """Fields of the metadata that ``table`` lacks; ``SchemaChange`` for what cannot be added.
+
+    Fields that left the metadata stay in the table and are null from then on.
+    """
+    have = spark.table(table).schema
+    types = {f.name.lower(): f.dataType for f in have}
+    parts = [c.name.lower() for c in spark.catalog.listColumns(table) if c.isPartition]
+    want = layer_schema(spec, layer, load_date_col)
+    by = ods_partition_columns(spec, load_date_col) if layer == "ods" else [load_date_col]
+    retyped = [f"{f.name}: {types[f.name.lower()].simpleString()} -> {f.dataType.simpleString()}" for f in want
+               if f.name.lower() in types and types[f.name.lower()] != f.dataType]
+    if retyped:
+        raise SchemaChange(f"{table}: changed types ({', '.join(retyped)}); recreate it to change them")
+    if parts != [c.lower() for c in by]:
+        raise SchemaChange(f"{table}: partitioned by ({', '.join(parts)}), the metadata says ({', '.join(by)})")
+    return [f for f in want if f.name.lower() not in types]
+
+
+def extend_tables(spark: SparkSession, spec: S.FileSpec, load_date_col: str = "load_dt") -> dict:
+    """SNK-8: bring a file's tables up to its metadata without losing a row; the fields added, by table.
+
+    All layers are compared before any is changed, so a refused change leaves
+    them as they were. Landing tables are not touched: their rows are read by the
+    file's columns, not by the table's.
+    """
+    added = {table: table_change(spark, spec, layer, table, load_date_col) for layer, table in layer_tables(spec).items()}
+    comments = {r.name: r.comment for r in spec.rules}
+    for table, fields in added.items():
+        if fields:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (
+                f" COMMENT '{_text(comments[f.name])}'" if comments.get(f.name) else "") for f in fields)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return {table: [f.name for f in fields] for table, fields in added.items() if fields}
+
+
+def _text(v: str) -> str:
+    return v.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def create_databases(spark: SparkSession, databases: dict, root: Optional[str] = None) -> None:
     for db in sorted(set(databases.values())):
         loc = f" LOCATION '{root}/{db}.db'" if root else ""

@@ -24,6 +24,9 @@ RUNTIME_CONF = {
     # partition even when no row is written; a full overwrite of an
     # unpartitioned table is unaffected.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Writes to a few partitions (the layers of a staged write) keep a file of
+    # each open instead of sorting all rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -97,6 +100,12 @@ def set_scheduler_pool(spark: SparkSession, pool: "str | None") -> None:
         sc.setLocalProperty("spark.scheduler.pool", pool)
 
 
+def hadoop_path(spark: SparkSession, folder: str):
+    """The file system of a folder and its path, as Hadoop objects: any store that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never a local temp dir on a cluster)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

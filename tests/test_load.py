@@ -135,15 +135,15 @@ def test_other_dates_untouched(spark, meta, tmp_dir):
     assert count(spark, f"{d['ods']}.crm_orders", "2022-09-10") == 1372
 
 
-def test_without_persist_same_counts(spark, meta, tmp_dir):
+def test_broadcast_and_merge_join_same_counts(spark, meta, tmp_dir):
     from landfall.plans import metadata as M
     from landfall.plans.load import validate_and_split
     d = dbs()
     run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir, create_only=True)
     spec = M.file_specs(meta, ["ORDERS"], d)[0]
-    for persist, limit in ((False, None), (True, 0)):
+    for limit in (None, 0):
         m = validate_and_split(spark, fx.landed_orders(spark, SF), spec.rules, spec.keys, spec.tables.stg,
-                               spec.tables.rej, "2022-09-11", persist=persist, broadcast_limit=limit)
+                               spec.tables.rej, "2022-09-11", broadcast_limit=limit)
         assert (m.total, m.clean, m.rejected, m.blank) == (1516, 1372, 128, 16)
         assert count(spark, spec.tables.stg) == 1372 and count(spark, spec.tables.rej) == 128
 
@@ -174,14 +174,14 @@ def test_parquet_landing_folder(spark, meta, tmp_dir):
     assert spark.table(f"{d['ods']}.erp_events").count() == res[0].main.clean
 
 
-def test_csv_landing_folder_is_cached(spark, meta, tmp_dir):
-    """ORDERS is CSV: read from landing_root, its rows are parsed once (cached) and the counts hold."""
+def test_csv_landing_folder(spark, meta, tmp_dir):
+    """ORDERS is CSV: read from landing_root without a cache of the day's rows, and the counts hold."""
     root = os.path.join(tmp_dir, "landing")
     for df, folder in ((fx.landed_orders(spark, SF), "crm_orders"), (fx.landed_orders_pk(spark, SF), "crm_orders_pk")):
         df.write.option("header", True).option("emptyValue", "").partitionBy("load_dt").csv(f"{root}/CRM/{folder}")
     d = dbs()
     res = run_load(spark, meta, "2022-09-11", files=["ORDERS"], databases=d, warehouse_root=tmp_dir,
                    landing_root=root, load_ts=TS)[0]
-    assert res.extra["cache_landing"] is True
+    assert res.extra["cache_landing"] is False
     assert res.main.total == 1516 and res.main.clean == res.main.total - res.main.rejected - res.main.blank
     assert spark.table(f"{d['ods']}.crm_orders").count() == res.main.clean

@@ -1,0 +1,136 @@
+"""No default run loses rows; added fields become columns, changed types are refused."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from landfall.plans import metadata as M
+from landfall.plans import schema as SC
+from landfall.plans.load import LoadError, run_load
+from landfall.sources import fixtures as fx
+from landfall.sources import landing as L
+
+SF, DAYS, TS = "/root/testdata/sf0.001", ("2022-09-10", "2022-09-11"), "2022-09-12 01:00:00"
+
+
+@pytest.fixture()
+def dbs(request):
+    return {k: f"chg_{abs(hash(request.node.name)) % 10**8}_{k}" for k in ("ldg", "stg", "rej", "ods")}
+
+
+def landing(spark, day, drop=()):
+    return lambda spec, pk: fx.landed_orders_pk(spark, SF, day) if pk else fx.landed_orders(spark, SF, day).drop(*drop)
+
+
+def is_field(*names):
+    return F.lower(F.coalesce(F.nullif(F.col("field_alias"), F.lit("")), F.col("name"))).isin(*names)
+
+
+def without(meta, *names):
+    return {**meta, "interface_field": meta["interface_field"].where(~is_field(*names))}
+
+
+def retyped(meta, name, field_type):
+    return {**meta, "interface_field": meta["interface_field"].withColumn(
+        "field_type", F.when(is_field(name), field_type).otherwise(F.col("field_type")))}
+
+
+def load(spark, meta, dbs, root, day, drop=(), **kw):
+    return run_load(spark, meta, day, files=["ORDERS"], databases=dbs, warehouse_root=root, landing=landing(spark, day, drop),
+                    load_ts=TS, **kw)
+
+
+def counts(spark, dbs, day):
+    return [L.read_table_for_date(spark, t, day).count() for t in (
+        f"{dbs['stg']}.crm_orders", f"{dbs['rej']}.ldg_crm_orders_rej", f"{dbs['ods']}.crm_orders", f"{dbs['stg']}.crm_orders_pk")]
+
+
+def test_default_runs_keep_every_date(spark, meta, dbs, tmp_dir):
+    for day in (*DAYS, DAYS[0]):
+        load(spark, meta, dbs, tmp_dir, day)
+    assert counts(spark, dbs, DAYS[0]) == counts(spark, dbs, DAYS[1])
+    assert counts(spark, dbs, DAYS[0])[:3] == [1372, 128, 1372]
+
+
+def test_rows_are_dropped_only_when_told(spark, meta, dbs, tmp_dir):
+    load(spark, meta, dbs, tmp_dir, DAYS[0])
+    load(spark, meta, dbs, tmp_dir, DAYS[1], recreate=True)
+    assert counts(spark, dbs, DAYS[0])[:3] == [0, 0, 0] and counts(spark, dbs, DAYS[1])[:3] == [1372, 128, 1372]
+    load(spark, meta, dbs, tmp_dir, DAYS[0], recreate=True, drop_create=[False])
+    assert counts(spark, dbs, DAYS[1])[:3] == [1372, 128, 1372]
+
+
+@pytest.mark.parametrize("name", ["priority", "status"])     # the last field, and one in the middle
+def test_added_field(spark, meta, dbs, tmp_dir, name):
+    load(spark, without(meta, name), dbs, tmp_dir, DAYS[0], drop=(name,))
+    before = counts(spark, dbs, DAYS[0])
+    load(spark, meta, dbs, tmp_dir, DAYS[1])
+    assert counts(spark, dbs, DAYS[0]) == before
+    for table in (f"{dbs['stg']}.crm_orders", f"{dbs['rej']}.ldg_crm_orders_rej", f"{dbs['ods']}.crm_orders"):
+        old, new = (L.read_table_for_date(spark, table, d) for d in DAYS)
+        assert old.where(F.col(name).isNotNull()).count() == 0 < new.where(F.col(name).isNotNull()).count()
+        assert spark.table(table).columns[-1] == "load_dt"
+    flags = L.read_table_for_date(spark, f"{dbs['rej']}.ldg_crm_orders_rej", DAYS[1])
+    assert flags.where("flag is null or flag = ''").count() == 0
+    typed = L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", DAYS[1])
+    assert typed.where("order_ts is null or etl_created_ts is null or order_id is null").count() == 0
+
+
+def test_field_that_left(spark, meta, dbs, tmp_dir):
+    load(spark, meta, dbs, tmp_dir, DAYS[0])
+    load(spark, without(meta, "priority"), dbs, tmp_dir, DAYS[1], drop=("priority",))
+    ods = spark.table(f"{dbs['ods']}.crm_orders")
+    assert ods.where((F.col("load_dt") == DAYS[0]) & F.col("priority").isNotNull()).count() > 0
+    assert ods.where((F.col("load_dt") == DAYS[1]) & F.col("priority").isNotNull()).count() == 0
+
+
+def test_changed_type_is_refused(spark, meta, dbs, tmp_dir):
+    load(spark, meta, dbs, tmp_dir, DAYS[0])
+    before = counts(spark, dbs, DAYS[0])
+    with pytest.raises(LoadError, match=r"changed types \(total_price: decimal\(20,4\) -> double\)") as e:
+        load(spark, retyped(meta, "total_price", "float8"), dbs, tmp_dir, DAYS[0])
+    assert isinstance(e.value.results[0].error, SC.SchemaChange) and counts(spark, dbs, DAYS[0]) == before
+    load(spark, retyped(meta, "total_price", "float8"), dbs, tmp_dir, DAYS[0], recreate=True)
+    assert spark.table(f"{dbs['ods']}.crm_orders").schema["total_price"].dataType.simpleString() == "double"
+
+
+def test_refused_change_adds_nothing(spark, meta, dbs, tmp_dir):
+    """A file whose ODS is refused keeps its staging table as it was, though that could be extended."""
+    load(spark, without(meta, "priority"), dbs, tmp_dir, DAYS[0], drop=("priority",))
+    with pytest.raises(LoadError):
+        load(spark, retyped(meta, "total_price", "float8"), dbs, tmp_dir, DAYS[1])
+    assert "priority" not in spark.table(f"{dbs['stg']}.crm_orders").columns
+
+
+def test_changed_strategy_is_refused(spark, meta, dbs, tmp_dir):
+    load(spark, meta, dbs, tmp_dir, DAYS[0])
+    full = {**meta, "interface_file": meta["interface_file"].withColumn("full_delta", F.lit("Full"))}
+    with pytest.raises(LoadError, match="partitioned by"):
+        load(spark, full, dbs, tmp_dir, DAYS[1])
+
+
+def test_other_files_go_on(spark, meta, dbs, tmp_dir):
+    both = {("ORDERS", False): lambda: fx.landed_orders(spark, SF), ("ORDERS", True): lambda: fx.landed_orders_pk(spark, SF),
+            ("CUSTOMER", False): lambda: fx.landed_customer(spark, SF)}
+    args = dict(files=["ORDERS", "CUSTOMER"], databases=dbs, warehouse_root=tmp_dir, load_ts=TS,
+                landing=lambda spec, pk: both[spec.file_name, pk]())
+    run_load(spark, meta, DAYS[1], **args)
+    with pytest.raises(LoadError) as e:
+        run_load(spark, retyped(meta, "total_price", "float8"), DAYS[1], **args)
+    by = {r.file_name: r for r in e.value.results}
+    assert by["CUSTOMER"].ods == "full" and by["ORDERS"].ods == "failed"
+
+
+def test_by_key_table_takes_an_added_field(spark, meta, dbs, tmp_dir):
+    args = dict(files=["EVENTS"], databases=dbs, warehouse_root=tmp_dir, load_ts=TS)
+    run_load(spark, without(meta, "value"), DAYS[1], landing=lambda s, p: fx.landed_events(spark, SF).drop("value"), **args)
+    n = spark.table(f"{dbs['ods']}.erp_events").count()
+    run_load(spark, meta, DAYS[1], landing=lambda s, p: fx.landed_events(spark, SF), **args)
+    ods = spark.table(f"{dbs['ods']}.erp_events")
+    assert ods.count() == n and ods.where("value is not null").count() > 0 and ods.columns[-1] == "event_type"
+
+
+def test_extend_tables_reports_what_it_added(spark, meta, dbs, tmp_dir):
+    load(spark, without(meta, "priority"), dbs, tmp_dir, DAYS[0], drop=("priority",))
+    spec = M.file_specs(meta, ["ORDERS"], dbs)[0]
+    added = SC.extend_tables(spark, spec)
+    assert sorted(added.values()) == [["priority"]] * 3 and SC.extend_tables(spark, spec) == {}
