@@ -325,6 +325,37 @@ def _violation_summary() -> str:
     return _orders_v() + f"SELECT * FROM ({each}) x WHERE violation_count > 0"
 
 
+def _ods_added_field() -> str:
+    """The date before the field: validated without it, null in the table; the date after: as always."""
+    cols = ", ".join(c for c in ORDER_COLS if c != "priority")
+    rules = [r for r in ORDER_RULES if r[0] != "priority"]
+    earlier = (with_(LANDED_ORDERS, LANDED_ORDERS_PK, cte("v", validated(f"(SELECT {cols}, load_dt FROM landed_orders)", rules, ORDER_KEYS)),
+                     cte("pv", validated("landed_orders_pk", ORDER_PK_RULES, ORDER_KEYS)),
+                     cte("stg", f"SELECT {cols} FROM v WHERE flag = ''"),
+                     cte("pk", "SELECT DISTINCT order_id FROM pv WHERE flag = ''"))
+               + f"""SELECT TRY_CAST(s.order_id AS BIGINT) AS order_id, TRY_CAST(s.cust_id AS BIGINT) AS cust_id,
+       s.status, TRY_CAST(s.total_price AS DECIMAL(20,4)) AS total_price,
+       TRY_CAST(s.order_ts AS TIMESTAMP) AS order_ts, CAST(NULL AS VARCHAR) AS priority,
+       CAST(CASE WHEN p.order_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS etl_is_hard_del,
+       TIMESTAMP '{LOAD_TS}' AS etl_created_ts, TIMESTAMP '{LOAD_TS}' AS etl_modified_ts, '2022-09-10' AS load_dt
+FROM stg s LEFT JOIN pk p ON s.order_id = p.order_id""")
+    return f"SELECT * FROM ({earlier}) e UNION ALL BY NAME SELECT * FROM ({_typed_orders('landed_orders_pk')}) x"
+
+
+def _load_ledger() -> str:
+    """Audit counts of each file; stages done (the orders file has a key feed too) and failed (one, of the events file)."""
+    parts = []
+    for name, v, cols, done, failed in (("ORDERS", "vo", ORDER_COLS, 3, 0), ("CUSTOMER", "vc", CUSTOMER_COLS, 2, 0),
+                                        ("EVENTS", "ve", EVENT_COLS, 2, 1)):
+        parts.append(f"""SELECT '{LOAD_DT}' AS load_dt, '{name}' AS file_name, CAST({done} AS BIGINT) AS done,
+       CAST({failed} AS BIGINT) AS failed, count(*) AS total, CAST(count_if(flag = '') AS BIGINT) AS clean,
+       CAST(count_if(flag <> '' AND {any_value(cols)}) AS BIGINT) AS rejected,
+       CAST(count_if(flag <> '' AND NOT ({any_value(cols)})) AS BIGINT) AS blank FROM {v}""")
+    return with_(LANDED_ORDERS, LANDED_CUSTOMER, LANDED_EVENTS, cte("vo", validated("landed_orders", ORDER_RULES, ORDER_KEYS)),
+                 cte("vc", validated("landed_customer", CUSTOMER_RULES, CUSTOMER_KEYS)),
+                 cte("ve", validated("landed_events", EVENT_RULES, EVENT_KEYS))) + "\nUNION ALL\n".join(parts)
+
+
 CSV_LINES = """
 SELECT CASE WHEN m = 3 THEN NULL WHEN m = 4 THEN '  ' ELSE k END AS order_id,
        CASE m WHEN 0 THEN c WHEN 1 THEN 'x"y,z' WHEN 2 THEN c WHEN 5 THEN '' END AS cust_id,
@@ -392,4 +423,14 @@ ON s.order_id = p.order_id""",
         "e2e_csv_table_landing": _typed_orders_from_csv(),
         "e2e_table_landing": ODS_EVENTS,
         "e2e_lineitem": ODS_LINEITEM,
+        "sink_publish_layers": _orders_v() + f"SELECT 'stg' AS layer, {OC}, '' AS flag FROM v WHERE flag = '' UNION ALL "
+                               f"SELECT 'rej', {OC}, flag FROM v WHERE flag <> '' AND {any_value(ORDER_COLS)}",
+        "e2e_default_flags": _orders_v() + "SELECT layer, d.load_dt, row_count FROM (VALUES ('2022-09-10'), "
+                             f"('{LOAD_DT}')) d(load_dt), (SELECT 'stg' AS layer, count(*) AS row_count FROM v WHERE flag = '' "
+                             "UNION ALL SELECT 'ods', count(*) FROM v WHERE flag = '' UNION ALL "
+                             f"SELECT 'rej', count(*) FROM v WHERE flag <> '' AND {any_value(ORDER_COLS)}) x",
+        "ods_added_field": _ods_added_field(),
+        "load_ledger": _load_ledger(),
+        "ods_hard_delete_bucketed": _typed_orders("landed_orders_pk"),
+        "e2e_csv_other_header": _typed_orders_from_csv(),
     }

@@ -5,7 +5,9 @@ of the day's validated delete feed. The feed side is aggregated to distinct
 keys first (partial aggregation, one row per key) so the join never multiplies
 rows. In the load job that side is materialised and measured
 (``delete_key_side``) and broadcast only under the size limit; otherwise the
-join is a sort-merge join (staging keys are unique, so it has no hot key).
+join is a sort-merge join (staging keys are unique, so it has no hot key). Where
+staging and its key table are bucketed alike by key, a feed above the limit is
+joined bucket by bucket, without moving a row of either (``co_located``).
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.operators.sizing import SizedSide, measure
+from landfall.operators.sizing import ROW_OVERHEAD_BYTES, SizedSide, measure
 
 HARD_DEL = "etl_is_hard_del"
 CREATED = "etl_created_ts"
@@ -43,8 +45,14 @@ def delete_key_side(pk_feed: DataFrame, keys: Sequence[str], limit: Optional[int
     return measure(hits, renamed, limit)
 
 
+def feed_bytes(pk_feed: DataFrame, keys: Sequence[str]) -> int:
+    """Bytes of a broadcast of all the feed's rows, which bounds that of its distinct keys."""
+    width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(ROW_OVERHEAD_BYTES))
+    return int(pk_feed.agg(F.coalesce(F.sum(width), F.lit(0)).cast("bigint")).first()[0])
+
+
 def mark_hard_deletes(stg: DataFrame, pk_feed: Optional[DataFrame], keys: Sequence[str],
-                      side: Optional[SizedSide] = None) -> DataFrame:
+                      side: Optional[SizedSide] = None, co_located: bool = False) -> DataFrame:
     """JOIN-2: ``etl_is_hard_del`` = 1 when the row's key is in the delete feed, else 0."""
     if not keys:
         raise ValueError("a delete feed needs key columns")
@@ -52,6 +60,7 @@ def mark_hard_deletes(stg: DataFrame, pk_feed: Optional[DataFrame], keys: Sequen
     if side is None:
         hits = (pk_feed.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
                 .withColumn(_HIT, F.lit(1)))
+        hits = hits.hint("merge") if co_located else hits
     else:
         hits = side.for_join()
     cond = [stg[k] == hits[r] for k, r in zip(keys, renamed)]
@@ -82,10 +91,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def stage_to_ods(stg: DataFrame, schema: T.StructType, keys: Sequence[str] = (),
                  pk_feed: Optional[DataFrame] = None, load_ts: Optional[str] = None,
-                 side: Optional[SizedSide] = None) -> DataFrame:
+                 side: Optional[SizedSide] = None, co_located: bool = False) -> DataFrame:
     """PIPE-3 row plan: hard-delete mark, audit columns, typed ODS columns."""
     has_feed = pk_feed is not None or side is not None
     if side is not None and side.rows == 0:
         has_feed = False    # measured: the day's delete feed is empty, no join needed
-    marked = mark_hard_deletes(stg, pk_feed, keys, side) if has_feed else without_delete_feed(stg)
+    marked = mark_hard_deletes(stg, pk_feed, keys, side, co_located) if has_feed else without_delete_feed(stg)
     return conform(add_audit_columns(marked, load_ts), schema)

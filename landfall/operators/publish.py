@@ -13,6 +13,7 @@ publication replaces is removed after it (``keep_replaced`` keeps it).
 
 from __future__ import annotations
 
+import re
 import uuid
 import warnings
 from dataclasses import dataclass
@@ -69,13 +70,46 @@ def layer_name(columns: Sequence[str]) -> str:
     return name
 
 
-def stage_layers(rows: DataFrame, layer: str, folder: str, fmt: str = "orc") -> None:
+@dataclass(frozen=True)
+class Buckets:
+    """How a table is bucketed: rows of one key lie in one file number of every folder."""
+
+    n: int
+    columns: tuple
+
+
+def bucket_count(spark: SparkSession, size: int, bucket_bytes: int) -> int:
+    """Buckets for ``size`` bytes; beyond the number that Spark allows they grow instead."""
+    return max(1, min(int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), -(-size // bucket_bytes)))
+
+
+def buckets_of(facts: dict) -> Optional[Buckets]:
+    """The bucketing of a table, from its facts."""
+    if "Num Buckets" not in facts:
+        return None
+    columns = re.findall(r"`((?:[^`]|``)+)`", facts["Bucket Columns"])
+    return Buckets(int(facts["Num Buckets"]), tuple(c.replace("``", "`") for c in columns))
+
+
+def stage_layers(rows: DataFrame, layer: str, folder: str, fmt: str = "orc", buckets: Optional[Buckets] = None,
+                 bucketed_layer: str = "clean") -> None:
     """Write ``rows`` once, in a sub-folder for each value of the column ``layer``; rows where it is null are not written.
 
     Needs no sort: the session keeps one open file per layer
-    (``spark.sql.maxConcurrentOutputFileWriters``).
+    (``spark.sql.maxConcurrentOutputFileWriters``). With ``buckets`` the rows of
+    ``bucketed_layer`` are dealt out by key first, one task a bucket; the others
+    go where their input split says, so a key with many rejects is no hot task.
     """
-    rows.where(F.col(layer).isNotNull()).write.partitionBy(layer).format(fmt).save(folder)
+    rows = rows.where(F.col(layer).isNotNull())
+    if buckets is None:
+        rows.write.partitionBy(layer).format(fmt).save(folder)
+        return
+    n = F.lit(buckets.n)
+    task = F.when(F.col(layer) == bucketed_layer, F.pmod(F.hash(*buckets.columns), n)).otherwise(F.pmod(F.spark_partition_id(), n))
+    name = f"lf_staged_{uuid.uuid4().hex}"
+    (rows.repartitionById(buckets.n, task.cast("int")).write.partitionBy(layer).bucketBy(buckets.n, *buckets.columns)
+     .option("path", folder).format(fmt).saveAsTable(name))
+    rows.sparkSession.sql(f"DROP TABLE {name}")     # only the catalog entry; the files stay
 
 
 def layer_folder(spark: SparkSession, folder: str, name: str, layer: str) -> str:

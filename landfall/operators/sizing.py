@@ -38,13 +38,19 @@ def broadcast_limit(spark, limit: Optional[int] = None) -> int:
         return int(float(num) * units[raw[len(num):].lower() or "b"])
 
 
+def leaf_bytes(df: DataFrame) -> int:
+    """Bytes of what a frame reads, from the planner's file listing (partition filters applied)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 @dataclass
 class SizedSide:
     df: DataFrame
     rows: int
     bytes: int
     broadcast: bool
-    folder: str
+    folder: Optional[str]     # None: nothing was written
 
     def for_join(self) -> DataFrame:
         """The side with its join hint: broadcast under the limit, sort-merge above it."""
@@ -52,6 +58,8 @@ class SizedSide:
 
     def release(self) -> None:
         """Remove the written table, once no frame that reads it is used any more."""
+        if self.folder is None:
+            return
         fs, path = hadoop_path(self.df.sparkSession, self.folder)
         fs.delete(path, True)
 

@@ -1,7 +1,7 @@
 """Split a validated frame into clean, rejected and blank rows, and count them.
 
 SPL-1..4. All four counts come from one aggregate (or from an ``Observation``
-attached to the first write, see ``plans.pipeline``) instead of the four
+attached to the write, see ``plans.load``) instead of the four
 separate count jobs of the reference.
 """
 

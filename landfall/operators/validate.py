@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import checks
-from landfall.operators.sizing import SizedSide, measure
+from landfall.operators.sizing import SizedSide, leaf_bytes, measure
 from landfall.spec import ColumnRule, Profile
 
 FLAG = "flag"
 VIOLATIONS = "violations"
 _DUP = "__lf_dup"
+_HASH = "__lf_hash"
 
 
 def data_columns(df: DataFrame, load_date_col: Optional[str] = "load_dt") -> list[str]:
@@ -66,8 +67,41 @@ def _key_names(keys: Sequence[str]) -> list[str]:
     return [f"__lf_k{i}" for i in range(len(keys))]
 
 
+def hash_bits(size: int) -> int:
+    """Width of a key hash for ``size`` bytes of landed rows, each of 8 bytes at least.
+
+    Of different keys, one in 256 at most shares its hash, and some 2**17 in all:
+    few enough to be broadcast, however many rows there are (up to 2**40).
+    """
+    rows = (size >> 3).bit_length()
+    return min(64, max(16, rows + 8, 2 * rows - 17))
+
+
+def _key_hash(df: DataFrame, keys: Sequence[str], bits: int) -> Column:
+    whole = F.xxhash64(*[df[k] for k in keys])
+    return whole if bits >= 64 else F.shiftrightunsigned(whole, 64 - bits)
+
+
+def suspect_keys(df: DataFrame, keys: Sequence[str], limit: Optional[int] = None) -> "tuple[SizedSide, int]":
+    """Hashes that more than one row's key has, from a scan of the key columns; and their width in bits.
+
+    A repeated key always has such a hash; few others do. Only the hash and its
+    partial count are shuffled, whatever the number and width of the key columns.
+    """
+    bits = hash_bits(leaf_bytes(df))
+    hashes = df.select(_key_hash(df, keys, bits).alias(_HASH)).groupBy(_HASH).agg(F.count(F.lit(1)).alias("__lf_n"))
+    return measure(hashes.where("__lf_n > 1").select(_HASH), [_HASH], limit), bits
+
+
+def of_suspects(df: DataFrame, keys: Sequence[str], suspects: SizedSide, bits: int) -> DataFrame:
+    """The rows of ``df`` whose key has one of the suspect hashes."""
+    side = suspects.for_join()
+    return df.join(side, _key_hash(df, keys, bits) == side[_HASH], "left_semi")
+
+
 def duplicate_side(df: DataFrame, keys: Sequence[str], load_date_col: Optional[str] = "load_dt",
-                   limit: Optional[int] = None, drop_headers: bool = True, one_scan: bool = False) -> SizedSide:
+                   limit: Optional[int] = None, drop_headers: bool = True, one_scan: bool = False,
+                   hash_first: Optional[bool] = None) -> SizedSide:
     """Materialise and measure the duplicate keys of ``df`` (header rows excluded).
 
     ``one_scan`` is for rows that are parsed whole anyway (text): header rows are
@@ -75,9 +109,22 @@ def duplicate_side(df: DataFrame, keys: Sequence[str], load_date_col: Optional[s
 
     The result decides the join of ``mark_duplicates``: broadcast when its
     measured size is under ``limit``, a shuffle join otherwise.
+
+    ``hash_first`` (by default for keys of several columns) shuffles 64-bit hashes
+    first; the keys themselves are then grouped only for rows of repeated
+    hashes, of which clean data has few.
     """
     cols = data_columns(df, load_date_col)
     renamed = _key_names(keys)
+    if len(keys) > 1 if hash_first is None else hash_first:
+        suspects, bits = suspect_keys(df, keys, limit)
+        try:
+            if suspects.rows == 0:
+                none = df.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], F.lit(True).alias(_DUP)).limit(0)
+                return SizedSide(none, 0, 0, True, None)
+            return duplicate_side(of_suspects(df, keys, suspects, bits), keys, load_date_col, limit, drop_headers, one_scan, False)
+        finally:
+            suspects.release()
     if drop_headers and not one_scan:
         dups = repeated_keys(df, cols, keys)
     else:

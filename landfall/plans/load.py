@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from landfall import spec as S
 from landfall.operators import ods as O
 from landfall.operators import publish, sinks
+from landfall.operators.sizing import broadcast_limit as broadcast_limit_of
+from landfall.operators.sizing import leaf_bytes
 from landfall.operators.split import audit_exprs, is_clean, is_reject
 from landfall.operators.validate import FLAG, check_schema, data_columns, duplicate_side, validate
 from landfall.plans import metadata as M
@@ -84,7 +86,8 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
     header_check = getattr(landing, "header_check", None)
     landing = L.for_load_date(landing, load_dt, load_date_col) if load_date_col in landing.columns else landing
     check_schema(data_columns(landing, load_date_col), rules, keys)   # before any job
-    fmt = publish.table_facts(spark, stg_table)["Provider"]
+    facts = publish.table_facts(spark, stg_table)
+    fmt, buckets = facts["Provider"], publish.buckets_of(facts)
     folder = publish.version_folder(spark, stg_table, load_dt)
     dups = cached = None
     try:
@@ -102,7 +105,7 @@ def validate_and_split(spark: SparkSession, landing: DataFrame, rules: Sequence[
         observed = validated.observe(obs, *audit_exprs(cols, profile))
         # Clean rows have an empty flag, which is not stored with them.
         rows = observed.select(*cols, F.when(~is_clean(), F.col(FLAG)).alias(FLAG), layer)
-        publish.stage_layers(rows, name, folder, fmt)
+        publish.stage_layers(rows, name, folder, fmt, buckets, CLEAN)
         if header_check is not None:
             header_check()
         m = obs.get
@@ -127,13 +130,17 @@ def load_to_ods(spark: SparkSession, spec: S.FileSpec, load_dt: str, load_ts: Op
     t = spec.tables
     sinks.assert_not_self([t.stg, t.stg_pk], t.ods)
     stg = L.read_table_for_date(spark, t.stg, load_dt, load_date_col)
-    side = None
+    schema = SC.layer_schema(spec, "ods", load_date_col)
+    side = pk = None
     if t.has_delete_feed:
         pk = L.read_table_for_date(spark, t.stg_pk, load_dt, load_date_col)
-        side = O.delete_key_side(pk, spec.keys, broadcast_limit)
-    schema = SC.layer_schema(spec, "ods", load_date_col)
+        alike = publish.buckets_of(publish.table_facts(spark, t.stg))
+        alike = alike is not None and alike == publish.buckets_of(publish.table_facts(spark, t.stg_pk)) \
+            and set(alike.columns) == set(spec.keys)
+        if not alike or O.feed_bytes(pk, spec.keys) <= broadcast_limit_of(spark, broadcast_limit):
+            side = O.delete_key_side(pk, spec.keys, broadcast_limit)
     try:
-        ods = O.stage_to_ods(stg, schema, spec.keys, None, load_ts, side)
+        ods = O.stage_to_ods(stg, schema, spec.keys, pk if side is None else None, load_ts, side, co_located=side is None)
         return sinks.write_ods(spark, ods, spec, load_dt, load_date_col)
     finally:
         if side is not None:
@@ -169,7 +176,8 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
               read: Callable[[S.FileSpec, bool], DataFrame], profile: "str | S.Profile" = "v2",
               load_ts: Optional[str] = None, load_date_col: str = "load_dt", message_style: str = "native",
               stages: Sequence[str] = ("validate", "ods"), cache_landing: bool = False,
-              scheduler_pool: Optional[str] = None, ledger: "Optional[Ledger]" = None, attempts: int = 2) -> LoadResult:
+              scheduler_pool: Optional[str] = None, ledger: "Optional[Ledger]" = None, attempts: int = 2,
+              broadcast_limit: Optional[int] = None) -> LoadResult:
     """All stages of one file for one date.
 
     A stage that fails is tried again, ``attempts`` times in all. With a
@@ -186,7 +194,7 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
 
         def of(landing: DataFrame) -> SplitCounts:
             return validate_and_split(spark, landing, rules, spec.keys, stg, rej, load_dt, profile, load_date_col,
-                                      message_style, cache_landing=cache_landing)
+                                      message_style, broadcast_limit, cache_landing)
         try:
             return of(read(spec, pk))
         except L.HeaderMismatch:          # nothing is published yet
@@ -231,7 +239,7 @@ def load_file(spark: SparkSession, spec: S.FileSpec, load_dt: str,
         res.extra["validate_sec"] = round(time.perf_counter() - started, 3)
     if "ods" in stages:
         before = time.perf_counter()
-        res.ods = stage("ods", lambda: load_to_ods(spark, spec, load_dt, load_ts, load_date_col))
+        res.ods = stage("ods", lambda: load_to_ods(spark, spec, load_dt, load_ts, load_date_col, broadcast_limit))
         res.extra["ods_sec"] = round(time.perf_counter() - before, 3)
     res.extra["cache_landing"] = bool(cache_landing)
     return res
@@ -249,8 +257,7 @@ def landed_bytes(read: Callable[[S.FileSpec, bool], DataFrame], spec: S.FileSpec
         frame = read(spec, False)
         if load_date_col in frame.columns:
             frame = L.for_load_date(frame, load_dt, load_date_col)
-        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        return leaf_bytes(frame)
     except Exception:       # an absent day or a failing source is reported by the load itself
         return 0
 
@@ -289,7 +296,8 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
              stages: Sequence[str] = ("validate", "ods"), load_date_col: str = "load_dt",
              message_style: str = "native", max_parallel: int = 4,
              cache_landing: bool = False, landing_format: Optional[str] = None, recreate: bool = False,
-             ledger: Optional[str] = None, resume: bool = False, attempts: int = 2) -> list[LoadResult]:
+             ledger: Optional[str] = None, resume: bool = False, attempts: int = 2,
+             broadcast_limit: Optional[int] = None, staging_buckets: Optional[int] = None) -> list[LoadResult]:
     """PIPE-4 / PIPE-5: create tables and load the selected files for ``load_dt``.
 
     Tables are created where they are missing. Those that exist are compared with
@@ -298,6 +306,11 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
     file's drop flag says, unless ``recreate`` is given: then the tables of
     files with the flag set are dropped and made again, their rows with them.
 
+    ``ledger`` is a folder that every stage is recorded in; ``resume`` leaves out
+    what the date's last run there has finished. ``staging_buckets`` creates the
+    staging tables of files with a delete feed bucketed by key: their rows are
+    shuffled once, when they are staged, and the delete join then moves none.
+
     Profile ``v1`` with ``stages=('validate',)`` is the older validate-only job.
     Landing data comes from ``landing`` (a callable ``(spec, is_key_feed) ->
     DataFrame``), else from CSV folders under ``landing_root`` for CSV files and
@@ -322,7 +335,8 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
     to_write = [n for n in names if flags[n][1]] if ddl_path else []
     if to_create or to_write:
         ddl = SC.ddl_frame(metadata, dbs, landing_root or "landing", load_date_col,
-                           message_style=message_style, key_table_prefer=prof.key_table_prefer) \
+                           message_style=message_style, key_table_prefer=prof.key_table_prefer,
+                           staging_buckets=staging_buckets) \
             .where(F.col("file_name").isin(names))
         scripts = {r["file_name"]: r["script"] for r in
                    SC.ddl_scripts(ddl.where(F.col("file_name").isin(to_create))).collect()} if to_create else {}
@@ -353,7 +367,7 @@ def load_files(spark: SparkSession, metadata: Mapping[str, DataFrame], load_dt:
         began = time.perf_counter()
         try:
             res = load_file(spark, spec, load_dt, read, prof, load_ts, load_date_col, message_style, stages,
-                            cache_landing, pool, records, attempts)
+                            cache_landing, pool, records, attempts, broadcast_limit)
         except Exception as e:
             res = LoadResult(spec.file_name, ods="failed", error=e)
         finally:

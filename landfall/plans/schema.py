@@ -96,12 +96,14 @@ def _coldef(name: Column, typ: Column, comment: Optional[Column] = None) -> Colu
 
 def ddl_frame(metadata: dict, databases: Optional[dict] = None, landing_root: str = "landing",
               load_date_col: str = "load_dt", landing_format: str = "parquet",
-              message_style: str = "native", key_table_prefer: str = "primary") -> DataFrame:
+              message_style: str = "native", key_table_prefer: str = "primary",
+              staging_buckets: Optional[int] = None) -> DataFrame:
     """DDL-2..DDL-9 for every active file: one row per (file, layer) with ``statement``.
 
     Key-feed layers are produced only for files with physical deletion (DDL-9);
     their columns are the primary key, else the business key
     (``key_table_prefer='business'`` reverses that, as the older job did).
+    ``staging_buckets`` buckets their staging and staging key tables by key.
     """
     files = M.file_plan(metadata["interface"], metadata["interface_file"], databases)
     fields = M.field_list(metadata["interface_field"])
@@ -182,11 +184,16 @@ def ddl_frame(metadata: dict, databases: Optional[dict] = None, landing_root: st
                   .otherwise(F.lit("")))
     comment = F.concat(F.lit("\nCOMMENT '"), _q(F.coalesce(F.col("tab_comment_cn"), F.lit(""))), F.lit("'"))
 
-    joined = t.join(bodies, ["file_id", "layer"], "left")
+    bucketed = F.lit("")
+    if staging_buckets:
+        quoted = F.array_join(F.transform("keys", lambda k: F.concat(F.lit("`"), k, F.lit("`"))), ", ")
+        bucketed = F.when(F.col("layer").isin("stg", "stg_pk") & (F.col("stg_pk_table") != "") & (F.size("keys") > 0), F.concat(
+            F.lit("\nCLUSTERED BY ("), quoted, F.lit(f") INTO {int(staging_buckets)} BUCKETS"))).otherwise(F.lit(""))
+    joined = t.join(bodies, ["file_id", "layer"], "left").join(keys, "file_id", "left")
     statement = F.concat(
         F.lit("DROP TABLE IF EXISTS "), F.col("table_name"), F.lit(";\n"),
         F.lit("CREATE TABLE IF NOT EXISTS "), F.col("table_name"), F.lit(" (\n"), F.col("columns_ddl"), F.lit(")\n"),
-        using, partition, comment, F.when(is_ldg, location).otherwise(F.lit("")), F.lit(";"))
+        using, partition, bucketed, comment, F.when(is_ldg, location).otherwise(F.lit("")), F.lit(";"))
     order = F.array_position(F.array(*[F.lit(x) for x in ("ldg", "stg", "rej", "ods", "ldg_pk", "stg_pk", "rej_pk")]),
                              F.col("layer"))
     return joined.select("file_name", "file_id", "layer", order.alias("layer_order"), "table_name",

@@ -25,12 +25,14 @@ from landfall.operators.validate import (FLAG, VIOLATIONS, drop_header_rows, dup
                                          violation_summary)
 from landfall.plans import metadata as M
 from landfall.plans import schema as SC
-from landfall.plans.load import run_load
+from landfall.plans.ledger import load_summary, read_ledger
+from landfall.plans.load import LoadError, run_load
 from landfall.session import scratch_path
 from landfall.sources import fixtures as fx
 from landfall.sources import landing as L
 
 LOAD_DT = fx.LOAD_DT
+EARLIER = "2022-09-10"
 LOAD_TS = "2022-09-12 01:00:00"
 COLS = fx.ORDER_COLUMNS
 
@@ -379,6 +381,79 @@ def e2e_lineitem(spark, sf_dir):
     return L.read_table_for_date(spark, f"{dbs['ods']}.erp_lineitem", LOAD_DT)
 
 
+# --------------------------------------------------------------------------- step 9: publication, change, recovery
+
+def sink_publish_layers(spark, sf_dir):
+    """Both layers of one write, as published: staging rows and rejects with their flag."""
+    dbs, _ = _load(spark, sf_dir, ["ORDERS"], stages=("validate",))
+    stg = L.read_table_for_date(spark, f"{dbs['stg']}.crm_orders", LOAD_DT).select(F.lit("stg").alias("layer"), *COLS, F.lit("").alias(FLAG))
+    rej = L.read_table_for_date(spark, f"{dbs['rej']}.ldg_crm_orders_rej", LOAD_DT).select(F.lit("rej").alias("layer"), *COLS, FLAG)
+    return stg.unionByName(rej)
+
+
+def e2e_default_flags(spark, sf_dir):
+    """Two dates and the first again, all with default flags: rows per layer and date."""
+    dbs, root, meta = _scratch_dbs(spark), scratch_path(spark, "warehouse"), fx.metadata_frames(spark)
+    for day in (EARLIER, LOAD_DT, EARLIER):
+        run_load(spark, meta, day, files=["ORDERS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS,
+                 landing=lambda spec, pk, day=day: (fx.landed_orders_pk if pk else fx.landed_orders)(spark, sf_dir, day))
+    tables = {"stg": "crm_orders", "rej": "ldg_crm_orders_rej", "ods": "crm_orders"}
+    parts = [spark.table(f"{dbs[layer]}.{t}").groupBy("load_dt").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(layer).alias("layer"), "load_dt", "row_count") for layer, t in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def ods_added_field(spark, sf_dir):
+    """A field that the metadata gains between two dates: earlier rows keep null in it, no row is lost."""
+    dbs, root, meta = _scratch_dbs(spark), scratch_path(spark, "warehouse"), fx.metadata_frames(spark)
+    fields = meta["interface_field"]
+    before = {**meta, "interface_field": fields.where(~((F.col("file_id") == 10) & (F.col("name") == "PRIORITY")))}
+    for day, m, gone in ((EARLIER, before, ["priority"]), (LOAD_DT, meta, [])):
+        run_load(spark, m, day, files=["ORDERS"], databases=dbs, warehouse_root=root, load_ts=LOAD_TS,
+                 landing=lambda spec, pk, day=day, gone=gone: fx.landed_orders_pk(spark, sf_dir, day) if pk
+                 else fx.landed_orders(spark, sf_dir, day).drop(*gone))
+    return spark.table(f"{dbs['ods']}.crm_orders")
+
+
+def load_ledger(spark, sf_dir):
+    """Three files, one failing; the resumed run does what is missing. The ledger's summary of the date."""
+    dbs, root, led = _scratch_dbs(spark), scratch_path(spark, "warehouse"), scratch_path(spark, "ledger")
+    landed, away = _landing_fixtures(spark, sf_dir), [True]
+
+    def source(spec, pk):
+        if spec.file_name == "EVENTS" and away:
+            raise OSError("store is away")
+        return landed(spec, pk)
+    args = dict(files=["ORDERS", "CUSTOMER", "EVENTS"], databases=dbs, warehouse_root=root, landing=source, load_ts=LOAD_TS,
+                ledger=led, attempts=1)
+    try:
+        run_load(spark, fx.metadata_frames(spark), LOAD_DT, **args)
+    except LoadError:
+        away.clear()
+    run_load(spark, fx.metadata_frames(spark), LOAD_DT, resume=True, **args)
+    return load_summary(read_ledger(spark, led)).select("load_dt", "file_name", "done", "failed", "total", "clean", "rejected", "blank")
+
+
+def ods_hard_delete_bucketed(spark, sf_dir):
+    """Staging bucketed by key and a delete feed above the broadcast bound: the join moves no row."""
+    dbs = _scratch_dbs(spark)
+    run_load(spark, fx.metadata_frames(spark), LOAD_DT, files=["ORDERS"], databases=dbs, warehouse_root=scratch_path(spark, "warehouse"),
+             landing=_landing_fixtures(spark, sf_dir), load_ts=LOAD_TS, staging_buckets=8, broadcast_limit=0)
+    return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
+
+
+def e2e_csv_other_header(spark, sf_dir):
+    """CSV files whose first lines are not the column names: found out before anything is published, then read by position."""
+    dbs = _scratch_dbs(spark)
+    root = scratch_path(spark, "landing")
+    for df, folder in ((fx.landed_orders(spark, sf_dir), "crm_orders"), (fx.landed_orders_pk(spark, sf_dir), "crm_orders_pk")):
+        named = df.select(*[F.col(c).alias(c if c == "load_dt" else f"Column {c}") for c in df.columns])
+        named.write.option("header", True).option("emptyValue", "").partitionBy("load_dt").csv(f"{root}/CRM/{folder}")
+    run_load(spark, fx.metadata_frames(spark), LOAD_DT, files=["ORDERS"], databases=dbs,
+             warehouse_root=scratch_path(spark, "warehouse"), landing_root=root, load_ts=LOAD_TS)
+    return L.read_table_for_date(spark, f"{dbs['ods']}.crm_orders", LOAD_DT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_header_filter": dq_header_filter,
     "dq_misaligned": dq_misaligned,
@@ -418,4 +493,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e2e_csv_table_landing": e2e_csv_table_landing,
     "e2e_table_landing": e2e_table_landing,
     "e2e_lineitem": e2e_lineitem,
+    "sink_publish_layers": sink_publish_layers,
+    "e2e_default_flags": e2e_default_flags,
+    "ods_added_field": ods_added_field,
+    "load_ledger": load_ledger,
+    "ods_hard_delete_bucketed": ods_hard_delete_bucketed,
+    "e2e_csv_other_header": e2e_csv_other_header,
 }
