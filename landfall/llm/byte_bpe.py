@@ -5,9 +5,10 @@ Texts are cut by the vocabulary's pattern; different pieces are encoded once
 themselves go, by byte length, into padded matrices of token ids, one row each.
 Each round looks up the rank of every neighbouring pair in a hash table, every
 row merges its leftmost pair of minimum rank, rows without such a pair are done,
-and the matrix is compacted: each merging row has lost one id. A very long
-piece merges every pair of its minimum rank in one round where that gives the
-same ids: where the merged token is part of no merge of lower rank.
+and the matrix is compacted: each merging row has lost one id. A piece above
+256 bytes is a row by itself, whose next pair comes from a heap and whose ids
+are a linked list: the same merges in the same order, in time that grows with
+its length (times a logarithm) and not with its square.
 
 Decoding lays the tokens' bytes end to end.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from landfall.llm.common import byte_texts, slices, table
 
 BATCH_BYTES = 2 << 20
-MAX_PIECES = 400_000  # pieces that a worker remembers
+MAX_PIECES = 400_000  # pieces that a worker remembers,
+MAX_BYTES = 16 << 20  # and their bytes; both are looked at between batches
 LONG = 256            # bytes from which a piece is a row of its own
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, LONG)
 NONE = np.int32(2**31 - 1)
@@ -43,8 +46,7 @@ class Pairs:
         pairs = [(ranks[t[:i]], ranks[t[i:]], new) for t, new in ranks.items() if len(t) > 1
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         a, b, new = np.array(pairs, np.int64).reshape(-1, 3).T
-        self.opens_lower = np.zeros(max(ranks.values()) + 1, bool)  # tokens that are part of a merge of lower rank
-        self.opens_lower[a[a > new]] = self.opens_lower[b[b > new]] = True
+        self._dict: "dict | None" = None
         self.mask = (1 << max(4, int(4 * len(pairs)).bit_length())) - 1
         self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, NONE, np.int32)
         keys, slot, left = (a << 32) | b, self._slot((a << 32) | b), np.arange(len(pairs))
@@ -59,6 +61,13 @@ class Pairs:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & self.mask
 
+    def as_dict(self) -> dict:
+        """The same table for single look-ups, made when first needed."""
+        if self._dict is None:
+            full = self.keys >= 0
+            self._dict = dict(zip(self.keys[full].tolist(), self.values[full].tolist()))
+        return self._dict
+
     def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         shape = a.shape
         keys = (a.reshape(-1).astype(np.int64) << 32) | b.reshape(-1).astype(np.int64)
@@ -89,7 +98,8 @@ class Codec:
 
     def _restart(self) -> None:
         self.pieces: dict[str, int] = {}
-        self.piece_at = np.zeros(1, np.int64)
+        self.known = self.held = 0                # pieces, and their bytes
+        self.piece_at = np.zeros(1, np.int64)     # with room to grow, like the ids
         self.piece_ids = np.zeros(0, np.int32)
 
     def _merge_rows(self, m: np.ndarray, done: dict, row: np.ndarray) -> None:
@@ -117,19 +127,38 @@ class Codec:
                 rank[ok, at[ok]] = self.pairs.look_up(m[ok, at[ok]], m[ok, at[ok] + 1])
 
     def _merge_long(self, ids: np.ndarray) -> np.ndarray:
-        while len(ids) > 1:
-            rank = self.pairs.look_up(ids[:-1], ids[1:])
-            low = rank.min()
-            if low == NONE:
-                break
-            at = np.flatnonzero(rank == low)
-            if self.pairs.opens_lower[low]:
-                at = at[:1]
-            run = np.concatenate([[0], np.cumsum(np.diff(at) != 1)])  # neighbouring matches overlap: every other one
-            at = at[(np.arange(len(at)) - np.searchsorted(run, run)) % 2 == 0]
-            ids[at] = low
-            ids = np.delete(ids, at + 1)
-        return ids
+        """Encode one long piece: the leftmost pair of minimum rank from a heap, neighbours in a linked list."""
+        n = len(ids)
+        rank = self.pairs.look_up(ids[:-1], ids[1:])
+        merged = self.pairs.as_dict().get
+        at = np.flatnonzero(rank != NONE)
+        heap = ((rank[at].astype(np.int64) << 32) | at).tolist()
+        heapq.heapify(heap)
+        ids, rank = ids.tolist(), [*rank.tolist(), -1]   # rank[i]: of the pair that begins at i now
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            top = heapq.heappop(heap)
+            i, low = top & 0xFFFFFFFF, top >> 32
+            if rank[i] != low:   # the pair is gone
+                continue
+            j = after[i]
+            ids[i], rank[j] = low, -1
+            after[i] = k = after[j]
+            ids[j] = -1
+            if k < n:
+                before[k] = i
+                rank[i] = new = merged((low << 32) | ids[k], -1)
+                if new >= 0:
+                    heapq.heappush(heap, (new << 32) | i)
+            else:
+                rank[i] = -1
+            h = before[i]
+            if h >= 0:
+                rank[h] = new = merged((ids[h] << 32) | low, -1)
+                if new >= 0:
+                    heapq.heappush(heap, (new << 32) | h)
+        ids = np.array(ids, np.int32)
+        return ids[ids >= 0]
 
     def _learn(self, pieces: list[str]) -> None:
         data = [p.encode("utf-8") for p in pieces]
@@ -149,13 +178,18 @@ class Codec:
             m = np.where(np.arange(width) < size[:, None], self.byte_id[joined], np.int32(-1))
             self._merge_rows(m, done, np.array(rows))
         ids = [done[i] for i in range(len(data))]
-        ends = self.piece_at[-1] + np.cumsum([len(x) for x in ids])
-        self.piece_at = np.concatenate([self.piece_at, ends])
-        self.piece_ids = np.concatenate([self.piece_ids, *ids])
+        sizes = np.array([len(x) for x in ids])
+        known, used = self.known, int(self.piece_at[self.known])
+        self.piece_at = _grown(self.piece_at, known + 1 + len(ids))
+        self.piece_ids = _grown(self.piece_ids, used + int(sizes.sum()))
+        self.piece_at[known + 1:known + 1 + len(ids)] = used + np.cumsum(sizes)
+        self.piece_ids[used:used + int(sizes.sum())] = np.concatenate(ids)
+        self.known += len(ids)
+        self.held += sum(map(len, data))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's begin (and the last ends)."""
-        if len(self.pieces) > MAX_PIECES:
+        if len(self.pieces) > MAX_PIECES or self.held > MAX_BYTES:
             self._restart()
         known = len(self.pieces)
         number = self.pieces.setdefault
@@ -180,6 +214,15 @@ def _laid_out(at: np.ndarray, values: np.ndarray, which: np.ndarray) -> np.ndarr
     return values[np.repeat(at[which] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for ``size`` of them; doubling, so that they are copied a few times in all."""
+    if len(values) >= size:
+        return values
+    out = np.zeros(max(size, 2 * len(values)), values.dtype)
+    out[:len(values)] = values
+    return out
+
+
 _codecs: dict = {}
 
 
