@@ -7,7 +7,9 @@ per block; the ratios are smoothed over neighbouring blocks, fused to one number
 per path, and thresholded by their spread. The paths above it mark the content;
 the deepest container that holds most of it (or the article element around
 that) gives the bounds of the article, inside which its headings, short
-paragraphs and lists also belong to it.
+paragraphs and lists also belong to it: a heading even if it is a link (to its
+own place on the page, or with text of the article below it), a list of links if
+a heading or a line that ends in a colon stands right above it in the same box.
 
 Paths through page furniture (navigation, footers, asides, forms, scripts, and
 boxes whose class or id names menus, adverts, notices, comments ...) are no
@@ -16,7 +18,9 @@ of the article element around it (of the page, where there is none), is not
 believed. A name is a whole class or id. Names that are only a part of one
 (``related-work``), that also name topics (``discussion``), or that are ids
 inside an article, are believed of a box inside the article (or anywhere, where
-there is none) only if half its text is in links or its ratio is low. Headings
+there is none) only if half its text is in links or its ratio is low. Names of
+reader comments (``reader-comments``: all its parts are words of such boxes) are
+believed however much they hold, unless the article has no other text. Headings
 are never furniture by name, paragraphs and the like not inside an article.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -73,6 +77,11 @@ _TOPICS = {"promotion", "advertising", "banner", "navigation", "menu", "menus",
            "respond", "discussion", "notice", "notices", "alert", "alerts", "overlay", "subscribe", "subscription", "social",
            "related", "skip", "search", "disclaimer"}   # of _NAMES, those that an article's own part may have
 _COMMENT = re.compile(r"(?:comments?|repl(?:y|ies))(?:[-_]?(?:item|body|content|text|\d+))?", re.I)
+_COMMENTS = {"comment", "comments", "commentlist", "commentary", "replies", "disqus"}
+_OF_COMMENTS = _COMMENTS | {"reader", "readers", "user", "users", "visitor", "visitors", "list", "section", "area", "thread", "threads",
+                            "wrapper", "wrap", "container", "box", "item", "items", "block", "post", "page", "article", "entry", "body",
+                            "content", "reply", "view", "feed", "main", "blog", "story", "node", "group", "panel", "inner", "outer",
+                            "holder", "tree", "children", "facebook", "wp", "all", "more", "latest", "text"}
 _OWN_HEADER = {"entry", "post", "article", "content", "story", "title"}
 _SENTENCES = _HEADINGS | {"p", "pre", "blockquote", "figcaption", "caption", "summary"}
 _P_ENDS = {"p"}
@@ -80,6 +89,7 @@ _IMPLIED = {"li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"},
             "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "option": {"option"}}
 _PUNCTUATION = re.compile(r"[.,;:!?…，。、；：！？]")
 _MAJORITY = 0.5   # of the text of the article or page: a box that holds so much is content, whatever its name
+_ALONE = 80       # characters of an article beside its comments, below which the comments are the text
 _LOW = 0.5        # of the ratio of the article or page: a box below it is furniture if its name says so
 _MOST = 0.7       # of the content: the container that holds so much is the article's
 _SMOOTH = (0.25, 0.5, 0.25)
@@ -92,8 +102,10 @@ class Page:
         self.parent, self.tag, self.kind = [-1], ["#root"], [0]   # kind 0: none, 1: perhaps furniture, 2: furniture by name, 3: never content
         self.paths: dict = {}
         self.blocks: list = []       # (path, text, characters in links, article)
+        self.own_place: list = []    # of each block, characters in links to a place on the page
+        self.comments = [False]      # paths of reader comments by name
         self._parts: list[str] = []
-        self._in_links = 0
+        self._in_links = self._in_own_place = 0
         self._stack = [("#root", 0, 0)]
         self._open: dict[str, int] = {}
         self._links = self._articles = 0
@@ -105,13 +117,16 @@ class Page:
             if text:
                 _, path, article = self._stack[-1]
                 self.blocks.append((path, text, min(self._in_links, len(text)), article))
-            self._parts, self._in_links = [], 0
+                self.own_place.append(min(self._in_own_place, len(text)))
+            self._parts, self._in_links, self._in_own_place = [], 0, 0
 
     def _text(self, raw: str) -> None:
         if raw:
             self._parts.append(raw)
             if self._links:
                 self._in_links += len(raw.strip())
+                if self._links == 2:
+                    self._in_own_place += len(raw.strip())
 
     def _pop(self) -> None:
         name = self._stack.pop()[0]
@@ -119,7 +134,7 @@ class Page:
 
     def _push(self, name: str, attributes: str) -> None:
         path, article = self._stack[-1][1:]
-        kind, sign = (3 if name in _NEVER else 0), name
+        kind, sign, comments = (3 if name in _NEVER else 0), name, False
         inside = bool(article or self._open.get("main") or name in ("article", "main"))
         if name == "header" and not self._open.get("article") and not self._open.get("main"):
             kind = 2
@@ -137,6 +152,8 @@ class Page:
                     kind = max(kind, 2)
                 elif name not in (_SENTENCES if inside else _HEADINGS):
                     kind = max(kind, _named(given, inside, name in _SENTENCES))
+                    if name not in _TEXTUAL and _comment_box(given):
+                        kind, comments = max(kind, 2), True
         key = (path, sign)
         number = self.paths.get(key)
         if number is None:
@@ -144,6 +161,7 @@ class Page:
             self.parent.append(path)
             self.tag.append(name)
             self.kind.append(kind)
+            self.comments.append(comments)
         if name == "article":
             self._articles += 1
             article = self._articles
@@ -168,7 +186,7 @@ class Page:
                 continue
             close, name, attributes = m.group(1), m.group(2).lower(), m.group(3) + m.group(4)
             if name == "a":
-                self._links = 0 if close else 1
+                self._links = 0 if close else 2 if _given(attributes).get("href", "").startswith("#") else 1
                 continue
             if name == "br":
                 self._parts.append(" ")
@@ -242,6 +260,15 @@ def _named(given: dict[str, str], inside: bool, whole: bool) -> int:
     return kind
 
 
+def _comment_box(given: dict[str, str]) -> bool:
+    """Whether a class or id names a box of reader comments and nothing else."""
+    for token in f"{given.get('class', '')} {given.get('id', '')}".split():
+        parts = {p.lower() for p in _NAME_PARTS.findall(token)}
+        if parts & _COMMENTS and parts <= _OF_COMMENTS and parts != {"commentary"}:
+            return True
+    return False
+
+
 def main_text(source: "str | None") -> str:
     """The blocks of the article of one page, joined by two line breaks."""
     page = Page(source or "")
@@ -273,6 +300,8 @@ def main_text(source: "str | None") -> str:
 
     def furniture(p: int) -> bool:
         """Whether a named box is believed to be furniture."""
+        if page.comments[p] and (scope[p] or not holds[p]):
+            return under[scope[p]] - under[p] >= _ALONE
         if holds[0] and not scope[p]:
             return not holds[p]
         if kind[p] == 2:
@@ -285,6 +314,7 @@ def main_text(source: "str | None") -> str:
     out = hard[:]
     for p in range(1, n):
         out[p] = out[p] or out[parent[p]] or (kind[p] in (1, 2) and furniture(p))
+    own_place = [a for a, b in zip(page.own_place, page.blocks) if not out[b[0]]]
     blocks = [b for b in page.blocks if not out[b[0]]]
     if not blocks:
         return ""
@@ -341,16 +371,31 @@ def main_text(source: "str | None") -> str:
     for p in range(n):
         inside[p] = p == box or (p > 0 and inside[parent[p]])
 
-    def belongs(path: int, text: str, links: int, in_article: int) -> bool:
+    def belongs(i: int, path: int, text: str, links: int, in_article: int) -> bool:
         if not inside[path] or (alone and in_article != article):
             return False
         if path in content:
             return True
+        if tag[path] in _HEADINGS and 2 * links > len(text):
+            below = blocks[i + 1] if i + 1 < len(blocks) else None
+            return 2 * (links - own_place[i]) <= len(text) or (
+                below is not None and below[0] in content and parent[below[0]] == parent[path])
         return 2 * links <= len(text) and (tag[path] in _TEXTUAL or path == box or tag[box] in ("article", "main"))
 
-    taken = [belongs(*b) for b in blocks]
+    taken = [belongs(i, *b) for i, b in enumerate(blocks)]
     if not any(taken):
         return ""
+    # A list of links belongs to the heading or the line with a colon right above it.
+    head = None   # the box that holds the list, if the block above introduces one
+    for i, (path, words, links, in_article) in enumerate(blocks):
+        if taken[i]:
+            introduces = tag[path] in _HEADINGS or words.endswith((":", "："))
+            head = parent[path] if introduces else head if head is not None and _listed(path, head, parent, tag) else None
+        elif head is not None and inside[path] and (not alone or in_article == article) and 2 * own_place[i] <= len(words) \
+                and _listed(path, head, parent, tag):
+            taken[i] = True
+        else:
+            head = None
     first = taken.index(True)
     text = []
     for i, (path, words, _, _) in enumerate(blocks):
@@ -360,6 +405,18 @@ def main_text(source: "str | None") -> str:
     return "\n\n".join(text)
 
 
+def _listed(path: int, box: int, parent: list, tag: list) -> bool:
+    """Whether a path is an item of a list that stands in ``box`` itself."""
+    if tag[path] not in ("li", "dd", "dt"):
+        while path > 0 and tag[path] in _TEXTUAL and tag[path] not in ("li", "dd", "dt"):
+            path = parent[path]
+    while path > 0 and tag[path] in ("li", "dd", "dt", "ul", "ol", "dl"):
+        path = parent[path]
+        if path == box:
+            return True
+    return False
+
+
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html", BATCH_BYTES):
         texts = [main_text(h) for h in batch.column("html").to_pylist()]
