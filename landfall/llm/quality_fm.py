@@ -28,9 +28,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from landfall.llm.common import Words, byte_texts, fresh, slices, table
+from landfall.llm.common import Words, byte_texts, every_column, slices, table
 
 BUCKETS = 1 << 14
 RANK = 8
@@ -184,8 +184,8 @@ def _feature_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
                  pa.array([f.statistics[i].tobytes()])], names=["id", "label", "index", "value", "statistics"])
 
 
-def _stated(batch: pa.RecordBatch, column: str = "n_chars") -> np.ndarray:
-    return np.maximum(0, batch.column(column).fill_null(0).to_numpy(zero_copy_only=False)).astype(float)
+def _stated(batch: pa.RecordBatch) -> np.ndarray:
+    return np.maximum(0, batch.column("n_chars").fill_null(0).to_numpy(zero_copy_only=False)).astype(float)
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -241,21 +241,23 @@ def quality_scores(docs: DataFrame, machine: Machine, threshold: float = THRESHO
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _good_batches(batches: Iterator[pa.RecordBatch], machine: Machine, threshold: float, text: str,
-                  stated: str) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, text, BATCH_BYTES):
-        f = Features(byte_texts(batch.column(text)), _stated(batch, stated), machine.buckets)
+def _good_batches(batches: Iterator[pa.RecordBatch], machine: Machine, threshold: float) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text", BATCH_BYTES):
+        f = Features(byte_texts(batch.column("text")), _stated(batch), machine.buckets)
         good = batch.filter(pa.array(machine.score(f) >= threshold))
-        yield good.select([i for i, c in enumerate(good.schema.names) if c not in (text, stated)])
+        yield good.select(good.schema.names[:-2])
 
 
 def good_documents(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score reaches the threshold, with all their columns, whatever their names."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    text, stated = fresh(docs.columns, "text_of", "stated")
     length = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.length("text").cast("long")
-    wide = docs.withColumns({text: F.col("text").cast("string"), stated: length})
-    return wide.mapInArrow(lambda it: _good_batches(it, model.value, threshold, text, stated), docs.schema)
+    # Columns go through the workers under plain names.
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(docs.schema)])
+    wide = docs.select(*[c.alias(n) for c, n in zip(every_column(docs), plain.names)],
+                       F.col("text").cast("string").alias("text"), length.alias("n_chars"))
+    good = wide.mapInArrow(lambda it: _good_batches(it, model.value, threshold), plain)
+    return good.select(*[F.col(n).alias(f.name, metadata=f.metadata) for n, f in zip(plain.names, docs.schema)])
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
