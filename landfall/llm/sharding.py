@@ -9,7 +9,8 @@ edited map as the next version. Data moves only with its slot.
 The law kept is ``bytes``: sizes near equal. Equal texts share a slot, so they
 share a shard. A slot larger than half a shard's fair share is split into
 sub-slots by text; only a text whose rows are together larger than a shard's
-fair share is cut further, by id (one shard cannot hold it under this law).
+fair share is cut further, by id and number among the rows of that id (one shard
+cannot hold it under this law).
 
 Only per-slot sums (``slots`` of them, and the sub-slots of large ones) and the
 texts above a shard's share (fewer than ``shards``) reach the driver; the map
@@ -31,6 +32,7 @@ SLOTS = 4096
 SHARDS = 8
 SUBS = 64            # sub-slots of a large slot
 BIN_ROWS = 1000      # least rows of a position bin
+RUN = 100_000        # rows alike in id and text that are numbered together
 _MAP = "version int, slot int, sub int, shard int"
 _BINS = "slot int, sub int, bin int, shard int, at long"
 
@@ -69,13 +71,28 @@ def store_map(spark: SparkSession, path: str, version: int, shard_of: dict) -> N
     small_table(spark, rows, _MAP).write.mode("append").parquet(path)
 
 
+def numbered(records: DataFrame, texts: list) -> DataFrame:
+    """The records, those of ``texts`` that are alike in id and text numbered from 1 (``nth``).
+
+    They are counted, and their count is dealt out in runs of ``RUN``: rows that
+    share id and text never meet in one task.
+    """
+    if not texts:
+        return records
+    columns = [c for c in records.columns if c != "nth"]
+    counted = records.where(F.col("th").isin(texts)).groupBy(*columns).agg(F.count("*").alias("rows"))
+    runs = counted.withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "rows", F.lit(RUN).cast("long")))).repartition("id", "first")
+    each = runs.withColumn("nth", F.explode(F.sequence("first", F.least(F.col("first") + RUN - 1, "rows"))))
+    return records.where(~F.col("th").isin(texts)).unionByName(each.select(*columns, "nth"))
+
+
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS,
             shards: int = SHARDS) -> tuple[DataFrame, list]:
     """The records with their slot and sub-slot (a working table), and the bytes and rows of each."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     records = docs.select(id_key(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                           F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("th"))
-    records = materialise(records.withColumn("slot", F.pmod("th", F.lit(slots)).cast("int")), "slots")
+    records = materialise(records.select("*", F.pmod("th", F.lit(slots)).cast("int").alias("slot"), F.lit(1).cast("long").alias("nth")), "slots")
     sums = records.groupBy("slot").agg(F.sum("size").alias("size")).collect()
     total = sum(r["size"] for r in sums)
     large = [r["slot"] for r in sums if 2 * shards * r["size"] > total]  # fewer than 2 * shards
@@ -84,10 +101,13 @@ def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slo
         sub = F.when(F.col("slot").isin(large), F.pmod(F.xxhash64("th"), F.lit(SUBS))).otherwise(sub)
         texts = records.where(F.col("slot").isin(large)).groupBy("slot", "th").agg(F.sum("size").alias("size"))
         next_sub = dict.fromkeys(large, SUBS)
+        cut = []
         for r in texts.where(F.col("size") * shards > total).orderBy("slot", "th").collect():  # fewer than ``shards``
             n = -(-16 * shards * r["size"] // total)
-            sub = F.when(F.col("th") == r["th"], F.pmod(F.xxhash64("id"), F.lit(n)) + next_sub[r["slot"]]).otherwise(sub)
+            sub = F.when(F.col("th") == r["th"], F.pmod(F.xxhash64("id", "nth"), F.lit(n)) + next_sub[r["slot"]]).otherwise(sub)
             next_sub[r["slot"]] += n
+            cut.append(r["th"])
+        records = numbered(records, cut)
     records = records.withColumn("sub", sub.cast("int"))
     return records, records.groupBy("slot", "sub").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
 
@@ -113,7 +133,7 @@ def shard_by_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wide = [(s, u, n) for (s, u), n in sorted(n_bins.items()) if n > 1]
     wide = small_table(spark, wide, "slot int, sub int, bins int")
     records = (records.join(wide, ["slot", "sub"], "left")
-               .withColumn("bin", F.pmod(F.xxhash64("id", F.lit("bin")), F.coalesce("bins", F.lit(1))).cast("int")))
+               .withColumn("bin", F.pmod(F.xxhash64("id", "nth", F.lit("bin")), F.coalesce("bins", F.lit(1))).cast("int")))
     bins, after = [], [0] * shards
     for r in records.groupBy("slot", "sub", "bin").agg(F.count("*").alias("rows")).orderBy("slot", "sub", "bin").collect():
         shard = edited[r["slot"], r["sub"]]

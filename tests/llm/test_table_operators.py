@@ -335,3 +335,17 @@ def test_pipeline(spark):
     texts = {r["text"].encode() for r in table(spark, SF001, "documents").collect()}
     assert all(bytes(r["decoded"]) in texts for r in docs.collect())
     assert corpus_pipeline.run(spark, SF001).count() == counts[-1]
+
+
+def test_sharding_divides_rows_of_one_id_and_text(spark, documents, monkeypatch):
+    """900 rows of one text over three ids, 300 others: shards stay near equal, and every row is there."""
+    rows = [(i % 3, "the same text " * 2, "a") for i in range(900)] + [(100 + i, f"text {i} of its own, some bytes", "b") for i in range(300)]
+    for run in (100_000, 7):
+        monkeypatch.setattr(sharding, "RUN", run)
+        found = sharding.shard_by_slots(documents(rows)).collect()
+        size, n = [0] * 8, [0] * 8
+        for r in found:
+            size[r["shard"]] += r["size"]
+            n[r["shard"]] += 1
+        assert len(found) == 1200 and max(size) <= 1.05 * sum(size) / 8 and min(size) >= 0.95 * sum(size) / 8
+        assert sorted(r["slot"] for r in found) == sorted(k for m in n for k in range(m))
