@@ -5,6 +5,12 @@ returns a DataFrame, which ``run`` writes as Parquet to the shared folder and
 reads again as the next stage's docs. All but the last return the columns of
 ``documents``. The stages use trained scores, fingerprints and byte-pair
 merges, which SQL cannot express, so ``ORACLE_SQL`` is None.
+
+Defined cases: every stage but the last keeps all columns of its input, whatever
+their names and types; a null or empty text is scored, compared, mixed and
+encoded as an empty one; null ids come after every id and null sources are a
+source; rows that repeat id and text are one document to the two dedup stages;
+an empty table stays empty through all stages.
 """
 
 from __future__ import annotations
