@@ -18,7 +18,7 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from landfall.session import hadoop_path, scratch_path
+from landfall.session import hadoop_path, remove_at_exit, scratch_path
 
 # Per-row overhead added to the key bytes when estimating a broadcast
 # (UnsafeRow header, null bits, offsets, hash-table slot).
@@ -73,6 +73,7 @@ def measure(df: DataFrame, columns: Sequence[str], limit: Optional[int] = None)
     folder = scratch_path(spark, "side")
     df.observe(obs, F.count(F.lit(1)).alias("n"),
                F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")).write.parquet(folder)
+    remove_at_exit(spark, folder)
     m = obs.get
     rows, key_bytes = int(m["n"]), int(m["b"])
     size = key_bytes + rows * ROW_OVERHEAD_BYTES

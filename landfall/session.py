@@ -106,6 +106,12 @@ def hadoop_path(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have a written working folder removed when the driver ends (a folder that is gone by then is passed over)."""
+    fs, path = hadoop_path(spark, folder)
+    fs.deleteOnExit(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never a local temp dir on a cluster)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

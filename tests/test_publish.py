@@ -156,3 +156,17 @@ def test_reload_of_one_date_keeps_the_others(spark, meta, orders):
     split(spark, orders, fx.landed_orders(spark, SF).where("status = 'F'"))
     assert L.read_table_for_date(spark, orders.tables.stg, "2022-09-10").count() == 1372
     assert 0 < L.read_table_for_date(spark, orders.tables.stg, DAY).count() < 1372
+
+
+def test_working_folders_go_with_the_driver(tmp_dir):
+    """A driver of its own: what it measured and did not release is gone after it ends."""
+    import subprocess
+    import sys
+    code = (f"from landfall.session import local_session; from landfall.operators.sizing import measure\n"
+            f"s = local_session(1, 1, extra={{'spark.checkpoint.dir': '{tmp_dir}/shared'}})\n"
+            f"side = measure(s.range(5).selectExpr('cast(id as string) k'), ['k'])\n"
+            f"import os; print('there', side.rows, len(os.listdir('{tmp_dir}/shared')))\ns.stop()")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "there 5 " in out.stdout, out.stderr[-2000:]
+    assert not [d for d in os.listdir(tmp_dir + "/shared") if d.startswith("side")]
