@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from landfall.session import scratch_path, shared_dir
+from landfall.session import hadoop_path, remove_at_exit, scratch_path, shared_dir
 
 # Separator class of the contracts, for regexp functions.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -35,10 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, a lost executor costs only a reread."""
+    """Write ``df`` to the shared folder and read it back: lineage is cut, a lost executor costs only a reread.
+
+    The table is removed when the driver ends, or by ``discard``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,11 +51,10 @@ def discard(df: DataFrame) -> None:
     spark = df.sparkSession
     shared = shared_dir(spark)
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        inside = spark._jvm.org.apache.hadoop.fs.Path(shared).toUri().getPath()
-        if not path.toUri().getPath().startswith(inside + "/"):
+        fs, path = hadoop_path(spark, folder)
+        if not path.toUri().getPath().startswith(hadoop_path(spark, shared)[1].toUri().getPath() + "/"):
             raise ValueError(f"{folder} is not a working table")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs.delete(path, True)
 
 
 def fresh(columns: list[str], *names: str) -> list[str]:
@@ -132,7 +135,9 @@ def chunk_table(docs: DataFrame, chunk_bytes: int, measure: Callable[[list[bytes
     buckets = bucket_count(size, bucket_bytes, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     name = f"llm_chunks_{uuid.uuid4().hex}"
     packed = docs.mapInArrow(lambda it: _pack_chunks(it, chunk_bytes, measure), _CHUNK)
-    packed.write.option("path", scratch_path(spark, "chunks")).bucketBy(buckets, "chunk").saveAsTable(name)
+    path = scratch_path(spark, "chunks")
+    packed.write.option("path", path).bucketBy(buckets, "chunk").saveAsTable(name)
+    remove_at_exit(spark, path)
     chunks = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the catalog entry; the files stay
     return chunks, size
