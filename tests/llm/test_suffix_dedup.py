@@ -98,7 +98,7 @@ def test_segments_and_blocks_give_the_same(monkeypatch):
     for d, text in enumerate(texts):
         for p in range(len(text) - (whole.w + X.GRAM - 1) + 1):
             at = whole.bounds[d] + p + np.arange(whole.w)
-            h = X._mix(whole.words[at]) >> np.uint64(32)
+            h = (whole.words[at] * X._SPREAD) >> np.uint64(32)
             want.setdefault(int(at[np.argmin(h)]), int(whole.bounds[d]) + p)
     assert dict(zip(*(x.tolist() for x in anchors))) == want
     monkeypatch.setattr(X, "SEGMENT", 333)
