@@ -312,7 +312,8 @@ def test_slot_map_versions(spark, documents):
 
 def test_sql_queries(spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF001}/documents.parquet')")
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     for name, sql in LLM_SQL.items():
         res = con.execute(sql)
         columns = [c[0] for c in res.description]
