@@ -42,9 +42,9 @@ def test_one_full_scan_and_four_jobs(spark, orders, tmp_dir):
     plans = []
     seen = P.stage_layers
 
-    def staged(rows, layer, folder, fmt):
+    def staged(rows, layer, folder, fmt, *rest):
         plans.append(rows._jdf.queryExecution().executedPlan().toString())
-        seen(rows, layer, folder, fmt)
+        seen(rows, layer, folder, fmt, *rest)
     sc = spark.sparkContext
     sc.setJobGroup("one-pass", "count")
     P.stage_layers = staged
